@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakeflux.queries import delivery, describe, modeling
+from lakeflux.queries import delivery, describe, general, modeling, zones
 
 QUERIES = {}
 ORACLES = {}
-for _module in (delivery, describe, modeling):
+for _module in (delivery, describe, modeling, zones, general):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.SQL)

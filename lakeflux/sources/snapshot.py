@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SNAPSHOT_COL = "snapshot"
 
@@ -20,12 +21,14 @@ def publish_snapshot(df: DataFrame, path: str, snapshot: str, extra_partitions:
     )
 
 
-def read_latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_latest_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Rows of the newest snapshot only.
 
     The filter compares the partition column with a scalar subquery, so the
-    scan's partition filter prunes every older snapshot's files.
+    scan's partition filter prunes every older snapshot's files. Pass the
+    schema (with ``snapshot`` as string) so partition values are not re-typed.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     latest = df.agg(F.max(SNAPSHOT_COL)).scalar()
     return df.where(F.col(SNAPSHOT_COL) == latest)
