@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakeflux.queries import delivery, describe, general, modeling, zones
+from lakeflux.queries import delivery, describe, drift, general, modeling, zones
 
 QUERIES = {}
 ORACLES = {}
-for _module in (delivery, describe, modeling, zones, general):
+for _module in (delivery, describe, modeling, zones, general, drift):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.SQL)
