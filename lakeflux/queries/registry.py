@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakeflux.queries import delivery, describe, drift, general, modeling, zones
+from lakeflux.queries import delivery, describe, drift, general, learn, modeling, schema, zones
 
 QUERIES = {}
 ORACLES = {}
-for _module in (delivery, describe, modeling, zones, general, drift):
+for _module in (delivery, describe, modeling, zones, general, drift, schema, learn):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.SQL)
