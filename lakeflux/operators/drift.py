@@ -71,12 +71,15 @@ def value_counts(tagged: DataFrame, columns: Sequence[str], as_text: bool) -> Da
 def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int = DEFAULTS["buckets"]) -> DataFrame:
     """Per numeric column: n_ref, n_cur, ks_stat, wasserstein, ref_std."""
     vc = value_counts(tagged, columns, as_text=False)
-    probs = [i / buckets for i in range(1, buckets)]
-    # one row per column with its bucket bounds: size fixed by ``buckets``
-    bounds = vc.groupBy("feature").agg(F.percentile_approx("x", probs, 10000).alias("bounds"))
-    vcb = vc.join(F.broadcast(bounds), "feature").withColumn(
-        "bucket", F.size(F.filter("bounds", lambda b: b < F.col("x")))
-    ).drop("bounds")
+    if buckets < 2:
+        vcb = vc.withColumn("bucket", F.lit(0))
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        # one row per column with its bucket bounds: size fixed by ``buckets``
+        bounds = vc.groupBy("feature").agg(F.percentile_approx("x", probs, 10000).alias("bounds"))
+        vcb = vc.join(F.broadcast(bounds), "feature").withColumn(
+            "bucket", F.size(F.filter("bounds", lambda b: b < F.col("x")))
+        ).drop("bounds")
     w_in = Window.partitionBy("feature", "bucket").orderBy("x")
     running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = vcb.select(

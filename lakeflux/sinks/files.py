@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 # CSV options that make quotes, backslashes and line breaks round-trip the way
-# a pandas ``to_csv`` does (quotes doubled, fields with breaks quoted).
+# a pandas ``to_csv`` does (quotes doubled, fields with breaks quoted). Empty
+# strings are written as "" and nulls as nothing, so both survive a read.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "emptyValue": "",
     "encoding": "UTF-8",
 }
-CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# Reading: an unquoted empty field is null, a quoted "" is the empty string
+# (a null marker no text uses keeps the two apart).
+CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0000"}
 
 
 def write_zone_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> str:
