@@ -69,8 +69,13 @@ def value_counts(tagged: DataFrame, columns: Sequence[str], as_text: bool) -> Da
 
 
 def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int = DEFAULTS["buckets"]) -> DataFrame:
-    """Per numeric column: n_ref, n_cur, ks_stat, wasserstein, ref_std."""
-    vc = value_counts(tagged, columns, as_text=False)
+    """Per numeric column: n_ref, n_cur, ks_stat, wasserstein, ref_std.
+
+    The value counts feed several consumers (bounds, windows, offsets, std);
+    they are checkpointed once to the shared checkpoint folder so the raw
+    rows are scanned once and the lineage is cut.
+    """
+    vc = value_counts(tagged, columns, as_text=False).checkpoint(eager=True)
     if buckets < 2:
         vcb = vc.withColumn("bucket", F.lit(0))
     else:
@@ -117,8 +122,12 @@ def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int =
         F.max(diff).alias("ks_stat"),
         F.sum(F.coalesce(diff * gap, F.lit(0.0))).alias("wasserstein"),
     )
-    stds = _stack(tagged, columns, as_text=False).where(F.col("is_ref") == 1).groupBy("feature").agg(
-        F.stddev_pop("x").alias("ref_std")
+    # population std of the reference side, two-pass over the value counts
+    means = vc.groupBy("feature").agg((F.sum(F.col("c_ref") * F.col("x")) / F.sum("c_ref")).alias("__mean"))
+    stds = (
+        vc.join(F.broadcast(means), "feature")
+        .groupBy("feature")
+        .agg(F.sqrt(F.sum(F.col("c_ref") * F.pow(F.col("x") - F.col("__mean"), 2)) / F.sum("c_ref")).alias("ref_std"))
     )
     return dist.join(stds, "feature", "left")
 
@@ -131,7 +140,7 @@ def ks_p_value(n_ref, n_cur, d):
 
 def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: n_ref, n_cur, n_cat, chi2_stat, chi2_dof, chi2_p, z_p, js."""
-    vc = value_counts(tagged, columns, as_text=True)
+    vc = value_counts(tagged, columns, as_text=True).checkpoint(eager=True)
     whole = Window.partitionBy("feature")
     t = vc.select(
         "feature",

@@ -65,6 +65,18 @@ def _hex_prefix_int(h: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(h, start, digits), 16, 10).cast("int")
 
 
+def _boundary(counts: DataFrame, bucket: str, need: int) -> tuple[int | None, int | None]:
+    """Bucket holding the ``need``-th row in bucket order, and the rank inside
+    it. ``counts`` has at most 16**digits rows, so the running sum runs on a
+    small table and only one row (two numbers) comes back."""
+    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = counts.withColumn("__cum", F.sum("__cnt").over(w)).withColumn("__before", F.col("__cum") - F.col("__cnt"))
+    hit = cum.where((F.col("__before") < need) & (F.col("__cum") >= need)).select(
+        bucket, (F.lit(need) - F.col("__before")).alias("rank")
+    ).first()
+    return (None, None) if hit is None else (int(hit[0]), int(hit[1]))
+
+
 def seeded_split(
     df: DataFrame,
     key: str,
@@ -79,35 +91,29 @@ def seeded_split(
     computed globally: rows are counted per hash bucket (first ``digits`` hex
     digits, at most 16**digits buckets), a running sum over that small table
     finds the bucket holding the boundary, and a second level does the same
-    inside that bucket with the next digits. Only the rows of the final
-    sub-bucket (about n / 16**(2*digits)) are ranked with a window. Every other
-    row is classified by a projection against scalar-subquery literals, so the
-    bulk of the data is never shuffled for the split.
+    inside that bucket with the next digits. These two small aggregates run
+    first and return four numbers; the split itself is then a map-only
+    projection against literals, plus a window over the rows of the one final
+    sub-bucket (about n / 16**(2*digits) rows).
     """
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     hashed = df.withColumns({"__h": h}).withColumns(
         {"__b1": _hex_prefix_int(F.col("__h"), 1, digits), "__b2": _hex_prefix_int(F.col("__h"), 1 + digits, digits)}
     )
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    n_test_df = total.select(F.ceil(F.lit(float(test_fraction)) * F.col("n")).cast("bigint").alias("k"))
-    n_test = n_test_df.scalar()
-
-    def boundary(counts: DataFrame, bucket: str, need: Column) -> tuple[Column, Column]:
-        w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = counts.withColumn("__cum", F.sum("__cnt").over(w)).withColumn("__before", F.col("__cum") - F.col("__cnt"))
-        hit = cum.where((F.col("__before") < need) & (F.col("__cum") >= need))
-        return hit.select(bucket).scalar(), hit.select((need - F.col("__before")).alias("r")).scalar()
-
-    counts1 = hashed.groupBy("__b1").agg(F.count(F.lit(1)).alias("__cnt"))
-    b1, need1 = boundary(counts1, "__b1", n_test)
-    counts2 = hashed.where(F.col("__b1") == b1).groupBy("__b2").agg(F.count(F.lit(1)).alias("__cnt"))
-    b2, need2 = boundary(counts2, "__b2", need1)
+    keys = hashed.select("__h", "__b1", "__b2", key)
+    n = keys.count()
+    n_test = int(math.ceil(test_fraction * n))
+    counts1 = keys.groupBy("__b1").agg(F.count(F.lit(1)).alias("__cnt"))
+    b1, need1 = _boundary(counts1, "__b1", n_test)
+    if b1 is None:  # empty test set (or empty input): everything is train
+        return df.withColumn(SPLIT_COL, F.lit("train"))
+    counts2 = keys.where(F.col("__b1") == b1).groupBy("__b2").agg(F.count(F.lit(1)).alias("__cnt"))
+    b2, need2 = _boundary(counts2, "__b2", need1)
 
     in_boundary = (F.col("__b1") == b1) & (F.col("__b2") == b2)
-    bulk = hashed.where(~F.coalesce(in_boundary, F.lit(False))).withColumn(
+    bulk = hashed.where(~in_boundary).withColumn(
         SPLIT_COL,
-        F.when(b1.isNull(), "train")
-        .when(F.col("__b1") < b1, "test")
+        F.when(F.col("__b1") < b1, "test")
         .when(F.col("__b1") > b1, "train")
         .when(F.col("__b2") < b2, "test")
         .otherwise("train"),
@@ -116,8 +122,7 @@ def seeded_split(
     edge = hashed.where(in_boundary).withColumn(
         SPLIT_COL, F.when(F.row_number().over(w) <= need2, "test").otherwise("train")
     )
-    out = bulk.unionByName(edge)
-    return out.drop("__h", "__b1", "__b2")
+    return bulk.unionByName(edge).drop("__h", "__b1", "__b2")
 
 
 def expected_test_size(n: int, test_fraction: float = 0.2) -> int:

@@ -100,7 +100,8 @@ def drift_small_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drift_gate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = _event_halves(spark, sf_dir)
-    cd = column_drift(ref, cur, EVENT_COLUMNS)
+    # one row per column: computed once, cut from its lineage, read twice
+    cd = column_drift(ref, cur, EVENT_COLUMNS).checkpoint(eager=True)
     gate = drift_gate(drift_report(cd))
     ds = dataset_drift(cd)
     # both sides are single rows; union as columns through a scalar subquery
