@@ -22,6 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
+    ByteType,
+    IntegerType,
+    LongType,
+    ShortType,
     CharType,
     DoubleType,
     FloatType,
@@ -43,7 +47,12 @@ def _has_range(dt) -> bool:
     return isinstance(dt, (NumericType, BooleanType))
 
 
-def column_profile(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+def column_profile(
+    df: DataFrame, features: Sequence[str] | None = None, approx_distinct: bool = False, rsd: float = 0.01
+) -> DataFrame:
+    """Profile ``features`` (default: all columns). ``approx_distinct`` swaps
+    the exact distinct pass for HyperLogLog++ sketches in the single aggregate
+    pass (relative error ``rsd``): one scan, no shuffle of values."""
     spark = df.sparkSession
     features = list(features if features is not None else df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -60,6 +69,8 @@ def column_profile(df: DataFrame, features: Sequence[str] | None = None) -> Data
     for i, name in enumerate(features):
         c = F.col(f"c{i}")
         aggs.append(F.count_if(c.isNull()).alias(f"nulls{i}"))
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(c, rsd).alias(f"nd{i}"))
         if _has_range(types[name]):
             aggs.append(F.min(c.cast("double")).alias(f"min{i}"))
             aggs.append(F.max(c.cast("double")).alias(f"max{i}"))
@@ -77,6 +88,7 @@ def column_profile(df: DataFrame, features: Sequence[str] | None = None) -> Data
                         F.col(f"nulls{i}").alias("nulls"),
                         F.col(f"min{i}").alias("min_value"),
                         F.col(f"max{i}").alias("max_value"),
+                        (F.col(f"nd{i}") if approx_distinct else F.lit(None).cast("long")).alias("approx_n"),
                     )
                     for i in range(len(features))
                 ]
@@ -84,26 +96,29 @@ def column_profile(df: DataFrame, features: Sequence[str] | None = None) -> Data
         )
     )
 
-    # pass 2: distinct non-null values per column via unpivot + two-level agg
-    def as_text(i: int, name: str):
+    # pass 2: distinct non-null values per column via unpivot + two-level agg.
+    # Values keep their type in one of three slots (integral, floating, other
+    # as text), so numbers are never formatted as strings.
+    def slots(i: int, name: str):
         c = F.col(f"c{i}")
-        if isinstance(types[name], (DoubleType, FloatType)):
-            c = c + F.lit(0.0)  # -0.0 and 0.0 are one value
-        return c.cast("string")
-
-    stacked = cleaned.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("ordinal"), as_text(i, n).alias("v"))
-                    for i, n in enumerate(features)
-                ]
-            )
-        )
-    ).where(F.col("v").isNotNull())
-    distinct_counts = (
-        stacked.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_unique"))
+        dt = types[name]
+        if isinstance(dt, (ByteType, ShortType, IntegerType, LongType)):
+            return c.cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+        if isinstance(dt, (DoubleType, FloatType)):
+            # -0.0 and 0.0 are one value
+            return F.lit(None).cast("long"), c.cast("double") + F.lit(0.0), F.lit(None).cast("string")
+        return F.lit(None).cast("long"), F.lit(None).cast("double"), c.cast("string")
+
+    items = []
+    for i, name in enumerate(features):
+        lv, dv, sv = slots(i, name)
+        items.append(F.struct(F.lit(i).alias("ordinal"), lv.alias("lv"), dv.alias("dv"), sv.alias("sv")))
+    stacked = cleaned.select(F.inline(F.array(*items))).where(
+        F.col("lv").isNotNull() | F.col("dv").isNotNull() | F.col("sv").isNotNull()
     )
+    distinct_counts = stacked.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_unique"))
+    if approx_distinct:
+        distinct_counts = per_col.select("ordinal", F.col("approx_n").alias("n_unique"))
 
     meta = spark.createDataFrame(
         [

@@ -9,6 +9,7 @@ from lakeflux.operators.evaluate import align
 from lakeflux.operators.features import seeded_split
 from lakeflux.operators.model import feature_vector, fit_classifier, load_model, save_model, score
 from lakeflux.queries.common import load
+from lakeflux.plans import modeling
 from lakeflux.session import work_dir
 from lakeflux.sinks.files import publish_feature_set
 
@@ -30,5 +31,25 @@ def model_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(test.select("vec_id", "target"), predictions, "vec_id")
 
 
-QUERIES = {"model_fit_score": model_fit_score}
+LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def model_chain_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem through the whole chain: scale, split, publish, fit, save,
+    load, score, evaluate, append metrics; returns the metrics log rows.
+
+    lineitem has no key column; the md5 of the whole row is one (no two rows
+    are equal)."""
+    li = load(spark, sf_dir, "lineitem")
+    keyed = li.withColumn("row_key", F.md5(F.to_json(F.struct(*li.columns))))
+    root = work_dir(spark, "chain-lineitem")
+    features_path = modeling.prepare(keyed, "row_key", LINEITEM_FEATURES, "l_returnflag", f"{root}/features")
+    model_path = modeling.train(spark, features_path, LINEITEM_FEATURES, "l_returnflag", f"{root}/model/v1")
+    out = modeling.score_and_evaluate(
+        spark, features_path, LINEITEM_FEATURES, "row_key", "l_returnflag", model_path, "run-lineitem", f"{root}/metrics"
+    )
+    return spark.read.parquet(f"{root}/metrics")
+
+
+QUERIES = {"model_fit_score": model_fit_score, "model_chain_metrics": model_chain_metrics}
 SQL: dict[str, str] = {}
