@@ -6,8 +6,8 @@ from pyspark.sql import Column, SparkSession, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Brazilian state code -> region. Same entries and order as the reference's
-# table, with two corrections: BR-MA is spelt "Nordeste" (the reference has a
+# Brazilian state code -> region. Same entries and order as the original
+# table, with two corrections: BR-MA is spelt "Nordeste" (the original has a
 # typo) and the two states it lacks, BR-RJ and BR-PI, are added at the end.
 STATE_REGION = [
     ("BR-RS", "Sul"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values (must equal the reference's results) ---------------------
+# --- fixed values (must equal the original results) ---------------------
 # Operating-system names searched in a user-agent string, in this order; a
 # later name in the list wins when several occur. Fallback label for no hit.
 OS_NAMES = ["android", "iphone", "ubuntu", "windows", "macintosh"]

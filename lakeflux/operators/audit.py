@@ -18,7 +18,7 @@ AUDIT_COLUMNS = [
     "rows_written",
     "schema",
 ]
-# Literal defaults used by the delivery job of the reference.
+# Literal defaults used by the original delivery job.
 DEFAULT_AUDIT = {
     "source_system": "sap",
     "user_name": "airflow",

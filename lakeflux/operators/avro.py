@@ -2,7 +2,7 @@
 
 * :func:`avro_schema` / :func:`avro_fields` - an Avro record schema for a
   DataFrame schema; every field is a nullable union ``[T, "null"]``. Types are
-  matched on the Spark type class (the reference looked them up by a type name
+  matched on the Spark type class (the original helper looked them up by a type name
   that never matched, and swapped ``name`` and ``namespace``; both fixed).
 * :func:`json_field_types` - the Avro type of every key of a column of JSON
   object texts, inferred over *all* rows with one grouped aggregate.

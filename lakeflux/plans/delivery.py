@@ -2,7 +2,7 @@
 
 One plan: the source is scanned for the rows and, separately and only for
 the row count, by a metadata-level scalar subquery (Parquet answers it from
-footers; JDBC pushes ``count(*)`` to the database). The reference counted
+footers; JDBC pushes ``count(*)`` to the database). The original job counted
 the table up to three times without a snapshot; here ``rows_written`` and the
 messages come from one query execution. When the source can change under the
 job (a live database), pass ``snapshot_path`` and the rows are first written

@@ -13,7 +13,7 @@ from lakeflux.operators.drift import DEFAULTS, column_drift, drift_gate, drift_r
 def monitor(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, **params
 ) -> dict[str, DataFrame]:
-    """Column names are lower-cased on both sides (as the reference's loader
+    """Column names are lower-cased on both sides (as the original loader
     did); the per-column result is checkpointed once and feeds the report and
     the gate."""
     ref, cur = lower_case_names(reference), lower_case_names(current)

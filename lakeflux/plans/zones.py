@@ -1,7 +1,7 @@
 """Zone job: processing-zone record files -> per-file head -> curated CSV.
 
 Batch form of the landing -> processing -> curated flow. Every input file
-gives its own output (the reference named all files of a run alike, so they
+gives its own output (the original job named all files of a run alike, so they
 overwrote each other; here the output folder is keyed by the input file).
 """
 
@@ -19,7 +19,7 @@ from lakeflux.operators.zones import file_name, head_per_file
 from lakeflux.sinks.files import write_zone_csv
 from lakeflux.sources.files import FILE_COL, POS_COL, dated_prefix, read_record_arrays
 
-# Record layout of the business files (fixture of the reference's test).
+# Record layout of the business files (the original test fixture).
 BUSINESS_SCHEMA = StructType(
     [
         StructField("id", LongType()),

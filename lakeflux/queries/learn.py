@@ -41,8 +41,15 @@ def model_chain_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem has no key column; the md5 of the whole row is one (no two rows
     are equal)."""
     li = load(spark, sf_dir, "lineitem")
-    keyed = li.withColumn("row_key", F.md5(F.to_json(F.struct(*li.columns))))
     root = work_dir(spark, "chain-lineitem")
+    # the key is computed once and stored with the rows; every later pass
+    # (stats, split counts, publish) reads it instead of re-hashing rows
+    (
+        li.select(F.md5(F.to_json(F.struct(*li.columns))).alias("row_key"), *LINEITEM_FEATURES, "l_returnflag")
+        .write.mode("overwrite")
+        .parquet(f"{root}/source")
+    )
+    keyed = spark.read.parquet(f"{root}/source")
     features_path = modeling.prepare(keyed, "row_key", LINEITEM_FEATURES, "l_returnflag", f"{root}/features")
     model_path = modeling.train(spark, features_path, LINEITEM_FEATURES, "l_returnflag", f"{root}/model/v1")
     out = modeling.score_and_evaluate(

@@ -1,6 +1,6 @@
 """JDBC table scan.
 
-The reference reads a whole table through one connection. Here the read is
+The original job read a whole table through one connection. Here the read is
 split into ``num_partitions`` ranges of a numeric/date column when the caller
 names one, so a large table is read by many tasks. Credentials are parameters;
 nothing is hard-coded.
