@@ -192,7 +192,7 @@ s AS (SELECT *, CASE WHEN n_ref <= {o['small_sample']} AND kind = 'num' THEN 'ks
                      WHEN kind = 'num' THEN 'wasserstein' ELSE 'jensenshannon' END AS test FROM r),
 sc AS (SELECT *, CASE test WHEN 'ks' THEN {kolmogorov_sf_sql(lam)} WHEN 'z' THEN z_p WHEN 'chi2' THEN chi2_p
                            WHEN 'wasserstein' THEN wasserstein / greatest(ref_std, 0.001) ELSE js END AS score,
-                 CASE WHEN test IN ('ks', 'z', 'chi2') THEN {o['p_threshold']} ELSE {o['d_threshold']} END AS threshold
+                 CAST(CASE WHEN test IN ('ks', 'z', 'chi2') THEN {o['p_threshold']} ELSE {o['d_threshold']} END AS DOUBLE) AS threshold
        FROM s),
 cd AS (SELECT CAST(CASE feature {ords} END AS INTEGER) AS ordinal, feature, kind, test, n_ref, n_cur, score, threshold,
               CAST(CASE WHEN test IN ('ks', 'z', 'chi2') THEN score < threshold ELSE score >= threshold END AS INTEGER) AS drifted
