@@ -15,10 +15,10 @@ Per column, with these defaults (all parameters):
 
 Plan: both sides are tagged and unioned (J5), so every statistic is one grouped
 aggregate over the union, never a row join. Numeric distributions are exact:
-values are collapsed to ``(column, x, c_ref, c_cur)``, cut into range buckets
-by approximate quantiles of the distinct values, cumulated with a window
-*inside* each bucket, and shifted by bucket offsets computed on a table of one
-row per bucket. No window ever runs over all rows of one partition.
+values are collapsed to ``(column, x, c_ref, c_cur)``, range-partitioned into
+buckets of bounded size, cumulated with a window *inside* each bucket, and
+shifted by bucket offsets computed on a table of one row per bucket. No window
+ever spans more than one bucket's rows.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ DEFAULTS = {
     "p_threshold": 0.05,
     "d_threshold": 0.1,
     "share_threshold": 0.3,
-    "buckets": 128,
+    "rows_per_bucket": 2_000_000,
 }
 
 
@@ -68,24 +68,29 @@ def value_counts(tagged: DataFrame, columns: Sequence[str], as_text: bool) -> Da
     )
 
 
-def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int = DEFAULTS["buckets"]) -> DataFrame:
+def numeric_distances(
+    tagged: DataFrame,
+    columns: Sequence[str],
+    rows_per_bucket: int = DEFAULTS["rows_per_bucket"],
+    buckets: int | None = None,
+) -> DataFrame:
     """Per numeric column: n_ref, n_cur, ks_stat, wasserstein, ref_std.
 
-    The value counts feed several consumers (bounds, windows, offsets, std);
-    they are checkpointed once to the shared checkpoint folder so the raw
-    rows are scanned once and the lineage is cut.
+    The value counts ``(feature, x, c_ref, c_cur)`` are range-partitioned on
+    ``(feature, x)`` into ``ceil(rows / rows_per_bucket)`` partitions (or
+    ``buckets``), sorted inside partitions and checkpointed to the shared
+    checkpoint folder, which fixes each row's partition id. A partition is a
+    bucket: the running sums are a window over ``(bucket, feature)`` - at most
+    one partition's rows - shifted by offsets from a table of one row per
+    (bucket, feature). The raw rows are scanned once.
     """
     vc = value_counts(tagged, columns, as_text=False).checkpoint(eager=True)
-    if buckets < 2:
-        vcb = vc.withColumn("bucket", F.lit(0))
-    else:
-        probs = [i / buckets for i in range(1, buckets)]
-        # one row per column with its bucket bounds: size fixed by ``buckets``
-        bounds = vc.groupBy("feature").agg(F.percentile_approx("x", probs, 10000).alias("bounds"))
-        vcb = vc.join(F.broadcast(bounds), "feature").withColumn(
-            "bucket", F.size(F.filter("bounds", lambda b: b < F.col("x")))
-        ).drop("bounds")
-    w_in = Window.partitionBy("feature", "bucket").orderBy("x")
+    if buckets is None:
+        n_values = vc.count()
+        buckets = max(1, -(-n_values // max(1, rows_per_bucket)))
+    ranged = vc.repartitionByRange(buckets, "feature", "x").sortWithinPartitions("feature", "x")
+    vcb = ranged.checkpoint(eager=True).withColumn("bucket", F.spark_partition_id())
+    w_in = Window.partitionBy("bucket", "feature").orderBy("x")
     running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = vcb.select(
         "feature",
@@ -101,6 +106,7 @@ def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int =
     w_b = Window.partitionBy("feature").orderBy("bucket")
     before = w_b.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
+    # one row per (feature, bucket): bounded by columns * buckets
     offsets = per_bucket.select(
         "feature",
         "bucket",
@@ -110,7 +116,6 @@ def numeric_distances(tagged: DataFrame, columns: Sequence[str], buckets: int =
         F.sum("b_ref").over(whole).alias("n_ref"),
         F.sum("b_cur").over(whole).alias("n_cur"),
     )
-    # offsets has one row per (column, bucket): bounded by columns * buckets
     cdf = inside.join(F.broadcast(offsets), ["feature", "bucket"])
     f_ref = (F.col("off_ref") + F.col("cum_ref")) / F.col("n_ref")
     f_cur = (F.col("off_cur") + F.col("cum_cur")) / F.col("n_cur")
@@ -139,31 +144,41 @@ def ks_p_value(n_ref, n_cur, d):
 
 
 def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: n_ref, n_cur, n_cat, chi2_stat, chi2_dof, chi2_p, z_p, js."""
+    """Per column: n_ref, n_cur, n_cat, chi2_stat, chi2_dof, chi2_p, z_p, js.
+
+    Per-column totals (one row per column) are aggregates joined back by
+    broadcast; no window spans a column's categories, so a column with very
+    many categories is still spread over all tasks.
+    """
     vc = value_counts(tagged, columns, as_text=True).checkpoint(eager=True)
-    whole = Window.partitionBy("feature")
-    t = vc.select(
-        "feature",
-        "x",
-        "c_ref",
-        "c_cur",
-        F.sum("c_ref").over(whole).alias("n_ref"),
-        F.sum("c_cur").over(whole).alias("n_cur"),
-        F.min("x").over(whole).alias("first_x"),
+    totals = vc.groupBy("feature").agg(
+        F.sum("c_ref").alias("n_ref"),
+        F.sum("c_cur").alias("n_cur"),
+        F.min("x").alias("first_x"),
+        F.min(F.when(F.col("c_ref") > 0, F.col("c_ref"))).alias("min_c_ref"),
+        F.min(F.when(F.col("c_cur") > 0, F.col("c_cur"))).alias("min_c_cur"),
     )
+    fill = lambda m: F.when(m <= 1e-4, m / 1e6).otherwise(F.lit(1e-4))
+    totals = totals.withColumns(
+        {
+            "fill_p": fill(F.col("min_c_ref") / F.col("n_ref")),
+            "fill_q": fill(F.col("min_c_cur") / F.col("n_cur")),
+        }
+    )
+    # one row per column: bounded by the schema
+    t = vc.join(F.broadcast(totals), "feature")
     p = F.col("c_ref") / F.col("n_ref")
     q = F.col("c_cur") / F.col("n_cur")
-    t = t.withColumns({"p": p, "q": q})
-    min_p = F.min(F.when(F.col("p") > 0, F.col("p"))).over(whole)
-    min_q = F.min(F.when(F.col("q") > 0, F.col("q"))).over(whole)
-    fill = lambda m: F.when(m <= 1e-4, m / 1e6).otherwise(F.lit(1e-4))
     t = t.withColumns(
         {
-            "pf": F.when(F.col("p") == 0, fill(min_p)).otherwise(F.col("p")),
-            "qf": F.when(F.col("q") == 0, fill(min_q)).otherwise(F.col("q")),
+            "pf": F.when(F.col("c_ref") == 0, F.col("fill_p")).otherwise(p),
+            "qf": F.when(F.col("c_cur") == 0, F.col("fill_q")).otherwise(q),
         }
     )
-    t = t.withColumns({"pn": F.col("pf") / F.sum("pf").over(whole), "qn": F.col("qf") / F.sum("qf").over(whole)})
+    sums = t.groupBy("feature").agg(F.sum("pf").alias("sum_pf"), F.sum("qf").alias("sum_qf"))
+    t = t.join(F.broadcast(sums), "feature").withColumns(
+        {"pn": F.col("pf") / F.col("sum_pf"), "qn": F.col("qf") / F.col("sum_qf")}
+    )
     mid = (F.col("pn") + F.col("qn")) / 2
     expected = F.col("c_ref") * (F.col("n_cur") / F.col("n_ref"))
     chi_term = F.when(expected == 0, F.lit(float("inf"))).otherwise(
@@ -212,7 +227,7 @@ def column_drift(
     ordinal = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
     rows = cat
     if numeric:
-        num = numeric_distances(tagged, numeric, opts["buckets"]).select(
+        num = numeric_distances(tagged, numeric, opts["rows_per_bucket"]).select(
             "feature", "ks_stat", "wasserstein", "ref_std"
         )
         rows = cat.join(num, "feature", "left")
