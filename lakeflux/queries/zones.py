@@ -15,7 +15,7 @@ from lakeflux.sinks.files import CSV_READ_OPTIONS, write_parquet_replace, write_
 from lakeflux.sinks.warehouse import write_warehouse
 from lakeflux.sources.files import read_lake_table, read_parquet, read_record_arrays
 from lakeflux.sources.snapshot import SNAPSHOT_COL, publish_snapshot, read_latest_snapshot
-from lakeflux.streaming.zone_stream import ingest_available, landing_stream, write_landing_json
+from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_stream, write_landing_json
 
 
 def _documents_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -37,6 +37,19 @@ def zone_head_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_head(records, keep=("id", "title", "body")).select("id", "pos", "title", "body")
 
 
+def zone_stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream form of the zone job: record files -> first 5 of each -> CSV."""
+    path = _documents_landing(spark, sf_dir)
+    root = work_dir(spark, "stream-curate")
+    curate_stream(
+        spark, f"{path}/*/*/*.txt", BUSINESS_SCHEMA, f"{root}/curated", f"{root}/checkpoint",
+        keep=("id", "title", "body"), archive_dir=f"{root}/archive",
+    )
+    schema = "pos int, id bigint, title string, body string, source_file string"
+    back = spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(f"{root}/curated")
+    return back.select("id", "pos", "title", "body")
+
+
 def zone_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     path = write_zone_csv(docs, work_dir(spark, "curated-documents"))
@@ -94,15 +107,18 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_snapshot(spark, path, schema)
 
 
-SQL = {
-    "zone_head_per_file": f"""
+HEAD_PER_FILE_SQL = f"""
 WITH d AS (SELECT *, count(*) OVER (PARTITION BY source) AS cnt FROM documents),
 c AS (SELECT *, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT
                % CAST(ceil(cnt / {float(DEFAULT_RECORDS_PER_FILE)}) AS BIGINT) AS chunk FROM d),
 r AS (SELECT doc_id, lang, text, row_number() OVER (PARTITION BY source, chunk ORDER BY doc_id) - 1 AS pos FROM c)
 SELECT doc_id AS id, CAST(pos AS INTEGER) AS pos, lang AS title, text AS body FROM r WHERE pos < 5
-""",
+"""
+
+SQL = {
+    "zone_head_per_file": HEAD_PER_FILE_SQL,
     "zone_csv_roundtrip": "SELECT doc_id, text, lang, source FROM documents",
+    "zone_stream_curate": HEAD_PER_FILE_SQL,
     "zone_stream_ingest": """
 SELECT strftime(ts, '%Y%m%d') AS day, count(*)::BIGINT AS n, count(DISTINCT event_id)::BIGINT AS n_ids,
        round(sum(value), 6) AS value_sum
@@ -119,6 +135,7 @@ WHERE strftime(ts, '%Y%m%d') = (SELECT max(strftime(ts, '%Y%m%d')) FROM events)
 QUERIES = {
     "zone_head_per_file": zone_head_per_file,
     "zone_csv_roundtrip": zone_csv_roundtrip,
+    "zone_stream_curate": zone_stream_curate,
     "zone_stream_ingest": zone_stream_ingest,
     "parquet_replace": parquet_replace,
     "warehouse_overwrite": warehouse_overwrite,

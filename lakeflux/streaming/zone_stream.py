@@ -68,3 +68,62 @@ def write_landing_json(df: DataFrame, path: str, partition_by: Sequence[str] | N
         writer = writer.partitionBy(*partition_by)
     writer.json(path)
     return path
+
+
+def record_array_stream(
+    spark: SparkSession,
+    source: str,
+    record_schema: StructType,
+    clean_source: str = "archive",
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """New record-array files as ``file, pos, <fields>`` rows (stream form of S2).
+
+    Each file arrives whole (``wholetext``); records are exploded with their
+    position, so a per-file head is a filter in the same micro-batch.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType
+
+    reader = spark.readStream.option("wholetext", "true").option("cleanSource", clean_source)
+    if clean_source == "archive":
+        if not archive_dir:
+            raise ValueError("cleanSource=archive needs archive_dir")
+        reader = reader.option("sourceArchiveDir", archive_dir)
+    raw = reader.text(source).select(F.col("_metadata.file_path").alias("file"), "value")
+    parsed = raw.select("file", F.from_json("value", ArrayType(record_schema)).alias("__records"))
+    return parsed.select("file", F.posexplode("__records").alias("pos", "__r")).select("file", "pos", "__r.*")
+
+
+def curate_stream(
+    spark: SparkSession,
+    source: str,
+    record_schema: StructType,
+    curated: str,
+    checkpoint: str,
+    keep: Sequence[str] = ("title", "body"),
+    n: int = 5,
+    archive_dir: str | None = None,
+) -> dict:
+    """Incremental zone job: every new file's first ``n`` records, chosen
+    columns, appended to the curated CSV folder (one folder per input file)."""
+    from pyspark.sql import functions as F
+
+    from lakeflux.sinks.files import CSV_OPTIONS
+
+    records = record_array_stream(spark, source, record_schema, "archive" if archive_dir else "off", archive_dir)
+    head = records.where(F.col("pos") < n).select(
+        F.element_at(F.split("file", "/"), -1).alias("source_file"), "pos", *keep
+    )
+    writer = (
+        head.writeStream.format("csv")
+        .options(**CSV_OPTIONS)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("source_file")
+        .outputMode("append")
+    )
+    query = writer.trigger(availableNow=True).start(curated)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return {"rows": sum(p.get("numInputRows", 0) for p in query.recentProgress)}
