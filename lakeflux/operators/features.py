@@ -65,14 +65,24 @@ def _hex_prefix_int(h: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(h, start, digits), 16, 10).cast("int")
 
 
-def _boundary(counts: DataFrame, bucket: str, need: int) -> tuple[int | None, int | None]:
-    """Bucket holding the ``need``-th row in bucket order, and the rank inside
-    it. ``counts`` has at most 16**digits rows, so the running sum runs on a
-    small table and only one row (two numbers) comes back."""
+def _boundary(counts: DataFrame, bucket: str, need: int | None = None, fraction: float | None = None):
+    """Bucket holding the ``need``-th row in bucket order (``need`` given, or
+    ``ceil(fraction * total)``), the rank inside it, and ``need`` itself.
+
+    ``counts`` has at most 16**digits rows, so the running sum runs on a small
+    table and only one row (three numbers) comes back.
+    """
     w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("__cum", F.sum("__cnt").over(w)).withColumn("__before", F.col("__cum") - F.col("__cnt"))
-    hit = cum.where((F.col("__before") < need) & (F.col("__cum") >= need)).select(
-        bucket, (F.lit(need) - F.col("__before")).alias("rank")
+    total = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    want = F.lit(need) if need is not None else F.ceil(F.lit(float(fraction)) * F.sum("__cnt").over(total))
+    cum = counts.select(
+        bucket,
+        F.sum("__cnt").over(w).alias("__cum"),
+        (F.sum("__cnt").over(w) - F.col("__cnt")).alias("__before"),
+        want.cast("bigint").alias("__need"),
+    )
+    hit = cum.where((F.col("__before") < F.col("__need")) & (F.col("__cum") >= F.col("__need"))).select(
+        bucket, (F.col("__need") - F.col("__before")).alias("rank"), "__need"
     ).first()
     return (None, None) if hit is None else (int(hit[0]), int(hit[1]))
 
@@ -101,14 +111,12 @@ def seeded_split(
         {"__b1": _hex_prefix_int(F.col("__h"), 1, digits), "__b2": _hex_prefix_int(F.col("__h"), 1 + digits, digits)}
     )
     keys = hashed.select("__h", "__b1", "__b2", key)
-    n = keys.count()
-    n_test = int(math.ceil(test_fraction * n))
     counts1 = keys.groupBy("__b1").agg(F.count(F.lit(1)).alias("__cnt"))
-    b1, need1 = _boundary(counts1, "__b1", n_test)
+    b1, need1 = _boundary(counts1, "__b1", fraction=test_fraction)
     if b1 is None:  # empty test set (or empty input): everything is train
         return df.withColumn(SPLIT_COL, F.lit("train"))
     counts2 = keys.where(F.col("__b1") == b1).groupBy("__b2").agg(F.count(F.lit(1)).alias("__cnt"))
-    b2, need2 = _boundary(counts2, "__b2", need1)
+    b2, need2 = _boundary(counts2, "__b2", need=need1)
 
     in_boundary = (F.col("__b1") == b1) & (F.col("__b2") == b2)
     bulk = hashed.where(~in_boundary).withColumn(
