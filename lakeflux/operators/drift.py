@@ -27,7 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
 from lakeflux.functions.numeric import nan_to_null
 from lakeflux.functions.stats import chi2_sf, kolmogorov_sf, norm_sf_two_sided

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakeflux.functions.text import day_folder
 from lakeflux.operators.columns import select_columns
 from lakeflux.operators.zones import file_name, head_per_file
 from lakeflux.sinks.files import write_zone_csv
@@ -54,7 +53,3 @@ def curate(
     target = dated_prefix(curated_root, ZONE_PREFIX, ds)
     write_zone_csv(out.select("source_file", *keep), target, partition_by=["source_file"])
     return target
-
-
-def run_date(ts_col: str = "ts"):
-    return day_folder(F.col(ts_col))

@@ -14,7 +14,7 @@ from lakeflux.session import work_dir
 from lakeflux.sinks.files import CSV_READ_OPTIONS, write_parquet_replace, write_zone_csv
 from lakeflux.sinks.warehouse import write_warehouse
 from lakeflux.sources.files import read_lake_table, read_parquet, read_record_arrays
-from lakeflux.sources.snapshot import SNAPSHOT_COL, publish_snapshot, read_latest_snapshot
+from lakeflux.sources.snapshot import SNAPSHOT_COL, read_latest_snapshot
 from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_stream, write_landing_json
 
 

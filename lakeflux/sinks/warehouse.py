@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 LOAD_TYPES = ("overwrite", "append")
+# JDBC writer defaults: batched inserts, and an overwrite that truncates the
+# table instead of dropping it (keeps grants and column types).
+JDBC_WRITE_DEFAULTS = {"batchsize": "10000", "truncate": "true"}
 
 
 def write_warehouse(
@@ -20,11 +23,20 @@ def write_warehouse(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     root: str | None = None,
+    num_writers: int | None = None,
 ) -> str:
+    """``num_writers`` caps concurrent connections for JDBC targets (the
+    frame is coalesced, no shuffle)."""
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
-    writer = df.write.format(fmt).mode(load_type).options(**(options or {}))
-    if fmt in ("parquet", "delta", "orc"):
+    file_format = fmt in ("parquet", "delta", "orc")
+    if num_writers and not file_format:
+        df = df.coalesce(num_writers)
+    opts = dict(options or {})
+    if fmt == "jdbc":
+        opts = {**JDBC_WRITE_DEFAULTS, **opts}
+    writer = df.write.format(fmt).mode(load_type).options(**opts)
+    if file_format:
         if root is None:
             raise ValueError("file formats need a root folder")
         target = f"{root.rstrip('/')}/{owner}/{table}"

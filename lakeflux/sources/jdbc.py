@@ -58,3 +58,34 @@ def jdbc_options(
 def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
     """Lazy JDBC scan; filters and projections are pushed to the database."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kwargs)).load()
+
+
+def read_jdbc_partitioned(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    partition_column: str,
+    num_partitions: int,
+    **kwargs,
+) -> DataFrame:
+    """Range-partitioned scan whose bounds come from the database itself.
+
+    One small pushed-down query (``min`` and ``max`` of the column) returns a
+    single row; the table is then read by ``num_partitions`` tasks, each with
+    its own range predicate. Rows outside the bounds still land in the first
+    or last partition, so nothing is lost if the table grows in between.
+    """
+    bounds_sql = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) b"
+    row = read_jdbc(spark, url, bounds_sql, **kwargs).first()
+    if row is None or row["lo"] is None:
+        return read_jdbc(spark, url, table, **kwargs)
+    return read_jdbc(
+        spark,
+        url,
+        table,
+        partition_column=partition_column,
+        lower_bound=row["lo"],
+        upper_bound=row["hi"],
+        num_partitions=num_partitions,
+        **kwargs,
+    )
