@@ -40,24 +40,34 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def standardize(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+def fit_scaler(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Mean and population std of every feature from one aggregate job; the
+    result is one row (two numbers per feature)."""
+    aggs = []
+    for i, name in enumerate(features):
+        aggs += [F.avg(F.col(name)).alias(f"m{i}"), F.stddev_pop(F.col(name)).alias(f"s{i}")]
+    row = df.agg(*aggs).first()
+    return {name: (row[f"m{i}"], row[f"s{i}"]) for i, name in enumerate(features)}
+
+
+def standardize(
+    df: DataFrame,
+    features: Sequence[str],
+    fit_on: DataFrame | None = None,
+    scaler: dict[str, tuple[float | None, float | None]] | None = None,
+) -> DataFrame:
     """Replace each feature by its standard score (F1).
 
-    Mean and *population* std come from ``fit_on`` (default: all rows of
-    ``df``) as scalar subqueries; Spark merges them into one aggregate job and
-    inlines the values, so the scaling itself is a map-only projection. A zero
+    Mean and *population* std come from ``scaler`` or are fitted on
+    ``fit_on`` (default: all rows of ``df``) with one aggregate job; the
+    scaling itself is then a map-only projection against literals. A zero
     std divides by 1 (trap T1).
     """
-    base = df if fit_on is None else fit_on
-    aggs = []
-    for i, name in enumerate(features):
-        aggs += [F.avg(F.col(name)).alias(f"m{i}"), F.stddev_pop(F.col(name)).alias(f"s{i}")]
-    stats = base.agg(*aggs)
+    stats = scaler if scaler is not None else fit_scaler(df if fit_on is None else fit_on, features)
     replaced = {}
-    for i, name in enumerate(features):
-        mean = stats.select(f"m{i}").scalar()
-        std = stats.select(f"s{i}").scalar()
-        replaced[name] = standard_score(F.col(name), mean, std)
+    for name in features:
+        mean, std = stats[name]
+        replaced[name] = standard_score(F.col(name), F.lit(mean).cast("double"), F.lit(std).cast("double"))
     return df.withColumns(replaced)
 
 

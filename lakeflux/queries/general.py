@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.functions.numeric import round_half_even, standard_score
+from lakeflux.functions.numeric import round_half_even
+from lakeflux.operators.features import standardize
 from lakeflux.functions.text import day_folder, file_stamp, object_name
 from lakeflux.operators.columns import add_label
 from lakeflux.operators.grouped import grouped_partials
@@ -97,9 +98,9 @@ def stamp_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def standard_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load(spark, sf_dir, "part")
-    stats = part.agg(F.avg("p_retailprice").alias("m"), F.stddev_pop("p_retailprice").alias("s"))
-    z = standard_score(F.col("p_retailprice"), stats.select("m").scalar(), stats.select("s").scalar())
-    labelled = add_label(part, "is_large", (F.col("p_size") > 25).cast("int"))
+    scaled = standardize(part.select("p_partkey", "p_size", F.col("p_retailprice").alias("z")), ["z"])
+    z = F.col("z")
+    labelled = add_label(scaled, "is_large", (F.col("p_size") > 25).cast("int"))
     return labelled.select("p_partkey", "is_large", round_half_even(z, 4).alias("price_z"))
 
 
