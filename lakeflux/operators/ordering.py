@@ -16,7 +16,8 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_index", num_partitions: int | None = None) -> DataFrame:
-    """0..n-1 in key order without a single-partition window (L3).
+    """0..n-1 in key order without a single-partition window (L3); rows with
+    equal keys get consecutive indexes in an unspecified order.
 
     The frame is range-partitioned and sorted inside partitions, then
     checkpointed to the shared checkpoint folder so partition ids and row order
@@ -26,8 +27,14 @@ def dense_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_in
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
-    fixed = ranged.checkpoint(eager=True)
+    # tie-breakers let the range partitioner split a key that holds many rows
+    # (ties are ordered by row hash, then scan position)
+    keyed = df.withColumns(
+        {"__tie": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "__seq": F.monotonically_increasing_id()}
+    )
+    order = [*order_by, "__tie", "__seq"]
+    ranged = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    fixed = ranged.checkpoint(eager=True).drop("__tie", "__seq")
     tagged = fixed.withColumn("__mid", F.monotonically_increasing_id()).withColumn(
         "__pid", F.shiftright(F.col("__mid"), LOCAL_BITS)
     )

@@ -157,3 +157,13 @@ def test_adaptive_buckets_match_brute_force(spark):
     ks, w1 = _brute_ks_w1(a, b)
     assert got.ks_stat == pytest.approx(ks, abs=1e-12)
     assert got.wasserstein == pytest.approx(w1, rel=1e-9)
+
+
+def test_dense_index_hot_key_is_split(spark):
+    # one key holds a third of the rows: it must not land in one partition
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), "id")
+    out = dense_index(df, ["k"], num_partitions=6)
+    rows = out.collect()
+    assert sorted(r.row_index for r in rows) == list(range(3000))
+    assert all(r.row_index < 1000 for r in rows if r.k == 0)
+    assert sorted(r.row_index for r in rows if r.k > 0) == list(range(1000, 3000))
