@@ -3,10 +3,11 @@
 Per column, with these defaults (all parameters):
 
 * kind: text columns are categorical; numeric columns with at most
-  ``cat_max_unique`` distinct values are categorical too; others numeric.
+  ``cat_max_unique`` distinct reference values are categorical too; others
+  numeric.
 * test when the reference has at most ``small_sample`` rows: numeric ->
   two-sample Kolmogorov-Smirnov (asymptotic p-value), categorical with at most
-  two categories -> two-proportion z-test, else chi-square goodness of fit of
+  two reference categories -> two-proportion z-test, else chi-square goodness of fit of
   current counts against reference proportions; drift when p < ``p_threshold``.
 * above that: numeric -> Wasserstein-1 distance normed by the reference's
   population std (floored at 0.001); categorical -> Jensen-Shannon distance
@@ -188,6 +189,7 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
         F.first("n_ref").cast("bigint").alias("n_ref"),
         F.first("n_cur").cast("bigint").alias("n_cur"),
         F.count(F.lit(1)).cast("bigint").alias("n_cat"),
+        F.count_if(F.col("c_ref") > 0).cast("bigint").alias("n_ref_cat"),
         F.sum(chi_term).alias("chi2_stat"),
         F.sum(F.col("pn") * F.log(F.col("pn") / mid) + F.col("qn") * F.log(F.col("qn") / mid)).alias("js_sum"),
         F.sum(F.when(F.col("x") == F.col("first_x"), F.col("c_ref")).otherwise(0)).alias("a_ref"),
@@ -203,6 +205,7 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
         "n_ref",
         "n_cur",
         "n_cat",
+        "n_ref_cat",
         "chi2_stat",
         (F.col("n_cat") - 1).cast("int").alias("chi2_dof"),
         chi2_sf(F.col("chi2_stat"), (F.col("n_cat") - 1).cast("int")).alias("chi2_p"),
@@ -234,12 +237,14 @@ def column_drift(
     else:
         rows = cat.withColumns({"ks_stat": F.lit(None).cast("double"), "wasserstein": F.lit(None).cast("double"), "ref_std": F.lit(None).cast("double")})
     is_num_type = F.col("feature").isin(numeric) if numeric else F.lit(False)
-    kind = F.when(is_num_type & (F.col("n_cat") > opts["cat_max_unique"]), "num").otherwise("cat")
+    # distinct values of the reference side decide the test, as the usual
+    # default rules do
+    kind = F.when(is_num_type & (F.col("n_ref_cat") > opts["cat_max_unique"]), "num").otherwise("cat")
     small = F.col("n_ref") <= opts["small_sample"]
     rows = rows.withColumn("kind", kind)
     test = (
         F.when(small & (F.col("kind") == "num"), "ks")
-        .when(small & (F.col("n_cat") <= 2), "z")
+        .when(small & (F.col("n_ref_cat") <= 2), "z")
         .when(small, "chi2")
         .when(F.col("kind") == "num", "wasserstein")
         .otherwise("jensenshannon")

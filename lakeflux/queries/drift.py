@@ -148,7 +148,7 @@ f_{c} AS (SELECT *, CASE WHEN p = 0 THEN {fill('min(p) FILTER (WHERE p > 0) OVER
                     CASE WHEN q = 0 THEN {fill('min(q) FILTER (WHERE q > 0) OVER ()')} ELSE q END AS qf FROM t_{c}),
 n_{c} AS (SELECT *, pf / sum(pf) OVER () AS pn, qf / sum(qf) OVER () AS qn FROM f_{c}),
 cat_{c} AS (SELECT '{c}' AS feature, CAST(any_value(n_ref) AS BIGINT) AS n_ref, CAST(any_value(n_cur) AS BIGINT) AS n_cur,
-                   count(*)::BIGINT AS n_cat,
+                   count(*)::BIGINT AS n_cat, count(*) FILTER (WHERE c_ref > 0)::BIGINT AS n_ref_cat,
                    sum(CASE WHEN c_ref * (n_cur / n_ref) = 0 THEN 'inf'::DOUBLE
                             ELSE pow(c_cur - c_ref * (n_cur / n_ref), 2) / (c_ref * (n_cur / n_ref)) END) AS chi2_stat,
                    sum(pn * ln(pn / ((pn + qn) / 2)) + qn * ln(qn / ((pn + qn) / 2))) AS js_sum,
@@ -162,7 +162,7 @@ def _cat_select(c: str) -> str:
     var = f"({pooled} * (1 - {pooled}) * (1.0 / n_ref + 1.0 / n_cur))"
     z = f"((a_ref / n_ref - a_cur / n_cur) / sqrt({var}))"
     return (
-        f"SELECT feature, n_ref, n_cur, n_cat, chi2_stat, CAST(n_cat - 1 AS INTEGER) AS chi2_dof, "
+        f"SELECT feature, n_ref, n_cur, n_cat, n_ref_cat, chi2_stat, CAST(n_cat - 1 AS INTEGER) AS chi2_dof, "
         f"{chi2_sf_sql('chi2_stat', 'n_cat - 1')} AS chi2_p, "
         f"CASE WHEN {var} > 0 THEN {erfc_sql(f'abs({z}) / sqrt(2.0)')} ELSE 1.0 END AS z_p, "
         f"sqrt(greatest(0.0, js_sum / 2)) AS js FROM cat_{c}"
@@ -184,10 +184,10 @@ WITH {','.join(ctes)},
 cats AS ({cat_all}),
 nums AS ({num_all}),
 r AS (SELECT c.*, n.ks_stat, n.wasserstein, n.ref_std,
-             CASE WHEN c.feature IN ({numeric_list}) AND c.n_cat > {o['cat_max_unique']} THEN 'num' ELSE 'cat' END AS kind
+             CASE WHEN c.feature IN ({numeric_list}) AND c.n_ref_cat > {o['cat_max_unique']} THEN 'num' ELSE 'cat' END AS kind
       FROM cats c LEFT JOIN nums n USING (feature)),
 s AS (SELECT *, CASE WHEN n_ref <= {o['small_sample']} AND kind = 'num' THEN 'ks'
-                     WHEN n_ref <= {o['small_sample']} AND n_cat <= 2 THEN 'z'
+                     WHEN n_ref <= {o['small_sample']} AND n_ref_cat <= 2 THEN 'z'
                      WHEN n_ref <= {o['small_sample']} THEN 'chi2'
                      WHEN kind = 'num' THEN 'wasserstein' ELSE 'jensenshannon' END AS test FROM r),
 sc AS (SELECT *, CASE test WHEN 'ks' THEN {kolmogorov_sf_sql(lam)} WHEN 'z' THEN z_p WHEN 'chi2' THEN chi2_p
