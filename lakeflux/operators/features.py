@@ -92,7 +92,7 @@ def _boundary(counts: DataFrame, bucket: str, need: int | None = None, fraction:
         want.cast("bigint").alias("__need"),
     )
     hit = cum.where((F.col("__before") < F.col("__need")) & (F.col("__cum") >= F.col("__need"))).select(
-        bucket, (F.col("__need") - F.col("__before")).alias("rank"), "__need"
+        bucket, (F.col("__need") - F.col("__before")).alias("rank")
     ).first()
     return (None, None) if hit is None else (int(hit[0]), int(hit[1]))
 
@@ -116,7 +116,8 @@ def seeded_split(
     projection against literals, plus a window over the rows of the one final
     sub-bucket (about n / 16**(2*digits) rows).
     """
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    # a null key hashes like the empty string, so no row is ever lost
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
     hashed = df.withColumns({"__h": h}).withColumns(
         {"__b1": _hex_prefix_int(F.col("__h"), 1, digits), "__b2": _hex_prefix_int(F.col("__h"), 1 + digits, digits)}
     )

@@ -167,3 +167,10 @@ def test_dense_index_hot_key_is_split(spark):
     assert sorted(r.row_index for r in rows) == list(range(3000))
     assert all(r.row_index < 1000 for r in rows if r.k == 0)
     assert sorted(r.row_index for r in rows if r.k > 0) == list(range(1000, 3000))
+
+
+def test_split_keeps_rows_with_null_keys(spark):
+    df = spark.createDataFrame([(None,)] * 3 + [(i,) for i in range(97)], "k long")
+    out = seeded_split(df, "k").collect()
+    assert len(out) == 100
+    assert sum(r.split == "test" for r in out) == 20
