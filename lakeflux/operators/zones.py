@@ -40,8 +40,9 @@ def write_landing_records(
     Each file is one group of at most about ``records_per_file`` rows, so no
     task ever holds a whole hot key; the per-key counts are a small aggregate.
     """
-    counts = df.groupBy(file_key).agg(F.count(F.lit(1)).alias("__cnt"))
-    with_n = df.join(counts, file_key)
+    counts = df.groupBy(F.col(file_key).alias("__fk")).agg(F.count(F.lit(1)).alias("__cnt"))
+    # null-safe: rows without a file key form their own file instead of vanishing
+    with_n = df.join(counts, df[file_key].eqNullSafe(counts["__fk"])).drop("__fk")
     chunked = with_n.withColumn(
         "chunk", hash_chunk(F.col(order_col), F.ceil(F.col("__cnt") / F.lit(float(records_per_file))))
     )
