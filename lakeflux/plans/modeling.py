@@ -3,8 +3,8 @@
 1. ``prepare``: standardise features on all rows (F1), seeded split (F2),
    publish the feature set partitioned by split (K7).
 2. ``train``: fit on the train partition (F3), save the artefact (F5).
-3. ``score_and_evaluate``: load, score the test partition (F4), align by key
-   (J2), accuracy and weighted scores (A8, A9), confusion matrix (A10), metric
+3. ``score_and_evaluate``: load, score the test partition (F4), publish the
+   predictions (K3), align by key (J2), accuracy and weighted scores (A8, A9), confusion matrix (A10), metric
    rows appended to the metrics log (K6).
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakeflux.operators.evaluate import accuracy, align, confusion_matrix, metrics_long, weighted_scores
 from lakeflux.operators.features import SPLIT_COL, seeded_split, standardize
 from lakeflux.operators.model import feature_vector, fit_classifier, load_model, save_model, score
-from lakeflux.sinks.files import publish_feature_set
+from lakeflux.sinks.files import publish_feature_set, write_parquet_replace
 from lakeflux.sinks.metrics import append_metrics
 
 
@@ -42,9 +42,15 @@ def score_and_evaluate(
     model_path: str,
     run_id: str,
     metrics_path: str | None = None,
+    predictions_path: str | None = None,
 ) -> dict[str, DataFrame]:
     test = spark.read.parquet(feature_set).where(F.col(SPLIT_COL) == "test")
     predictions = score(load_model(model_path), feature_vector(test, features), key)
+    if predictions_path is not None:
+        # publish the predictions (K3) and evaluate from the written table, so
+        # the model runs once however many metrics read its output
+        write_parquet_replace(predictions, predictions_path)
+        predictions = spark.read.parquet(predictions_path)
     aligned = align(test.select(key, F.col(label).alias("target")), predictions, key)
     acc = accuracy(aligned).select("accuracy")
     scores = weighted_scores(aligned).select("precision", "recall", "f1")

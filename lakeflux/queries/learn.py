@@ -53,7 +53,8 @@ def model_chain_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     features_path = modeling.prepare(keyed, "row_key", LINEITEM_FEATURES, "l_returnflag", f"{root}/features")
     model_path = modeling.train(spark, features_path, LINEITEM_FEATURES, "l_returnflag", f"{root}/model/v1")
     out = modeling.score_and_evaluate(
-        spark, features_path, LINEITEM_FEATURES, "row_key", "l_returnflag", model_path, "run-lineitem", f"{root}/metrics"
+        spark, features_path, LINEITEM_FEATURES, "row_key", "l_returnflag", model_path, "run-lineitem",
+        f"{root}/metrics", f"{root}/predictions",
     )
     return spark.read.parquet(f"{root}/metrics")
 
