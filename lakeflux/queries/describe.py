@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.functions.lookup import STATE_REGION
+from lakeflux.functions.lookup import STATE_REGION, region_of
 from lakeflux.functions.text import OS_FALLBACK, OS_NAMES, os_family
 from lakeflux.operators.lookup import attach_region
 from lakeflux.operators.profile import column_profile
@@ -125,14 +125,16 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_state = c.select(
         "c_custkey", F.element_at(codes, (F.pmod(F.col("c_custkey"), F.lit(len(STATE_CYCLE))) + 1).cast("int")).alias("state")
     )
-    return attach_region(with_state, "state", "region").select("c_custkey", "state", "region")
+    joined = attach_region(with_state, "state", "region")
+    # the same lookup as a literal map (X13); must agree with the join
+    return joined.select("c_custkey", "state", "region", region_of("state").alias("region_by_map"))
 
 
 def _region_sql() -> str:
     values = ", ".join(f"('{s}', '{r}')" for s, r in STATE_REGION)
     cycle = ", ".join(f"'{s}'" for s in STATE_CYCLE)
     return f"""
-SELECT c.c_custkey, c.state, d.region
+SELECT c.c_custkey, c.state, d.region, d.region AS region_by_map
 FROM (SELECT c_custkey, [{cycle}][(c_custkey % {len(STATE_CYCLE)}) + 1] AS state FROM customer) c
 LEFT JOIN (VALUES {values}) d(state, region) ON c.state = d.state
 """
