@@ -6,7 +6,8 @@ Per column, with these defaults (all parameters):
   ``cat_max_unique`` distinct reference values are categorical too; others
   numeric.
 * test when the reference has at most ``small_sample`` rows: numeric ->
-  two-sample Kolmogorov-Smirnov (asymptotic p-value), categorical with at most
+  two-sample Kolmogorov-Smirnov (asymptotic p-value; ``ks_method="auto"`` or
+  ``"exact"`` for the exact small-sample one), categorical with at most
   two reference categories -> two-proportion z-test, else chi-square goodness of fit of
   current counts against reference proportions; drift when p < ``p_threshold``.
 * above that: numeric -> Wasserstein-1 distance normed by the reference's
@@ -26,6 +27,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -40,6 +43,7 @@ DEFAULTS = {
     "d_threshold": 0.1,
     "share_threshold": 0.3,
     "rows_per_bucket": 2_000_000,
+    "ks_method": "asymp",
 }
 
 
@@ -144,6 +148,52 @@ def ks_p_value(n_ref, n_cur, d):
     return kolmogorov_sf(en * d)
 
 
+def ks_exact_sf(m: int, n: int, d: float) -> float:
+    """Exact two-sided P(D >= d) for samples of sizes m and n (no ties).
+
+    A uniformly random interleaving of the two samples is a lattice path from
+    (0, 0) to (m, n); D < d exactly when the path stays inside
+    |i*n - j*m| < d*m*n. ``u`` holds, along one anti-diagonal i + j = s, the
+    probability that a random path to (i, j) stayed inside; each diagonal
+    follows from the previous one (vectorised over i).
+    """
+    if m <= 0 or n <= 0:
+        return float("nan")
+    band = round(d * m * n)
+    if band <= 0:
+        return 1.0
+    i = np.arange(m + 1, dtype=np.float64)
+    ii = np.arange(m + 1, dtype=np.int64)
+    u = np.zeros(m + 1)
+    u[0] = 1.0
+    for s in range(1, m + n + 1):
+        j = s - ii
+        valid = (j >= 0) & (j <= n) & (np.abs(ii * n - j * m) < band)
+        from_left = np.concatenate(([0.0], u[:-1])) * (i / s)  # step in the m-sample
+        from_below = u * ((s - i) / s)  # step in the n-sample
+        u = np.where(valid, from_left + from_below, 0.0)
+    return float(min(1.0, max(0.0, 1.0 - u[m])))
+
+
+def _ks_exact_series(m: pd.Series, n: pd.Series, d: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact_sf(int(a), int(b), float(c)) for a, b, c in zip(m, n, d)])
+
+
+EXACT_KS_MAX_N = 10000
+
+
+def ks_p_value_for(method: str, n_ref, n_cur, d):
+    """``asymp``; ``exact`` (lattice-path count, one Python call per column
+    row); ``auto``: exact while both samples have at most 10000 values."""
+    if method == "asymp":
+        return ks_p_value(n_ref, n_cur, d)
+    exact = F.pandas_udf(_ks_exact_series, "double")(n_ref, n_cur, d)
+    if method == "exact":
+        return exact
+    small = F.greatest(n_ref, n_cur) <= EXACT_KS_MAX_N
+    return F.when(small, exact).otherwise(ks_p_value(n_ref, n_cur, d))
+
+
 def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: n_ref, n_cur, n_cat, chi2_stat, chi2_dof, chi2_p, z_p, js.
 
@@ -252,7 +302,7 @@ def column_drift(
     rows = rows.withColumn("test", test)
     wnorm = F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))
     score = (
-        F.when(F.col("test") == "ks", ks_p_value(F.col("n_ref"), F.col("n_cur"), F.col("ks_stat")))
+        F.when(F.col("test") == "ks", ks_p_value_for(opts["ks_method"], F.col("n_ref"), F.col("n_cur"), F.col("ks_stat")))
         .when(F.col("test") == "z", F.col("z_p"))
         .when(F.col("test") == "chi2", F.col("chi2_p"))
         .when(F.col("test") == "wasserstein", wnorm)

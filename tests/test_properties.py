@@ -174,3 +174,51 @@ def test_split_keeps_rows_with_null_keys(spark):
     out = seeded_split(df, "k").collect()
     assert len(out) == 100
     assert sum(r.split == "test" for r in out) == 20
+
+
+def _ks_brute(m: int, n: int, d: float) -> float:
+    """P(D >= d) by enumerating every interleaving of m and n values."""
+    from itertools import combinations
+    from math import comb
+
+    hits = 0
+    for pos in combinations(range(m + n), m):
+        chosen = set(pos)
+        a = b = 0
+        dmax = 0.0
+        for k in range(m + n):
+            if k in chosen:
+                a += 1
+            else:
+                b += 1
+            dmax = max(dmax, abs(a / m - b / n))
+        hits += dmax >= d - 1e-12
+    return hits / comb(m + n, m)
+
+
+@pytest.mark.parametrize("m,n,d", [(3, 4, 0.5), (5, 5, 0.6), (6, 4, 0.5), (7, 5, 0.4), (4, 8, 0.75), (6, 6, 1 / 6)])
+def test_ks_exact_matches_enumeration(m, n, d):
+    from lakeflux.operators.drift import ks_exact_sf
+
+    assert ks_exact_sf(m, n, d) == pytest.approx(_ks_brute(m, n, d), abs=1e-12)
+
+
+def test_ks_exact_near_asymptotic_for_large_samples():
+    import math
+
+    from lakeflux.operators.drift import ks_exact_sf
+
+    m, n, d = 3000, 2500, 0.04
+    lam = math.sqrt(m * n / (m + n)) * d
+    asym = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 100))
+    assert abs(ks_exact_sf(m, n, d) - asym) < 0.01
+
+
+def test_column_drift_exact_ks_option(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ref = df.where("ts < '2024-01-16'").select("value")
+    cur = df.where("ts >= '2024-01-16'").select("value")
+    exact = column_drift(ref, cur, ["value"], ks_method="exact").first()
+    asym = column_drift(ref, cur, ["value"]).first()
+    assert exact.test == "ks" and 0.0 <= exact.score <= 1.0
+    assert abs(exact.score - asym.score) < 0.05
