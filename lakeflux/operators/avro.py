@@ -104,7 +104,8 @@ def avro_fields(df: DataFrame) -> DataFrame:
 
 def _value_class(type_text: Column, raw: Column) -> Column:
     """Avro class of one JSON value from its variant type and raw text."""
-    integral = raw.rlike(r"^-?[0-9]+$")
+    # a JSON number is integral when its text has no fraction or exponent
+    integral = ~(raw.contains(".") | raw.contains("e") | raw.contains("E"))
     as_long = raw.try_cast("bigint")
     number = (
         F.when(integral & as_long.between(-(2**31), 2**31 - 1), "int")
@@ -140,17 +141,22 @@ def json_field_types(df: DataFrame, json_col: str) -> DataFrame:
         F.element_at(F.col("__raw"), F.col("key")).alias("raw"),
     )
     classes = exploded.select("key", _value_class(F.col("type_text"), F.col("raw")).alias("cls"))
+    kinds = ["int", "long", "double", "boolean", "string"]
     per_key = classes.groupBy("key").agg(
         F.count_if(F.col("cls") != "null").cast("bigint").alias("n_values"),
         F.count_if(F.col("cls") == "null").cast("bigint").alias("n_null"),
-        F.array_sort(F.collect_set(F.when(F.col("cls") != "null", F.col("cls")))).alias("classes"),
+        *[F.max((F.col("cls") == k).cast("int")).alias(f"has_{k}") for k in kinds],
     )
-    cls = F.col("classes")
+    has = {k: F.col(f"has_{k}") == 1 for k in kinds}
+    n_kinds = sum((F.col(f"has_{k}") for k in kinds[1:]), F.col("has_int"))
+    single = F.lit(None).cast("string")
+    for k in kinds:
+        single = F.when(has[k], F.lit(k)).otherwise(single)
     merged = (
-        F.when(F.size(cls) == 0, "string")
-        .when(F.size(cls) == 1, cls[0])
-        .when(F.size(F.array_except(cls, F.array(F.lit("int"), F.lit("long")))) == 0, "long")
-        .when(F.size(F.array_except(cls, F.array(F.lit("int"), F.lit("long"), F.lit("double")))) == 0, "double")
+        F.when(n_kinds == 0, "string")
+        .when(n_kinds == 1, single)
+        .when(~has["double"] & ~has["boolean"] & ~has["string"], "long")
+        .when(~has["boolean"] & ~has["string"], "double")
         .otherwise("string")
     )
     return per_key.select(
