@@ -176,7 +176,15 @@ def ks_exact_sf(m: int, n: int, d: float) -> float:
 
 
 def _ks_exact_series(m: pd.Series, n: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([ks_exact_sf(int(a), int(b), float(c)) for a, b, c in zip(m, n, d)])
+    # rows of other tests reach the UDF too (it is evaluated before the CASE
+    # picks a branch); their inputs can be null
+    return pd.Series(
+        [
+            None if pd.isna(a) or pd.isna(b) or pd.isna(c) else ks_exact_sf(int(a), int(b), float(c))
+            for a, b, c in zip(m, n, d)
+        ],
+        dtype="float64",
+    )
 
 
 EXACT_KS_MAX_N = 10000
