@@ -45,6 +45,27 @@ def build_session(
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run.
+
+    Shuffle partitions are sized so one partition holds about
+    ``target_partition_bytes`` of the input, and never fewer than 2x the
+    cores. AQE then coalesces small ones and splits skewed ones at run time.
+    File splits stay at the same target so scan tasks fit executor memory.
+    """
+    by_size = -(-max(1, input_bytes) // target_partition_bytes)
+    partitions = max(2 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a local one only if unset."""
     sc = spark.sparkContext
