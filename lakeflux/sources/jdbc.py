@@ -33,6 +33,9 @@ def jdbc_options(
         "dbtable": table,
         "fetchsize": str(fetch_size),
         "loginTimeout": str(login_timeout),
+        # the audit row count becomes COUNT(*) in the database; a preview LIMIT too
+        "pushDownAggregate": "true",
+        "pushDownLimit": "true",
     }
     if user is not None:
         opts["user"] = user
