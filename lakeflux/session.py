@@ -67,13 +67,18 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only if unset."""
+    """Return the session's checkpoint folder. Only a local-mode session (tests)
+    with none configured gets a temporary one; a cluster session must name a
+    shared folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for cluster runs")
         configured = tempfile.mkdtemp(prefix="lakeflux-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
