@@ -124,3 +124,18 @@ def test_t10_rows_written_is_bigint(spark):
     ]
     env = to_envelope(out)
     assert env.columns == ["value"] and env.count() == 7
+
+
+def test_profile_boolean_and_mixed_columns(spark):
+    df = spark.createDataFrame(
+        [(True, 1, "a"), (False, None, "a"), (None, 3, None), (True, 3, "b")], "flag boolean, n int, s string"
+    )
+    rows = {r.feature: r for r in column_profile(df).collect()}
+    f = rows["flag"]
+    assert (f.dtype, f.is_categorical, f.is_binary, f.n_unique) == ("boolean", 0, 0, 2)
+    assert (f.min_value, f.max_value, f.null_share) == (0.0, 1.0, 0.25)
+    n = rows["n"]
+    assert (n.n_unique, n.min_value, n.max_value, n.null_share) == (2, 1.0, 3.0, 0.25)
+    s = rows["s"]
+    assert (s.is_categorical, s.is_binary, s.n_unique, s.min_value) == (1, 1, 2, None)
+    assert [r.feature for r in column_profile(df, ["s", "flag"]).orderBy("ordinal").collect()] == ["s", "flag"]
