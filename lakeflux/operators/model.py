@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +31,18 @@ def feature_vector(df: DataFrame, features: Sequence[str] | str, out: str = "fea
 
 
 def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int = 100, features_col: str = "features") -> PipelineModel:
-    """Fit label indexing + logistic regression + label decoding."""
-    n = train.count()
-    indexer = StringIndexer(inputCol=label, outputCol="__label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
+    """Fit label indexing + logistic regression + label decoding.
+
+    One small aggregate (count per label: at most #classes rows) gives both
+    the label vocabulary and n for the penalty, so no separate indexer fit
+    or count pass runs before the optimiser.
+    """
+    counts = train.groupBy(F.col(label).cast("string").alias("l")).count().collect()
+    labels = sorted(r["l"] for r in counts if r["l"] is not None)
+    n = sum(r["count"] for r in counts if r["l"] is not None)
+    if not labels:
+        raise ValueError("no labelled rows to train on")
+    indexer = StringIndexerModel.from_labels(labels, inputCol=label, outputCol="__label_idx", handleInvalid="error")
     lr = LogisticRegression(
         featuresCol=features_col,
         labelCol="__label_idx",
@@ -45,9 +54,8 @@ def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
         maxIter=max_iter,
         tol=1e-4,
     )
-    fitted_indexer = indexer.fit(train)
-    decoder = IndexToString(inputCol="__pred_idx", outputCol=PRED_COL, labels=fitted_indexer.labels)
-    return Pipeline(stages=[fitted_indexer, lr, decoder]).fit(train)
+    decoder = IndexToString(inputCol="__pred_idx", outputCol=PRED_COL, labels=labels)
+    return Pipeline(stages=[indexer, lr, decoder]).fit(train.where(F.col(label).isNotNull()))
 
 
 def save_model(model: PipelineModel, path: str) -> str:
