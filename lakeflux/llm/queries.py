@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.llm import langid, license, packing
+from lakeflux.llm import decontaminate, embedding_dedup, langid, license, linededup, lm_scoring, ngram_join, packing, substring_dedup, suffix_dedup
 from lakeflux.queries.common import load
 
 #: A tokenizer file; the folder of public tokenizers is described by its own README.
@@ -27,12 +27,25 @@ def fit_langid(docs: DataFrame) -> langid.Filters:
     return langid.fit(docs.where(~_id_mod(4, 2)))
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"), 100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     out = langid.identify(docs.select("doc_id", "text"), fit_langid(docs))
     return out.select("doc_id", _id_mod(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.deleted_spans(load(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license.scan_licenses(load(spark, sf_dir, "documents"))
     return out.select(
@@ -48,13 +61,67 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(load(spark, sf_dir, "documents"), ~_id_mod(7, 2))
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(load(spark, sf_dir, "documents"), 3, 90)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path(), 1024, 2)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_units(load(spark, sf_dir, "documents"), "line", 20)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py at the repository top, over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": pipeline,
 }
-SQL: dict[str, str] = {}
+
+# Lines that start at an earlier place of the corpus, too; offsets count UTF-8 bytes.
+_OP10 = r"""
+WITH lines AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), units AS (
+  SELECT doc_id, unnest(range(len(parts))) AS unit, unnest(parts) AS line, len(parts) AS n FROM lines
+), placed AS (
+  SELECT doc_id, unit, line, octet_length(encode(line)) + CASE WHEN unit + 1 < n THEN 1 ELSE 0 END AS length,
+         lower(trim(regexp_replace(line, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS plain
+  FROM units
+), started AS (
+  SELECT *, sum(length) OVER (PARTITION BY doc_id ORDER BY unit) - length AS start FROM placed
+), long AS (
+  SELECT * FROM started WHERE plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 20
+), ranked AS (
+  SELECT *, first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit, row_number() OVER w AS r
+  FROM long WINDOW w AS (PARTITION BY sha256(plain) ORDER BY doc_id, unit)
+)
+SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, first_doc_id, CAST(first_unit AS INTEGER) AS first_unit
+FROM ranked WHERE r > 1
+"""
+
+SQL: dict[str, str] = {"op10_substring_dedup": _OP10}
