@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lakeflux.llm import textblocks as T
 
@@ -124,18 +125,15 @@ def fit(docs: DataFrame, max_train_docs: int = 20_000, top_grams: int = 30_000,
     return Filters(langs, [rows.gram[rows.label == lang].to_numpy(np.int64) for lang in langs])
 
 
-def identify(docs: DataFrame, filters: Filters) -> DataFrame:
-    """The documents with lang_pred and score added; no other column is read than text."""
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
-    taken = {c.lower() for c in docs.columns}
-    if taken & {"lang_pred", "score", "_has_letter"}:
-        docs = docs.drop(*[c for c in docs.columns if c.lower() in {"lang_pred", "score", "_has_letter"}])
+def identify(docs: DataFrame, filters: Filters, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The documents with their language and score added, under these names in place of
+    columns that have them; no other column is read than text."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
     shared = docs.sparkSession.sparkContext.broadcast(filters)  # fixed size: 2**SLOT_BITS slots
-    rows = docs.withColumn("_has_letter", F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    rows = docs.withColumn("__llm_letter", F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     at = rows.columns.index(next(c for c in rows.columns if c.lower() == "text"))
-    names_out = [*docs.columns, "lang_pred", "score"]
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    names_out = [*docs.columns, *names]
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
 
     def run(batches):
         f = shared.value
@@ -148,9 +146,9 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
                     best[lo:hi] = s.argmax(1)
                     score[lo:hi] = s.max(1)
             letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-            names = [f.langs[k] if ok and f.langs else "und" for k, ok in zip(best, letter)]
+            langs = [f.langs[k] if ok and f.langs else "und" for k, ok in zip(best, letter)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.where(letter, score, 0.0))], names_out
+                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0))], names_out
             )
 
     return rows.mapInArrow(run, schema)

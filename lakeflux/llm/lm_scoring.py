@@ -35,6 +35,8 @@ from lakeflux.llm.work import materialise
 
 BUCKETS = 256
 NOISE = 10
+#: Tokens that a task adds up at a time.
+COUNTED_TOGETHER = 3_000_000
 END = np.uint64(0x8C58_0E57_1B1D_0A2F)
 
 
@@ -58,13 +60,23 @@ def tokens(buf: np.ndarray, offs: np.ndarray):
 def token_counts(docs: DataFrame) -> DataFrame:
     """(h, bucket, n) of the tokens of all texts; a task adds up what it has read before it is shuffled."""
 
+    def added(parts):
+        h, bucket = (np.concatenate(c) for c in zip(*parts))
+        u, at, n = np.unique(h, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(u)), pa.array(bucket[at], pa.int32()), pa.array(n)], ["h", "bucket", "n"])
+
     def run(batches):
+        parts, held = [], 0
         for batch in batches:
-            parts = [tokens(buf, offs)[:2] for _, _, buf, offs in T.blocks(batch.column(0))]
-            if parts:
-                h, bucket = (np.concatenate(c) for c in zip(*parts))
-                u, at, n = np.unique(h, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(T.signed(u)), pa.array(bucket[at], pa.int32()), pa.array(n)], ["h", "bucket", "n"])
+            for _, _, buf, offs in T.blocks(batch.column(0)):
+                h, bucket, _ = tokens(buf, offs)
+                parts.append((h, bucket.astype(np.int16)))
+                held += len(h)
+                if held >= COUNTED_TOGETHER:
+                    yield added(parts)
+                    parts, held = [], 0
+        if parts:
+            yield added(parts)
 
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(run, "h long, bucket int, n long")
     return rows.groupBy("h", "bucket").agg(F.sum("n").alias("n"))

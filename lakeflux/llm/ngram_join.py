@@ -1,15 +1,19 @@
 """Jaccard self-join of documents on word n-grams, by grouped prefix join.
 
 1. Documents with equal shingle sets are one class; classes of equal size and equal
-   prefix are one group. The prefix is the first ``n - ceil(t * n) + 1`` shingles in one
-   order for all: two sets of similarity t share a shingle of both prefixes. Shingles that
-   a bounded sample finds frequent come last in the order, which changes no result.
-2. Prefix shingles are sorted by range, so that a hot shingle is spread over tasks, and
-   each group is paired with the first group of its run of a shingle. Every group's class
-   is verified against the class it shares most with: one pair a class, not all pairs.
-3. What is left are pairs that share a prefix shingle but no component yet. They pass the
-   size and position filters, are expanded to members and verified, which completes the
-   components: no link between components is lost.
+   prefix are one group. The prefix is the first ``n - ceil(t * n) + l`` shingles in one
+   order for all: two sets of similarity t share at least ``l`` shingles of both prefixes
+   (see ``shared_least``). Shingles that a bounded sample finds frequent come last in the
+   order, which changes no result.
+2. Prefix shingles are sorted by range, so that a hot shingle is spread over tasks; a group
+   with fewer than ``l`` shingles that others have, too, is linked with nothing. Each
+   shingle's hub is its group whose shingles are the most widely shared; each group goes to
+   the hub it shares most with, and every class is verified against its hub's: one pair a
+   class, not all pairs.
+3. The groups of one hub are a cluster. Pairs of clusters that share ``l`` prefix shingles
+   and are not one component yet pass the size filter, are expanded to members, dealt into
+   blocks, and verified by matrix products in the tasks, which emit spanning links only:
+   no link between components is lost, and no group's pairs are ever rows.
 
 Defined results: null and empty texts have an empty set and stand alone; with fewer words
 than n the whole sequence is the one shingle; rows alike in id are in one component; a null
@@ -21,16 +25,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeflux.llm import textblocks as T
 from lakeflux.llm.components import components
-from lakeflux.llm.work import attach, id_back, keyed, materialise, maybe_in
+from lakeflux.llm.work import attach, id_back, keyed, materialise, maybe_in, sorted_groups
 
 #: The sample that finds frequent shingles, and how many of them the order knows; results do not depend on either.
 ORDER_SAMPLE_DOCS = 4000
 ORDER_SHINGLES = 100_000
+#: Classes of a cluster that one task compares with as many of another.
+BLOCK = 256
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +81,12 @@ def _need(size, percent: int):
     return (size * percent + 99) // 100
 
 
+def shared_least(size, percent: int):
+    """l, the prefix shingles that two linked sets share, where the smaller has this size: half as many again as a plain prefix has."""
+    need = _need(size, percent)
+    return np.minimum(3 * (size - need + 1) // 2, need)
+
+
 _SETS = "doc long, tkey long, size int, code long, prefix array<long>"
 
 
@@ -93,7 +105,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
                 order = np.lexsort((g, last, d))
                 cut = np.append(0, np.cumsum(size))
                 place = np.arange(len(g)) - cut[d]
-                first = place < (size - _need(size, percent) + 1)[d]
+                first = place < (size - _need(size, percent) + shared_least(size, percent))[d]
                 code = np.zeros(m, np.uint64)
                 np.add.at(code, d, T.mix(g ^ np.uint64(0xA0761D6478BD642F)))
                 yield pa.RecordBatch.from_arrays(
@@ -111,49 +123,36 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """Rows (h, gid, size, pos), sorted by h in each task, whose h has another row, with the first gid of their run.
+    """Rows (h, gid, size), sorted by h in each task, whose h has another row.
 
-    A run that touches the end of its task may go on in the next one, and so is kept whole.
+    A run that touches either end of its task may go on in another one, and so is kept.
     """
 
     def run(batches):
-        held: list[np.ndarray] = []  # columns of the run that is not over yet
-
-        def emit(c, hub):
-            return pa.RecordBatch.from_arrays([pa.array(c[0]), pa.array(c[1]), pa.array(c[2], pa.int32()), pa.array(c[3], pa.int32()), pa.array(hub)], ["h", "gid", "size", "pos", "hub"])
-
-        first_run, hub = True, None  # hub: of the run that a batch left open
+        held, start = None, True  # the run that is not over yet; whether it is the task's first
         for batch in batches:
-            c = [x.to_numpy() for x in batch.columns]
-            if held:
-                c = [np.concatenate(x) for x in zip(held, c)]
-            n = len(c[0])
-            if not n:
+            if not batch.num_rows:
                 continue
-            begin = np.flatnonzero(np.append(True, c[0][1:] != c[0][:-1]))
-            size = np.diff(np.append(begin, n))
-            hubs = c[1][begin]
-            open_at = begin[-1]
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            rows = table.to_batches()[0]
+            h = rows.column(0).to_numpy()
+            begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            size = np.diff(np.append(begin, len(h)))
             keep = size > 1
-            if hub is not None and c[0][0] == hub[0]:
-                hubs[0], keep[0] = hub[1], True
-            if first_run:
-                keep[0] = True
-            if len(begin) > 1:
-                first_run = False
-            hub = (c[0][open_at], hubs[-1]) if size[-1] > 1 or (hub is not None and hub[0] == c[0][open_at]) else None
-            if hub is None:  # one row: wait for the next batch
-                keep[-1] = False
-                held = [x[open_at:] for x in c]
-            else:
-                held = []
-            rows = np.repeat(keep, size)
-            if rows.any():
-                yield emit([x[rows] for x in c], np.repeat(hubs, size)[rows])
-        if held and len(held[0]):
-            yield emit(held, held[1])
-
-    return rows.mapInArrow(run, "h long, gid long, size int, pos int, hub long")
+            keep[0] |= start
+            if len(begin) == 1 and size[0] > 1:  # long enough to be passed on as it comes; its last row stays
+                yield rows.slice(0, len(h) - 1)
+                held, start = rows.slice(len(h) - 1), True
+                continue
+            over = np.repeat(keep[:-1], size[:-1])
+            if over.any():
+                yield rows.slice(0, int(begin[-1])).filter(pa.array(over))
+            held = rows.slice(int(begin[-1]))
+            start = start and len(begin) == 1
+        if held is not None:
+            yield held
+
+    return rows.mapInArrow(run, "h long, gid long, size int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,6 +174,77 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every x with every y, by products of their incidence matrices, so many shingles at a time."""
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    common = np.intersect1d(x, y)
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    places = []
+    for sets, flat in ((xs, x), (ys, y)):
+        own = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+        at = np.searchsorted(common, flat)
+        held = common[np.minimum(at, max(len(common) - 1, 0))] == flat if len(common) else np.zeros(len(flat), bool)
+        order = np.argsort(at[held], kind="stable")
+        places.append((own[held][order], at[held][order]))
+    for lo in range(0, len(common), width):
+        parts = []
+        for sets, (own, at) in zip((xs, ys), places):
+            a, b = np.searchsorted(at, [lo, lo + width])
+            m = np.zeros((len(sets), width), np.float32)
+            m[own[a:b], at[a:b] - lo] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _between_clusters(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Spanning links (a, b) between components that have similar classes in pairs (c1, c2) of clusters.
+
+    members: (cluster, rep, comp). Clusters are dealt into blocks of about ``BLOCK`` classes.
+    """
+    blocks = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    dealt = members.join(blocks, "cluster").select("cluster", "rep", "comp", "k", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("k")).cast("int").alias("own"))
+    counts = blocks.select(F.col("cluster").alias("other"), F.col("k").alias("other_k"))
+    sides = []
+    for side, (mine, theirs) in enumerate((("c1", "c2"), ("c2", "c1"))):
+        rows = pairs.join(dealt, F.col(mine) == F.col("cluster")).join(counts, F.col(theirs) == F.col("other"))
+        rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other_k") - 1)))
+        b1, b2 = ("own", "block") if side == 0 else ("block", "own")
+        sides.append(rows.select("c1", "c2", F.col(b1).alias("b1"), F.col(b2).alias("b2"), F.lit(side).alias("side"), "rep", "comp"))
+    keys = ["c1", "c2", "b1", "b2"]
+    filled = sides[0].union(sides[1]).join(sets, "rep").select(*keys, "side", "rep", "comp", "shingles")
+    filled = filled.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches):
+        for group in sorted_groups(batches, len(keys)):
+            side, rep, comp = (group.column(k).to_numpy() for k in (4, 5, 6))
+            lists = group.column(7)
+            shingles = [lists[i].values.to_numpy() for i in range(group.num_rows)]
+            first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(first) or not len(second):
+                continue
+            size = np.array([len(x) for x in shingles])
+            both = overlaps([shingles[i] for i in first], [shingles[i] for i in second])
+            near = 100 * both >= percent * (size[first][:, None] + size[second][None, :] - both)
+            i, j = np.nonzero(near & (comp[first][:, None] != comp[second][None, :]))
+            if len(i):
+                names, at = np.unique(np.concatenate([comp[first[i]], comp[second[j]]]), return_inverse=True)
+                a, b = at[: len(i)], at[len(i) :]
+                root = np.arange(len(names))
+                while True:  # each component's smallest one in reach, here
+                    least, new = np.minimum(root[a], root[b]), root.copy()
+                    np.minimum.at(new, a, least)
+                    np.minimum.at(new, b, least)
+                    new = new[new]
+                    if (new == root).all():
+                        break
+                    root = new
+                some = np.flatnonzero(root != np.arange(len(names)))
+                yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(names[root[some]])], ["a", "b"])
+
+    return filled.mapInArrow(run, "a long, b long")
+
+
 def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     """(rep, shingles) of the documents that stand for classes reps(rep, doc, tkey)."""
     few = maybe_in(docs, "doc", reps, "doc").join(reps, ["doc", "tkey"]).dropDuplicates(["rep"])
@@ -202,52 +272,84 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     ).select("size", "code", F.xxhash64("size", "code").alias("rep"), "who", "prefix", F.xxhash64("prefix").alias("front"))
     groups = classes.groupBy("size", "front").agg(F.min("rep").alias("gid"))
     grouped = materialise(classes.join(groups, ["size", "front"]), "classes")
-    rows = grouped.where(F.col("rep") == F.col("gid")).select("gid", "size", F.posexplode("prefix").alias("pos", "h")).select("h", "gid", "size", "pos")
+    rows = grouped.where(F.col("rep") == F.col("gid")).select(F.explode("prefix").alias("h"), "gid", "size")
     shared = materialise(_runs(rows.repartitionByRange("h", "gid").sortWithinPartitions("h", "gid")), "shared")
     members = grouped.select("gid", "rep", "size", "who")
 
     near = lambda a, b: (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-    # the group it shares most prefix shingles with, of those that come first in a run
-    of = shared.select("gid", "size", "hub").where(F.col("gid") != F.col("hub")).groupBy("gid", "size", "hub").agg(F.count(F.lit(1)).alias("n"))
-    sizes = members.where(F.col("rep") == F.col("gid")).select(F.col("gid").alias("hub"), F.col("size").alias("hub_size"))
-    best = of.join(sizes, "hub").where(near("size", "hub_size")).groupBy("gid").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+    shared = materialise(_candidates(shared, percent), "shared")
+    # hubs: of each run, the group whose shingles are the most widely shared
+    spread = shared.join(shared.groupBy("h").agg(F.count(F.lit(1)).alias("k")), "h").groupBy("gid", "size").agg(F.avg("k").alias("reach"))
+    hubs = shared.join(spread.select("gid", "reach"), "gid").groupBy("h").agg(F.max_by(F.struct("gid", "size"), F.struct("reach", "gid")).alias("hub"))
+    # each group's: the one it shares most prefix shingles with
+    of = shared.join(hubs, "h").select("gid", "size", F.col("hub.gid").alias("hub"), F.col("hub.size").alias("hub_size"))
+    of = of.where((F.col("gid") != F.col("hub")) & near("size", "hub_size")).groupBy("gid", "hub").agg(F.count(F.lit(1)).alias("n"))
+    best = materialise(of.groupBy("gid").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")), "hubs")
     stars = members.join(best, "gid").select(F.col("rep").alias("a"), F.col("hub").alias("b")).union(
         members.where(F.col("rep") != F.col("gid")).select(F.col("rep").alias("a"), F.col("gid").alias("b"))
     )
     # every class that is in a pair at all, now or later
-    in_pairs = shared.select("gid").distinct().union(members.where(F.col("rep") != F.col("gid")).select("gid")).distinct()
+    in_pairs = shared.select("gid").union(members.where(F.col("rep") != F.col("gid")).select("gid")).distinct()
     candidates = materialise(members.join(in_pairs, "gid"), "candidates")
     sets = materialise(_sets_of(docs, candidates.select("rep", F.col("who.doc").alias("doc"), F.col("who.tkey").alias("tkey")), n), "sets")
     links = materialise(_verified(stars, sets, percent), "links")
     labels = components(links)
     placed = materialise(
-        candidates.join(labels, candidates["rep"] == labels["node"], "left").select("gid", "rep", "size", F.coalesce("component", "rep").alias("comp")), "placed"
+        candidates.join(labels, candidates["rep"] == labels["node"], "left")
+        .select("gid", "rep", "size", F.coalesce("component", "rep").alias("comp"))
+        .join(best, "gid", "left")
+        .select("gid", "rep", "size", "comp", F.coalesce("hub", "gid").alias("cluster")),
+        "placed",
+    )
+    clusters = materialise(
+        placed.groupBy("cluster").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("size").alias("least"), F.max("size").alias("most")
+        ),
+        "clusters",
     )
-    # runs whose classes are not all in one component: first as groups, then expanded to members
-    spread = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_runs = shared.join(spread, "gid").groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(F.col("lo") != F.col("hi")).select("h")
-    left = shared.join(open_runs, "h").select("h", "gid", "size", "pos")
-    right = left.select("h", *[F.col(c).alias(f"{c}2") for c in ("gid", "size", "pos")])
-    reach = F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2"))
-    group_pairs = (
+    # clusters that share enough shingles and are not all one component
+    at = shared.join(placed.select("gid", "cluster").distinct(), "gid").select("h", "cluster").distinct().join(clusters, "cluster")
+    open_runs = at.groupBy("h").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where(F.col("a") != F.col("b")).select("h")
+    left = at.join(open_runs, "h").select("h", F.col("cluster").alias("c1"), "lo", "hi", "least", "most")
+    right = left.select("h", F.col("c1").alias("c2"), *[F.col(c).alias(f"{c}2") for c in ("lo", "hi", "least", "most")])
+    apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
+    sizes_meet = (F.col("most") * 100 >= F.col("least2") * percent) & (F.col("most2") * 100 >= F.col("least") * percent)
+    across = (
         left.join(right, "h")
-        .where((F.col("gid") < F.col("gid2")) & near("size", "size2") & (reach * (100 + percent) >= (F.col("size") + F.col("size2")) * percent))
-        .select("gid", "gid2")
-        .distinct()
+        .where((F.col("c1") < F.col("c2")) & apart & sizes_meet)
+        .groupBy("c1", "c2", "least", "least2")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= _least_shared(F.least("least", "least2"), percent))
+        .select("c1", "c2")
     )
-    same = spread.where(F.col("lo") != F.col("hi")).select("gid", F.col("gid").alias("gid2"))
-    own = placed.select("gid", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    other = placed.select(F.col("gid").alias("gid2"), F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    pairs = group_pairs.union(same).join(own, "gid").join(other, "gid2").where((F.col("ca") != F.col("cb")) & ((F.col("gid") != F.col("gid2")) | (F.col("a") < F.col("b"))))
-    more = materialise(_verified(pairs.select("a", "b"), sets, percent), "links")
-    joined = components(links.union(more))
-    by_class = classes_with(grouped, joined)
+    inside = clusters.where(F.col("lo") != F.col("hi")).select(F.col("cluster").alias("c1"), F.col("cluster").alias("c2"))
+    more = materialise(_between_clusters(across.union(inside), placed.select("cluster", "rep", "comp"), sets, percent), "links")
+    merged = components(more).select(F.col("node").alias("comp"), F.col("component").alias("whole"))
+    by_class = classes_with(grouped, labels).join(merged, "comp", "left").select("size", "code", F.coalesce("whole", "comp").alias("comp"))
     out = filled.join(by_class, ["size", "code"]).select("doc", "tkey", "size", "comp")
     least = out.groupBy("comp").agg(F.min("doc").alias("component"))
     linked = out.join(least, "comp").select("doc", "tkey", "size", "component")
     return linked.union(all_sets.where("size = 0").select("doc", "tkey", "size", F.col("doc").alias("component")))
 
 
+def _least_shared(size: Column, percent: int) -> Column:
+    """shared_least of a column."""
+    need = F.floor((size * percent + 99) / 100)
+    return F.least(F.floor((size - need + 1) * 3 / 2), need)
+
+
+def _candidates(shared: DataFrame, percent: int) -> DataFrame:
+    """Rows of groups that have enough shingles in common with others: as many as with the
+    smallest set that they may be linked to. The second time only with each other."""
+    enough = F.count(F.lit(1)) >= _least_shared(F.floor((F.first("size") * percent + 99) / 100), percent)
+    for _ in range(2):
+        keep = shared.groupBy("gid").agg(enough.alias("keep")).where("keep").select("gid")
+        shared = shared.join(keep, "gid")
+        several = shared.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
+        shared = shared.join(several, "h")
+    return shared.select("h", "gid", "size")
+
+
 def classes_with(grouped: DataFrame, labels: DataFrame) -> DataFrame:
     """(size, code, comp) of every class; a class without links is its own component."""
     return grouped.select("size", "code", "rep").join(labels, grouped["rep"] == labels["node"], "left").select("size", "code", F.coalesce("component", "rep").alias("comp"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,3 +87,20 @@ def maybe_in(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> Da
         return pd.Series((bits.value[s >> 3] >> (s & 7).astype(np.uint8)) & 1 == 1)
 
     return df.where(held(F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))))
+
+
+def sorted_groups(batches, n_keys: int):
+    """Record batches of the rows of one group each; rows come sorted by their first n_keys columns."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        if not table.num_rows:
+            continue
+        held = table.to_batches()[0]
+        key = np.stack([held.column(k).to_numpy() for k in range(n_keys)])
+        begin = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))).tolist()
+        for a, b in zip(begin, begin[1:]):
+            yield held.slice(a, b - a)
+        held = held.slice(begin[-1])  # may go on
+    if held is not None:
+        yield held

@@ -205,9 +205,7 @@ def test_lm_words_of_a_class_sum_to_one(spark):
     """Any text's score is a product of probabilities: over all known words and one unseen word of each bucket they sum to one."""
     rows = [(i, "aa bb cc dd ee aa bb aa", None, None, 0) for i in range(5)]
     vocab = ["aa", "bb", "cc", "dd", "ee"]
-    h, bucket, _ = T_tokens(vocab)
     tests = [(100 + i, w, None, None, 0) for i, w in enumerate(vocab)] + [(200, "", None, None, 0)]
-    buckets = {int(b) for b in bucket[bucket >= 0]}
     unseen = {}
     for a in range(97, 123):
         for b in range(97, 123):
@@ -218,10 +216,8 @@ def test_lm_words_of_a_class_sum_to_one(spark):
     tests += [(300 + i, w, None, None, 0) for i, w in enumerate(others)]
     fits = F.col("doc_id") < 100
     got = {r.doc_id: r for r in lm_scoring.score_documents(frame(spark, rows + tests), fits, top_words=2).collect()}
-    end_after = {}
-    # a one-word text scores word and end: P(word | start) * P(end | class of word); a longer text parts the two
+    # a one-word text scores P(word | start) * P(end | class of word), no more than P(word | start)
     single = {w: got[100 + i].score for i, w in enumerate(vocab)} | {w: got[300 + i].score for i, w in enumerate(others)}
-    assert got[200].score <= 0 and len(buckets) == len(set(buckets)) and not end_after
     total = 10 ** got[200].score + sum(10**s for s in single.values())
     assert 0 < total <= 1 + 1e-6
 
@@ -389,8 +385,7 @@ def test_pipeline_stages(spark):
     names = docs.columns
     sizes = []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        path = queries.load  # each stage reads what the one before has written
-        assert path is not None
+        # each stage reads what the one before has written
         docs = corpus_pipeline.materialise(stage(spark, docs, SF), "test")
         if k < 4:
             assert docs.columns == names
@@ -401,8 +396,12 @@ def test_pipeline_stages(spark):
 
 def test_pipeline_on_odd_rows(spark):
     docs = with_clashes(spark, odd_rows() + corpus(1, 20))
-    for _, stage in corpus_pipeline.STAGES:
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        names = docs.columns
         docs = corpus_pipeline.materialise(stage(spark, docs, SF), "test")
+        if k < 4:  # every column stays, and what it holds
+            assert docs.columns == names
+            assert docs.where("score is not null or lang_pred is not null or doc is not null").count() == 0
     assert docs.count() > 0
     docs = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
