@@ -28,8 +28,9 @@ MIN_LANGUAGE_SCORE = 0.05
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = langid.identify(docs, fit_langid(docs))
-    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+    lang, score = names = ("__llm_lang", "__llm_score")
+    out = langid.identify(docs, fit_langid(docs), names)
+    return out.where((F.col(lang) != "und") & (F.col(score) >= MIN_LANGUAGE_SCORE)).drop(*names)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
