@@ -14,14 +14,20 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from lakeflux.operators.drift import CATEGORICAL_TESTS, NUMERIC_TESTS
+
+
+_sizing: dict[str, str] = {}
+
 
 def _session() -> SparkSession:
+    """The active session, or one with the submission's own master and settings."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     from lakeflux.session import build_session
 
-    return build_session(os.environ.get("LAKEFLUX_MASTER", "local[*]"))
+    return build_session(defaults=_sizing)
 
 
 def _read_source(spark: SparkSession, args) -> "DataFrame":  # noqa: F821
@@ -91,7 +97,14 @@ def cmd_drift(args) -> dict:
 
     spark = _session()
     ref, cur = spark.read.parquet(args.reference), spark.read.parquet(args.current)
-    out = monitor(ref, cur, args.columns.split(",") if args.columns else None, ks_method=args.ks_method)
+    out = monitor(
+        ref,
+        cur,
+        args.columns.split(",") if args.columns else None,
+        categorical=args.categorical.split(",") if args.categorical else (),
+        numeric_test=args.numeric_test,
+        categorical_test=args.categorical_test,
+    )
     out["columns"].write.mode("overwrite").parquet(f"{args.output}/columns")
     out["report"].write.mode("overwrite").text(f"{args.output}/report")
     gate = out["gate"].first()
@@ -117,6 +130,8 @@ def cmd_warehouse(args) -> dict:
 
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakeflux")
+    p.add_argument("--input-bytes", type=int, help="size of the input: sizes shuffles and scans where the submission does not")
+    p.add_argument("--total-cores", type=int, default=8, help="cores of all executors, with --input-bytes")
     sub = p.add_subparsers(dest="job", required=True)
 
     d = sub.add_parser("deliver", help="source table -> audit columns -> JSON messages -> sink")
@@ -164,7 +179,9 @@ def build_parser() -> argparse.ArgumentParser:
     dr.add_argument("--current", required=True)
     dr.add_argument("--output", required=True)
     dr.add_argument("--columns")
-    dr.add_argument("--ks-method", default="asymp", choices=["asymp", "exact", "auto"])
+    dr.add_argument("--categorical", help="numeric columns to be tested as categories")
+    dr.add_argument("--numeric-test", default="wasserstein", choices=NUMERIC_TESTS)
+    dr.add_argument("--categorical-test", default="jensenshannon", choices=CATEGORICAL_TESTS)
     dr.set_defaults(fn=cmd_drift)
 
     w = sub.add_parser("warehouse", help="curated lake table -> warehouse table")
@@ -183,8 +200,18 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> dict:
+    from lakeflux.session import recommended_conf, remove_work
+
     args = build_parser().parse_args(argv)
-    result = args.fn(args)
+    own = SparkSession.getActiveSession() is None
+    _sizing.clear()
+    if args.input_bytes:
+        _sizing.update(recommended_conf(args.input_bytes, args.total_cores))
+    try:
+        result = args.fn(args)
+    finally:
+        if own and (spark := SparkSession.getActiveSession()) is not None:
+            remove_work(spark)
     print(json.dumps(result, default=str))
     return result
 

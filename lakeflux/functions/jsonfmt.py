@@ -21,11 +21,6 @@ def row_to_json(df: DataFrame, lossless: bool = False) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), opts)
 
 
-def schema_json(df: DataFrame) -> Column:
-    """The frame's schema as JSON text, as a literal column."""
-    return F.lit(df.schema.json())
-
-
 def decode_json(value: str | Column, schema: StructType, lossless: bool = False) -> Column:
     """Inverse of :func:`row_to_json`."""
     col = F.col(value) if isinstance(value, str) else value

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession, DataFrame
 from pyspark.sql import functions as F
 
+from lakeflux.sources.files import literal_table
+
 # --- fixed values -----------------------------------------------------------
 # Brazilian state code -> region. Same entries and order as the original
 # table, with two corrections: BR-MA is spelt "Nordeste" (the original has a
@@ -52,4 +54,4 @@ def region_of(state: str | Column) -> Column:
 
 def region_dimension(spark: SparkSession) -> DataFrame:
     """The same mapping as a 27-row dimension table (fixed size)."""
-    return spark.createDataFrame(STATE_REGION, "state string, region string")
+    return literal_table(spark, STATE_REGION, "state string, region string")

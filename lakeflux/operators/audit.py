@@ -44,11 +44,13 @@ def add_audit_columns(
     ingestion_type: str = DEFAULT_AUDIT["ingestion_type"],
     base_format: str = DEFAULT_AUDIT["base_format"],
     as_of: str | None = None,
+    rows_written: int | None = None,
 ) -> DataFrame:
     """Append the seven audit columns.
 
     ``ingestion_time`` is ``current_timestamp()`` (one value per query) unless a
-    fixed ``as_of`` timestamp text is given. ``rows_written`` is a bigint and
+    fixed ``as_of`` timestamp text is given. ``rows_written`` is a bigint, counted
+    here unless the caller has it from the source (``jdbc_row_count``), and
     ``schema`` is the JSON schema of the *input* frame.
     """
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
@@ -59,7 +61,7 @@ def add_audit_columns(
             "user_name": F.lit(user_name),
             "ingestion_type": F.lit(ingestion_type),
             "base_format": F.lit(base_format),
-            "rows_written": row_count(df).cast("bigint"),
+            "rows_written": (row_count(df) if rows_written is None else F.lit(rows_written)).cast("bigint"),
             "schema": F.lit(df.schema.json()),
         }
     )

@@ -52,14 +52,16 @@ EXTRA_PRIMITIVES = [
     (ByteType, "int"),
     (DateType, "int"),
     (BinaryType, "bytes"),
-    (DecimalType, "string"),
 ]
 
 
 def _avro_type(dt: DataType, name: str):
+    """Avro type of a field; name is its path, which makes the names of nested records unique."""
     for cls, avro in AVRO_PRIMITIVES + EXTRA_PRIMITIVES:
         if isinstance(dt, cls):
             return avro
+    if isinstance(dt, DecimalType):
+        return {"type": "bytes", "logicalType": "decimal", "precision": dt.precision, "scale": dt.scale}
     if isinstance(dt, ArrayType):
         return {"type": "array", "items": [_avro_type(dt.elementType, name), "null"]}
     if isinstance(dt, MapType):
@@ -67,12 +69,15 @@ def _avro_type(dt: DataType, name: str):
             raise TypeError(f"Avro maps need string keys: {name}")
         return {"type": "map", "values": [_avro_type(dt.valueType, name), "null"]}
     if isinstance(dt, StructType):
-        return {"type": "record", "name": f"{name}_record", "fields": _fields(dt)}
+        return {"type": "record", "name": f"{name}_record", "fields": _fields(dt, f"{name}.")}
     raise TypeError(f"no Avro type for {dt.simpleString()} ({name})")
 
 
-def _fields(schema: StructType) -> list[dict]:
-    return [{"name": f.name, "type": [_avro_type(f.dataType, f.name), "null"]} for f in schema.fields]
+def _fields(schema: StructType, path: str = "") -> list[dict]:
+    # a path's dots double as underscores; underscores in names are doubled before, so no two paths meet
+    spelt = lambda n: n.replace("_", "__") if path else n
+    prefix = path.replace(".", "_")
+    return [{"name": f.name, "type": [_avro_type(f.dataType, f"{prefix}{spelt(f.name)}"), "null"]} for f in schema.fields]
 
 
 def avro_schema(schema: StructType, name: str, namespace: str, schema_type: str = "record") -> str:
@@ -102,45 +107,46 @@ def avro_fields(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def _value_class(type_text: Column, raw: Column) -> Column:
-    """Avro class of one JSON value from its variant type and raw text."""
-    # a JSON number is integral when its text has no fraction or exponent
-    integral = ~(raw.contains(".") | raw.contains("e") | raw.contains("E"))
-    as_long = raw.try_cast("bigint")
+def _value_class(value: Column) -> Column:
+    """Avro class of one JSON value, from its variant alone."""
+    kind = F.schema_of_variant(value)
+    # a JSON number is integral when it has neither fraction nor exponent
+    integral = (kind == "BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)$")
+    as_long = F.try_variant_get(value, "$", "bigint")
     number = (
         F.when(integral & as_long.between(-(2**31), 2**31 - 1), "int")
         .when(integral & as_long.isNotNull(), "long")
         .otherwise("double")
     )
     return (
-        F.when(type_text == "VOID", "null")
-        .when(type_text == "BOOLEAN", "boolean")
-        .when(type_text == "STRING", "string")
-        .when(type_text.startswith("OBJECT") | type_text.startswith("ARRAY"), "string")
-        .when(type_text.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), number)
+        F.when(value.isNull() | (kind == "VOID"), "null")
+        .when(kind == "BOOLEAN", "boolean")
+        .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), number)
         .otherwise("string")
     )
 
 
+def json_objects(df: DataFrame, json_col: str) -> Column:
+    """The text as a map of variants, each text parsed once; null where it is no JSON object."""
+    return F.from_json(F.col(json_col), "map<string,variant>")
+
+
+def broken_payloads(df: DataFrame, json_col: str) -> DataFrame:
+    """The rows whose payload is not null and no JSON object: what ``json_field_types`` cannot see."""
+    return df.where(F.col(json_col).isNotNull() & json_objects(df, json_col).isNull())
+
+
 def json_field_types(df: DataFrame, json_col: str) -> DataFrame:
     """Per key of the JSON objects in ``json_col``: Avro type (nullable union),
-    non-null and null counts (Y2).
+    non-null and null counts (Y2). Broken payloads have no keys; ``broken_payloads`` has them.
 
     Per value: null -> null, boolean -> boolean, integer -> int (long beyond
     32 bits), other number -> double, text -> string, object/array -> string.
     Per key over rows: one class -> it; int and long -> long; integers and
     doubles -> double; any other mix, or only nulls -> string.
     """
-    parsed = df.select(
-        F.from_json(F.col(json_col), "map<string,variant>").alias("__v"),
-        F.from_json(F.col(json_col), "map<string,string>").alias("__raw"),
-    )
-    exploded = parsed.select("__raw", F.explode("__v").alias("key", "value")).select(
-        "key",
-        F.expr("schema_of_variant(value)").alias("type_text"),
-        F.element_at(F.col("__raw"), F.col("key")).alias("raw"),
-    )
-    classes = exploded.select("key", _value_class(F.col("type_text"), F.col("raw")).alias("cls"))
+    exploded = df.select(F.explode(json_objects(df, json_col)).alias("key", "value"))
+    classes = exploded.select("key", _value_class(F.col("value")).alias("cls"))
     kinds = ["int", "long", "double", "boolean", "string"]
     per_key = classes.groupBy("key").agg(
         F.count_if(F.col("cls") != "null").cast("bigint").alias("n_values"),
@@ -165,3 +171,13 @@ def json_field_types(df: DataFrame, json_col: str) -> DataFrame:
         "n_values",
         "n_null",
     )
+
+
+def json_record_schema(df: DataFrame, json_col: str, name: str, namespace: str) -> DataFrame:
+    """The Avro record schema of the payloads (Y2): one row, ``schema`` as JSON text with
+    the fields in order of their names, and ``n_broken`` payloads that are no JSON object."""
+    field = F.struct(F.col("field").alias("name"), F.from_json("avro_type", "array<string>").alias("type"))
+    fields = json_field_types(df, json_col).agg(F.array_sort(F.collect_list(field)).alias("fields"))
+    record = F.struct(F.lit("record").alias("type"), F.lit(name).alias("name"), F.lit(namespace).alias("namespace"), "fields")
+    n = broken_payloads(df, json_col).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return fields.select(F.to_json(record).alias("schema"), n.alias("n_broken"))

@@ -1,26 +1,27 @@
 """Data drift between a reference and a current frame.
 
-Per column, with these defaults (all parameters):
-
-* kind: text columns are categorical; numeric columns with at most
-  ``cat_max_unique`` distinct reference values are categorical too; others
-  numeric.
-* test when the reference has at most ``small_sample`` rows: numeric ->
-  two-sample Kolmogorov-Smirnov (asymptotic p-value; ``ks_method="auto"`` or
-  ``"exact"`` for the exact small-sample one), categorical with at most
-  two reference categories -> two-proportion z-test, else chi-square goodness of fit of
-  current counts against reference proportions; drift when p < ``p_threshold``.
-* above that: numeric -> Wasserstein-1 distance normed by the reference's
-  population std (floored at 0.001); categorical -> Jensen-Shannon distance
-  (natural log, zero shares filled); drift when distance >= ``d_threshold``.
+* kind: numeric columns are numeric, all others categorical; ``categorical`` names
+  numeric columns that hold codes and are to be tested as categories.
+* test: ``numeric_test`` and ``categorical_test`` name it, whatever the size of the
+  frames or the number of distinct values:
+  ``wasserstein`` (Wasserstein-1 distance normed by the reference's population std,
+  floored at 0.001; drift when distance >= ``d_threshold``), ``ks`` (two-sample
+  Kolmogorov-Smirnov, asymptotic p-value), ``ks_exact`` (exact p-value, for samples
+  of at most ``EXACT_KS_MAX_N`` values a side; larger ones raise);
+  ``jensenshannon`` (natural log, zero shares filled; drift when distance >=
+  ``d_threshold``), ``chi2`` (goodness of fit of current counts against reference
+  proportions), ``z`` (two-proportion z-test of the smallest category's share).
+  Drift when p < ``p_threshold``.
+* every requested column has a row. A column with values on one side only has
+  drifted (score null); one without any value has not.
 * dataset verdict: FAIL when the share of drifted columns >= ``share_threshold``.
 
 Plan: both sides are tagged and unioned (J5), so every statistic is one grouped
 aggregate over the union, never a row join. Numeric distributions are exact:
-values are collapsed to ``(column, x, c_ref, c_cur)``, range-partitioned into
-buckets of bounded size, cumulated with a window *inside* each bucket, and
-shifted by bucket offsets computed on a table of one row per bucket. No window
-ever spans more than one bucket's rows.
+values are collapsed to ``(column, x, c_ref, c_cur)`` and range-partitioned; a
+partition's running sums are taken in one pass over its sorted rows, starting
+from what lies before it, which a table of one row per (column, partition) knows.
+Only categorical columns are grouped as text.
 """
 
 from __future__ import annotations
@@ -29,21 +30,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lakeflux.functions.numeric import nan_to_null
 from lakeflux.functions.stats import chi2_sf, kolmogorov_sf, norm_sf_two_sided
 
+NUMERIC_TESTS = ("wasserstein", "ks", "ks_exact")
+CATEGORICAL_TESTS = ("jensenshannon", "chi2", "z")
 DEFAULTS = {
-    "small_sample": 1000,
-    "cat_max_unique": 5,
+    "numeric_test": "wasserstein",
+    "categorical_test": "jensenshannon",
     "p_threshold": 0.05,
     "d_threshold": 0.1,
     "share_threshold": 0.3,
-    "rows_per_bucket": 2_000_000,
-    "ks_method": "asymp",
 }
 
 
@@ -73,73 +75,83 @@ def value_counts(tagged: DataFrame, columns: Sequence[str], as_text: bool) -> Da
     )
 
 
-def numeric_distances(
-    tagged: DataFrame,
-    columns: Sequence[str],
-    rows_per_bucket: int = DEFAULTS["rows_per_bucket"],
-    buckets: int | None = None,
-) -> DataFrame:
-    """Per numeric column: n_ref, n_cur, ks_stat, wasserstein, ref_std.
+def numeric_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per numeric column with any value: n_ref, n_cur, ks_stat, wasserstein, ref_std.
 
     The value counts ``(feature, x, c_ref, c_cur)`` are range-partitioned on
-    ``(feature, x)`` into ``ceil(rows / rows_per_bucket)`` partitions (or
-    ``buckets``), sorted inside partitions and checkpointed to the shared
-    checkpoint folder, which fixes each row's partition id. A partition is a
-    bucket: the running sums are a window over ``(bucket, feature)`` - at most
-    one partition's rows - shifted by offsets from a table of one row per
-    (bucket, feature). The raw rows are scanned once.
+    ``(feature, x)``, sorted inside partitions and checkpointed to the shared
+    folder, which fixes each row's partition: the raw rows are scanned once. As
+    partitions are ranges, there are at most columns + partitions rows
+    (feature, partition); those reach the driver. Statistics of a column without
+    values on one side are null.
     """
-    vc = value_counts(tagged, columns, as_text=False).checkpoint(eager=True)
-    if buckets is None:
-        n_values = vc.count()
-        buckets = max(1, -(-n_values // max(1, rows_per_bucket)))
-    ranged = vc.repartitionByRange(buckets, "feature", "x").sortWithinPartitions("feature", "x")
-    vcb = ranged.checkpoint(eager=True).withColumn("bucket", F.spark_partition_id())
-    w_in = Window.partitionBy("bucket", "feature").orderBy("x")
-    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = vcb.select(
-        "feature",
-        "bucket",
-        "x",
-        F.sum("c_ref").over(running).alias("cum_ref"),
-        F.sum("c_cur").over(running).alias("cum_cur"),
-        F.lead("x").over(w_in).alias("next_x"),
+    ranged = value_counts(tagged, columns, as_text=False).repartitionByRange("feature", "x")
+    vc = ranged.sortWithinPartitions("feature", "x").checkpoint(eager=True).withColumn("part", F.spark_partition_id())
+    heads = (
+        vc.groupBy("feature", "part")
+        .agg(
+            F.sum("c_ref").alias("ref"),
+            F.sum("c_cur").alias("cur"),
+            F.sum(F.col("c_ref") * F.col("x")).alias("sum_ref"),
+            F.min("x").alias("least"),
+        )
+        .toPandas()
+        .sort_values(["feature", "part"])
     )
-    per_bucket = vcb.groupBy("feature", "bucket").agg(
-        F.sum("c_ref").alias("b_ref"), F.sum("c_cur").alias("b_cur"), F.min("x").alias("b_min")
+    by = heads.groupby("feature")
+    heads["before_ref"], heads["before_cur"] = by["ref"].cumsum() - heads["ref"], by["cur"].cumsum() - heads["cur"]
+    heads["n_ref"], heads["n_cur"] = by["ref"].transform("sum"), by["cur"].transform("sum")
+    heads["mean"] = (by["sum_ref"].transform("sum") / heads["n_ref"].where(heads["n_ref"] > 0)).astype(float)
+    heads["next"] = by["least"].shift(-1)
+    starts = {
+        (r.feature, r.part): tuple(map(float, (r.before_ref, r.before_cur, r.n_ref, r.n_cur, r.mean, r.next)))
+        for r in heads.itertuples()
+    }
+
+    def walk(batches):
+        seen: dict[str, list] = {}  # of the partition's columns: running counts, last x and gap, results
+        for batch in batches:
+            for feature, x, c_ref, c_cur, part in _runs(batch):
+                before_ref, before_cur, n_ref, n_cur, mean, _ = starts[feature, part]
+                state = seen.setdefault(feature, [before_ref, before_cur, None, 0.0, 0.0, 0.0, 0.0, part])
+                ref, cur = state[0] + np.cumsum(c_ref), state[1] + np.cumsum(c_cur)
+                gap = np.abs(ref / n_ref - cur / n_cur) if n_ref and n_cur else np.zeros(len(x))
+                if state[2] is not None:
+                    state[5] += state[3] * (x[0] - state[2])
+                state[4] = max(state[4], float(gap.max()))
+                state[5] += float((gap[:-1] * np.diff(x)).sum())
+                state[6] += float((c_ref * (x - mean) ** 2).sum()) if n_ref else 0.0
+                state[0], state[1], state[2], state[3] = ref[-1], cur[-1], float(x[-1]), float(gap[-1])
+        rows = []
+        for feature, (_, _, last, gap, ks, area, square, part) in seen.items():
+            _, _, n_ref, n_cur, _, following = starts[feature, part]
+            if not np.isnan(following):
+                area += gap * (following - last)
+            rows.append((feature, int(n_ref), int(n_cur), ks, area, square))
+        cols = list(zip(*rows)) or [[]] * 6
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["feature", "n_ref", "n_cur", "ks", "area", "square"])
+
+    parts = vc.select("feature", "x", "c_ref", "c_cur", "part").mapInArrow(
+        walk, "feature string, n_ref long, n_cur long, ks double, area double, square double"
     )
-    w_b = Window.partitionBy("feature").orderBy("bucket")
-    before = w_b.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
-    # one row per (feature, bucket): bounded by columns * buckets
-    offsets = per_bucket.select(
-        "feature",
-        "bucket",
-        F.coalesce(F.sum("b_ref").over(before), F.lit(0)).alias("off_ref"),
-        F.coalesce(F.sum("b_cur").over(before), F.lit(0)).alias("off_cur"),
-        F.lead("b_min").over(w_b).alias("next_bucket_min"),
-        F.sum("b_ref").over(whole).alias("n_ref"),
-        F.sum("b_cur").over(whole).alias("n_cur"),
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    return parts.groupBy("feature", "n_ref", "n_cur").agg(
+        F.when(both, F.max("ks")).alias("ks_stat"),
+        F.when(both, F.sum("area")).alias("wasserstein"),
+        F.when(F.col("n_ref") > 0, F.sqrt(F.sum("square") / F.col("n_ref"))).alias("ref_std"),
     )
-    cdf = inside.join(F.broadcast(offsets), ["feature", "bucket"])
-    f_ref = (F.col("off_ref") + F.col("cum_ref")) / F.col("n_ref")
-    f_cur = (F.col("off_cur") + F.col("cum_cur")) / F.col("n_cur")
-    gap = F.coalesce(F.col("next_x"), F.col("next_bucket_min")) - F.col("x")
-    diff = F.abs(f_ref - f_cur)
-    dist = cdf.groupBy("feature").agg(
-        F.first("n_ref").cast("bigint").alias("n_ref"),
-        F.first("n_cur").cast("bigint").alias("n_cur"),
-        F.max(diff).alias("ks_stat"),
-        F.sum(F.coalesce(diff * gap, F.lit(0.0))).alias("wasserstein"),
-    )
-    # population std of the reference side, two-pass over the value counts
-    means = vc.groupBy("feature").agg((F.sum(F.col("c_ref") * F.col("x")) / F.sum("c_ref")).alias("__mean"))
-    stds = (
-        vc.join(F.broadcast(means), "feature")
-        .groupBy("feature")
-        .agg(F.sqrt(F.sum(F.col("c_ref") * F.pow(F.col("x") - F.col("__mean"), 2)) / F.sum("c_ref")).alias("ref_std"))
-    )
-    return dist.join(stds, "feature", "left")
+
+
+def _runs(batch):
+    """The rows of each column of a sorted batch."""
+    if not batch.num_rows:
+        return
+    feature = batch.column(0).to_pandas()
+    x, c_ref, c_cur, part = (batch.column(k).to_numpy() for k in range(1, 5))
+    begin = np.append(np.flatnonzero((feature != feature.shift()).to_numpy()), len(x))
+    for a, b in zip(begin[:-1], begin[1:]):
+        yield feature.iloc[a], x[a:b], c_ref[a:b], c_cur[a:b], int(part[a])
 
 
 def ks_p_value(n_ref, n_cur, d):
@@ -148,6 +160,10 @@ def ks_p_value(n_ref, n_cur, d):
     return kolmogorov_sf(en * d)
 
 
+#: The exact p-value of one column is one loop over m + n diagonals of m numbers.
+EXACT_KS_MAX_N = 20_000
+
+
 def ks_exact_sf(m: int, n: int, d: float) -> float:
     """Exact two-sided P(D >= d) for samples of sizes m and n (no ties).
 
@@ -159,6 +175,8 @@ def ks_exact_sf(m: int, n: int, d: float) -> float:
     """
     if m <= 0 or n <= 0:
         return float("nan")
+    if max(m, n) > EXACT_KS_MAX_N:
+        raise ValueError(f"ks_exact takes at most {EXACT_KS_MAX_N} values a side; use ks")
     band = round(d * m * n)
     if band <= 0:
         return 1.0
@@ -187,21 +205,6 @@ def _ks_exact_series(m: pd.Series, n: pd.Series, d: pd.Series) -> pd.Series:
     )
 
 
-EXACT_KS_MAX_N = 10000
-
-
-def ks_p_value_for(method: str, n_ref, n_cur, d):
-    """``asymp``; ``exact`` (lattice-path count, one Python call per column
-    row); ``auto``: exact while both samples have at most 10000 values."""
-    if method == "asymp":
-        return ks_p_value(n_ref, n_cur, d)
-    exact = F.pandas_udf(_ks_exact_series, "double")(n_ref, n_cur, d)
-    if method == "exact":
-        return exact
-    small = F.greatest(n_ref, n_cur) <= EXACT_KS_MAX_N
-    return F.when(small, exact).otherwise(ks_p_value(n_ref, n_cur, d))
-
-
 def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: n_ref, n_cur, n_cat, chi2_stat, chi2_dof, chi2_p, z_p, js.
 
@@ -220,14 +223,14 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
     fill = lambda m: F.when(m <= 1e-4, m / 1e6).otherwise(F.lit(1e-4))
     totals = totals.withColumns(
         {
-            "fill_p": fill(F.col("min_c_ref") / F.col("n_ref")),
-            "fill_q": fill(F.col("min_c_cur") / F.col("n_cur")),
+            "fill_p": fill(F.try_divide("min_c_ref", "n_ref")),
+            "fill_q": fill(F.try_divide("min_c_cur", "n_cur")),
         }
     )
     # one row per column: bounded by the schema
     t = vc.join(F.broadcast(totals), "feature")
-    p = F.col("c_ref") / F.col("n_ref")
-    q = F.col("c_cur") / F.col("n_cur")
+    p = F.try_divide("c_ref", "n_ref")
+    q = F.try_divide("c_cur", "n_cur")
     t = t.withColumns(
         {
             "pf": F.when(F.col("c_ref") == 0, F.col("fill_p")).otherwise(p),
@@ -239,9 +242,9 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
         {"pn": F.col("pf") / F.col("sum_pf"), "qn": F.col("qf") / F.col("sum_qf")}
     )
     mid = (F.col("pn") + F.col("qn")) / 2
-    expected = F.col("c_ref") * (F.col("n_cur") / F.col("n_ref"))
+    expected = F.col("c_ref") * F.try_divide("n_cur", "n_ref")
     chi_term = F.when(expected == 0, F.lit(float("inf"))).otherwise(
-        F.pow(F.col("c_cur") - expected, 2) / expected
+        F.try_divide(F.pow(F.col("c_cur") - expected, F.lit(2)), expected)
     )
     agg = t.groupBy("feature").agg(
         F.first("n_ref").cast("bigint").alias("n_ref"),
@@ -253,22 +256,24 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
         F.sum(F.when(F.col("x") == F.col("first_x"), F.col("c_ref")).otherwise(0)).alias("a_ref"),
         F.sum(F.when(F.col("x") == F.col("first_x"), F.col("c_cur")).otherwise(0)).alias("a_cur"),
     )
-    p1 = F.col("a_ref") / F.col("n_ref")
-    p2 = F.col("a_cur") / F.col("n_cur")
+    p1 = F.try_divide("a_ref", "n_ref")
+    p2 = F.try_divide("a_cur", "n_cur")
     pooled = (F.col("a_ref") + F.col("a_cur")) / (F.col("n_ref") + F.col("n_cur"))
-    var = pooled * (1 - pooled) * (F.lit(1.0) / F.col("n_ref") + F.lit(1.0) / F.col("n_cur"))
-    z = (p1 - p2) / F.sqrt(var)
+    var = pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), "n_ref") + F.try_divide(F.lit(1.0), "n_cur"))
+    z = F.try_divide(p1 - p2, F.sqrt(var))
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    dof = F.col("n_cat") - 1
     return agg.select(
         "feature",
         "n_ref",
         "n_cur",
         "n_cat",
         "n_ref_cat",
-        "chi2_stat",
-        (F.col("n_cat") - 1).cast("int").alias("chi2_dof"),
-        chi2_sf(F.col("chi2_stat"), (F.col("n_cat") - 1).cast("int")).alias("chi2_p"),
-        F.when(var > 0, norm_sf_two_sided(z)).otherwise(F.lit(1.0)).alias("z_p"),
-        F.sqrt(F.greatest(F.lit(0.0), F.col("js_sum") / 2)).alias("js"),
+        F.when(both, F.col("chi2_stat")).alias("chi2_stat"),
+        dof.alias("chi2_dof"),
+        F.when(both, F.when(dof == 0, 1.0).otherwise(chi2_sf(F.col("chi2_stat"), dof))).alias("chi2_p"),
+        F.when(both, F.when(var > 0, norm_sf_two_sided(z)).otherwise(F.lit(1.0))).alias("z_p"),
+        F.when(both, F.sqrt(F.greatest(F.lit(0.0), F.col("js_sum") / 2))).alias("js"),
     )
 
 
@@ -276,63 +281,57 @@ def column_drift(
     reference: DataFrame,
     current: DataFrame,
     columns: Sequence[str] | None = None,
+    categorical: Sequence[str] = (),
     **params,
 ) -> DataFrame:
-    """One row per column: column, kind, test, n_ref, n_cur, score, threshold, drifted."""
+    """One row per column: ordinal, feature, kind, test, n_ref, n_cur, score, threshold, drifted.
+
+    categorical: numeric columns to be tested as categories."""
     opts = {**DEFAULTS, **params}
+    if opts["numeric_test"] not in NUMERIC_TESTS or opts["categorical_test"] not in CATEGORICAL_TESTS:
+        raise ValueError(f"numeric_test is one of {NUMERIC_TESTS}, categorical_test one of {CATEGORICAL_TESTS}")
     columns = list(columns or reference.columns)
     types = {f.name: f.dataType for f in reference.schema.fields}
-    numeric = [c for c in columns if isinstance(types[c], NumericType)]
+    numeric = [c for c in columns if isinstance(types[c], NumericType) and c not in set(categorical)]
+    textual = [c for c in columns if c not in numeric]
     tagged = tag_sides(reference, current, columns)
-    cat = categorical_distances(tagged, columns)
-    ordinal = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
-    rows = cat
-    if numeric:
-        num = numeric_distances(tagged, numeric, opts["rows_per_bucket"]).select(
-            "feature", "ks_stat", "wasserstein", "ref_std"
-        )
-        rows = cat.join(num, "feature", "left")
-    else:
-        rows = cat.withColumns({"ks_stat": F.lit(None).cast("double"), "wasserstein": F.lit(None).cast("double"), "ref_std": F.lit(None).cast("double")})
-    is_num_type = F.col("feature").isin(numeric) if numeric else F.lit(False)
-    # distinct values of the reference side decide the test, as the usual
-    # default rules do
-    kind = F.when(is_num_type & (F.col("n_ref_cat") > opts["cat_max_unique"]), "num").otherwise("cat")
-    small = F.col("n_ref") <= opts["small_sample"]
-    rows = rows.withColumn("kind", kind)
-    test = (
-        F.when(small & (F.col("kind") == "num"), "ks")
-        .when(small & (F.col("n_ref_cat") <= 2), "z")
-        .when(small, "chi2")
-        .when(F.col("kind") == "num", "wasserstein")
-        .otherwise("jensenshannon")
-    )
-    rows = rows.withColumn("test", test)
-    wnorm = F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))
-    score = (
-        F.when(F.col("test") == "ks", ks_p_value_for(opts["ks_method"], F.col("n_ref"), F.col("n_cur"), F.col("ks_stat")))
-        .when(F.col("test") == "z", F.col("z_p"))
-        .when(F.col("test") == "chi2", F.col("chi2_p"))
-        .when(F.col("test") == "wasserstein", wnorm)
-        .otherwise(F.col("js"))
-    )
-    is_p = F.col("test").isin("ks", "z", "chi2")
+    score_of = {
+        "wasserstein": F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001)),
+        "ks": ks_p_value(F.col("n_ref"), F.col("n_cur"), F.col("ks_stat")),
+        "jensenshannon": F.col("js"),
+        "chi2": F.col("chi2_p"),
+        "z": F.col("z_p"),
+    }
+    scored = []
+    for kind, names, test, distances in (
+        ("num", numeric, opts["numeric_test"], numeric_distances),
+        ("cat", textual, opts["categorical_test"], categorical_distances),
+    ):
+        if names:
+            found = distances(tagged, names)
+            score = F.pandas_udf(_ks_exact_series, "double")("n_ref", "n_cur", "ks_stat") if test == "ks_exact" else score_of[test]
+            wanted = F.explode(F.array(*[F.struct(F.lit(columns.index(c)).alias("ordinal"), F.lit(c).alias("feature")) for c in names]))
+            listed = reference.sparkSession.range(1).select(wanted.alias("w")).select("w.ordinal", "w.feature")
+            # one row per requested column, with or without values
+            scored.append(
+                listed.join(found.select("feature", "n_ref", "n_cur", score.alias("score")), "feature", "left").select(
+                    "ordinal",
+                    "feature",
+                    F.lit(kind).alias("kind"),
+                    F.lit(test).alias("test"),
+                    F.coalesce("n_ref", F.lit(0)).alias("n_ref"),
+                    F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
+                    "score",
+                )
+            )
+    rows = scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1])
+    is_p = F.col("test").isin("ks", "ks_exact", "z", "chi2")
     threshold = F.when(is_p, F.lit(opts["p_threshold"])).otherwise(F.lit(opts["d_threshold"]))
-    drifted = F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
-    return (
-        rows.withColumns({"score": score, "threshold": threshold})
-        .withColumn("drifted", drifted.cast("int"))
-        .select(
-            ordinal[F.col("feature")].cast("int").alias("ordinal"),
-            "feature",
-            "kind",
-            "test",
-            "n_ref",
-            "n_cur",
-            "score",
-            "threshold",
-            "drifted",
-        )
+    beyond = F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
+    one_sided = (F.col("n_ref") > 0) != (F.col("n_cur") > 0)
+    drifted = F.when(one_sided, True).otherwise(F.coalesce(beyond, F.lit(False)))
+    return rows.withColumn("threshold", threshold).withColumn("drifted", drifted.cast("int")).select(
+        "ordinal", "feature", "kind", "test", "n_ref", "n_cur", "score", "threshold", "drifted"
     )
 
 
@@ -363,7 +362,7 @@ def drift_report(columns_drift: DataFrame, share_threshold: float = DEFAULTS["sh
         "ordinal",
         F.concat(F.lit("column_drift:"), F.col("feature")).alias("name"),
         F.when(F.col("drifted") == 1, "FAIL").otherwise("SUCCESS").alias("status"),
-        F.format_string("%s test on %s: score %.6f, threshold %.3f", "test", "feature", "score", "threshold").alias(
+        F.format_string("%s test on %s: score %s, threshold %.3f", "test", "feature", F.coalesce(F.format_string("%.6f", "score"), F.lit("none")), "threshold").alias(
             "description"
         ),
     )

@@ -3,6 +3,10 @@
 All metrics start from one small aggregate: counts per (truth, prediction)
 pair, which has at most (number of classes)^2 rows however large the scored
 table is. Everything after it runs on that small table.
+
+A null truth or prediction is a class of its own that is never right, in every
+metric: it counts in n, lowers accuracy and recall, and has its row or column in
+the confusion matrix, which therefore sums to n.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from pyspark.sql import functions as F
 
 TRUTH = "target"
 PRED = "Predictions"
+#: More classes than this are a wrong column, not a classification.
+MAX_CLASSES = 1000
 
 
 def align(truth: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
@@ -28,7 +34,7 @@ def pair_counts(aligned: DataFrame, truth: str = TRUTH, pred: str = PRED) -> Dat
 
 def accuracy(aligned: DataFrame, truth: str = TRUTH, pred: str = PRED) -> DataFrame:
     """One row: n and accuracy."""
-    hit = (F.col(truth) == F.col(pred)).cast("double")
+    hit = F.coalesce(F.col(truth) == F.col(pred), F.lit(False)).cast("double")
     return aligned.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg(hit).alias("accuracy"))
 
 
@@ -84,24 +90,21 @@ def confusion_matrix(aligned: DataFrame, truth: str = TRUTH, pred: str = PRED) -
     predicted) over the union of labels, zero cells included.
 
     The label set comes from the pair counts (classes^2 rows at most), so the
-    dense grid is built from that small table, never from the scored rows.
+    dense grid is built from that small table, never from the scored rows. More
+    than ``MAX_CLASSES`` labels raise an error.
     """
     counts = pair_counts(aligned, truth, pred)
-    labels = counts.select(
-        F.array_sort(F.array_union(F.collect_set("truth"), F.collect_set("predicted"))).alias("labels")
-    )
-    grid = labels.select(F.explode("labels").alias("truth"), "labels").select(
-        "truth", F.explode("labels").alias("predicted")
-    )
-    return grid.join(counts, ["truth", "predicted"], "left").select(
-        "truth", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")
+    # structs keep null labels, which a set of plain values drops
+    every = F.array_union(F.collect_set(F.struct(F.col("truth").alias("l"))), F.collect_set(F.struct(F.col("predicted").alias("l"))))
+    labels = counts.agg(every.alias("labels")).select(
+        F.when(F.size("labels") <= MAX_CLASSES, F.col("labels")).otherwise(F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))).alias("labels")
     )
-
-
-def confusion_wide(aligned: DataFrame, labels: list[str], truth: str = TRUTH, pred: str = PRED) -> DataFrame:
-    """Wide form: one row per true label, one column per predicted label."""
-    counts = pair_counts(aligned, truth, pred)
-    return counts.groupBy("truth").pivot("predicted", labels).agg(F.sum("n")).fillna(0)
+    grid = labels.select(F.explode("labels").alias("t"), "labels").select(
+        F.col("t.l").alias("truth"), F.explode("labels").alias("p")
+    ).select("truth", F.col("p.l").alias("predicted"))
+    c = counts.select(F.col("truth").alias("__t"), F.col("predicted").alias("__p"), "n")
+    same = F.col("truth").eqNullSafe(F.col("__t")) & F.col("predicted").eqNullSafe(F.col("__p"))
+    return grid.join(c, same, "left").select("truth", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
 def metrics_long(metrics_row: DataFrame, run_id: str) -> DataFrame:

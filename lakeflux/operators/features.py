@@ -106,42 +106,37 @@ def seeded_split(
 ) -> DataFrame:
     """Exact, seeded, disjoint and complete train/test split (F2).
 
-    Rows are ranked by ``md5("<key>:<seed>")`` (ties by key); the first
+    Rows are ranked by ``md5("<key>:<seed>")``; the first
     ``ceil(test_fraction * n)`` rows form the test set. The rank is never
     computed globally: rows are counted per hash bucket (first ``digits`` hex
     digits, at most 16**digits buckets), a running sum over that small table
-    finds the bucket holding the boundary, and a second level does the same
-    inside that bucket with the next digits. These two small aggregates run
-    first and return four numbers; the split itself is then a map-only
-    projection against literals, plus a window over the rows of the one final
-    sub-bucket (about n / 16**(2*digits) rows).
+    finds the bucket holding the boundary, a second level does the same inside
+    that bucket with the next digits, and a third finds the last hash of the
+    test set. These small aggregates over the key column run first; the split
+    itself is one map-only projection against that hash.
+
+    Rows of one key always share a side. Where the boundary would cut through
+    them the split is not exact and a ``ValueError`` says so.
     """
     # a null key hashes like the empty string, so no row is ever lost
     h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
-    hashed = df.withColumns({"__h": h}).withColumns(
+    keys = df.select(h.alias("__h")).withColumns(
         {"__b1": _hex_prefix_int(F.col("__h"), 1, digits), "__b2": _hex_prefix_int(F.col("__h"), 1 + digits, digits)}
     )
-    keys = hashed.select("__h", "__b1", "__b2", key)
     counts1 = keys.groupBy("__b1").agg(F.count(F.lit(1)).alias("__cnt"))
     b1, need1 = _boundary(counts1, "__b1", fraction=test_fraction)
     if b1 is None:  # empty test set (or empty input): everything is train
         return df.withColumn(SPLIT_COL, F.lit("train"))
-    counts2 = keys.where(F.col("__b1") == b1).groupBy("__b2").agg(F.count(F.lit(1)).alias("__cnt"))
-    b2, need2 = _boundary(counts2, "__b2", need=need1)
-
-    in_boundary = (F.col("__b1") == b1) & (F.col("__b2") == b2)
-    bulk = hashed.where(~in_boundary).withColumn(
-        SPLIT_COL,
-        F.when(F.col("__b1") < b1, "test")
-        .when(F.col("__b1") > b1, "train")
-        .when(F.col("__b2") < b2, "test")
-        .otherwise("train"),
-    )
-    w = Window.partitionBy("__b1", "__b2").orderBy("__h", key)
-    edge = hashed.where(in_boundary).withColumn(
-        SPLIT_COL, F.when(F.row_number().over(w) <= need2, "test").otherwise("train")
-    )
-    return bulk.unionByName(edge).drop("__h", "__b1", "__b2")
+    inside = keys.where(F.col("__b1") == b1)
+    b2, need2 = _boundary(inside.groupBy("__b2").agg(F.count(F.lit(1)).alias("__cnt")), "__b2", need=need1)
+    # the hashes of one final sub-bucket: about n / 16**(2 * digits) rows
+    last = inside.where(F.col("__b2") == b2).groupBy("__h").agg(F.count(F.lit(1)).alias("__cnt"))
+    w = Window.orderBy("__h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = last.select("__h", F.sum("__cnt").over(w).alias("__upto"))
+    boundary = reach.where(F.col("__upto") >= need2).orderBy("__upto").first()
+    if boundary["__upto"] != need2:
+        raise ValueError(f"the split boundary lies among rows of one {key!r}: the key must be unique")
+    return df.withColumn(SPLIT_COL, F.when(h <= boundary["__h"], "test").otherwise("train"))
 
 
 def expected_test_size(n: int, test_fraction: float = 0.2) -> int:

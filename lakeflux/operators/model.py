@@ -20,14 +20,34 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeflux.operators.evaluate import MAX_CLASSES
+
 PRED_COL = "Predictions"
 
 
+def _usable(features: Sequence[str] | str):
+    """True where no feature is null or NaN."""
+    if isinstance(features, str):
+        return F.coalesce(F.forall(features, lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
+    ok = F.lit(True)
+    for c in features:
+        x = F.col(c).cast("double")
+        ok = ok & x.isNotNull() & ~F.isnan(x)
+    return ok
+
+
+def split_unusable(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be fitted or scored, and the others (a null or NaN feature)."""
+    return df.where(_usable(features)), df.where(~_usable(features))
+
+
 def feature_vector(df: DataFrame, features: Sequence[str] | str, out: str = "features") -> DataFrame:
-    """Numeric columns, or one array column, as an ML vector column."""
+    """Numeric columns, or one array column, as an ML vector column. A null or
+    NaN feature raises; ``split_unusable`` sets such rows aside before."""
     if isinstance(features, str):
-        return df.withColumn(out, array_to_vector(F.col(features)))
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
+        checked = F.when(_usable(features), F.col(features)).otherwise(F.raise_error(F.lit(f"null or NaN in {features}")))
+        return df.withColumn(out, array_to_vector(checked))
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
 def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int = 100, features_col: str = "features") -> PipelineModel:
@@ -37,7 +57,9 @@ def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
     the label vocabulary and n for the penalty, so no separate indexer fit
     or count pass runs before the optimiser.
     """
-    counts = train.groupBy(F.col(label).cast("string").alias("l")).count().collect()
+    counts = train.groupBy(F.col(label).cast("string").alias("l")).count().limit(MAX_CLASSES + 2).collect()
+    if len(counts) > MAX_CLASSES + 1:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} values: not a class label")
     labels = sorted(r["l"] for r in counts if r["l"] is not None)
     n = sum(r["count"] for r in counts if r["l"] is not None)
     if not labels:
@@ -64,6 +86,18 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
+def save_scaler(spark, scaler: dict[str, tuple[float, float]], path: str) -> str:
+    """The fitted means and stds beside the model (F5), one row a feature."""
+    rows = [(k, float(m), float(s)) for k, (m, s) in scaler.items()]
+    spark.createDataFrame(rows, "feature string, mean double, std double").coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_scaler(spark, path: str) -> dict[str, tuple[float, float]]:
+    """What save_scaler wrote: one row a feature."""
+    return {r["feature"]: (r["mean"], r["std"]) for r in spark.read.parquet(path).collect()}
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

@@ -4,7 +4,8 @@ Output columns: ``ordinal`` (position in the requested list), ``feature``,
 ``dtype`` (Spark simple type), ``is_categorical`` (text type), ``is_binary``
 (text type with exactly two distinct values), ``n_unique`` (distinct non-null
 values), ``min_value`` / ``max_value`` (numeric and boolean columns, as double;
-null for others), ``null_share`` (nulls and NaN over rows, banker's rounding to 4
+null for others), ``min_text`` / ``max_text`` (whole numbers, decimals, dates and
+timestamps exactly, as text; null for others), ``null_share`` (nulls and NaN over rows, banker's rounding to 4
 places; null on an empty frame).
 
 Plan: one aggregate pass computes row count, null counts, min and max for all
@@ -27,10 +28,14 @@ from pyspark.sql.types import (
     LongType,
     ShortType,
     CharType,
+    DateType,
+    DecimalType,
     DoubleType,
     FloatType,
     NumericType,
     StringType,
+    TimestampNTZType,
+    TimestampType,
     VarcharType,
 )
 
@@ -47,6 +52,15 @@ def _has_range(dt) -> bool:
     return isinstance(dt, (NumericType, BooleanType))
 
 
+def _exact_text(c, dt):
+    """An exact value as text, or null for types that have none (floating point, text, nested)."""
+    if isinstance(dt, (ByteType, ShortType, IntegerType, LongType, DecimalType, DateType)):
+        return c.cast("string")
+    if isinstance(dt, (TimestampType, TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return None
+
+
 def column_profile(
     df: DataFrame, features: Sequence[str] | None = None, approx_distinct: bool = False, rsd: float = 0.01
 ) -> DataFrame:
@@ -77,6 +91,9 @@ def column_profile(
         else:
             aggs.append(F.lit(None).cast("double").alias(f"min{i}"))
             aggs.append(F.lit(None).cast("double").alias(f"max{i}"))
+        for end, agg in (("lo", F.min), ("hi", F.max)):
+            text = _exact_text(agg(c), types[name])
+            aggs.append((F.lit(None).cast("string") if text is None else text).alias(f"{end}{i}"))
     totals = cleaned.agg(*aggs)
     per_col = totals.select(
         F.inline(
@@ -88,6 +105,8 @@ def column_profile(
                         F.col(f"nulls{i}").alias("nulls"),
                         F.col(f"min{i}").alias("min_value"),
                         F.col(f"max{i}").alias("max_value"),
+                        F.col(f"lo{i}").alias("min_text"),
+                        F.col(f"hi{i}").alias("max_text"),
                         (F.col(f"nd{i}") if approx_distinct else F.lit(None).cast("long")).alias("approx_n"),
                     )
                     for i in range(len(features))
@@ -139,6 +158,8 @@ def column_profile(
         n_unique.alias("n_unique"),
         "min_value",
         "max_value",
+        "min_text",
+        "max_text",
         F.bround(F.try_divide(F.col("nulls").cast("double"), F.nullif(F.col("n"), F.lit(0))), 4).alias(
             "null_share"
         ),

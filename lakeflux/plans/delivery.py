@@ -1,12 +1,12 @@
 """Delivery job: source table -> audit columns -> JSON messages -> sink.
 
 One plan: the source is scanned for the rows and, separately and only for
-the row count, by a metadata-level scalar subquery (Parquet answers it from
-footers; JDBC pushes ``count(*)`` to the database). The original job counted
-the table up to three times without a snapshot; here ``rows_written`` and the
-messages come from one query execution. When the source can change under the
-job (a live database), pass ``snapshot_path`` and the rows are first written
-there and delivered from that copy.
+the row count, by a scalar subquery that Parquet answers from its footers. A
+JDBC scan would fetch all rows again for it: pass ``rows_written`` from
+``jdbc_row_count``. The original job counted the table up to three times without
+a snapshot. When the source can change under the job (a live database), pass
+``snapshot_path``: the rows are first written there, once, and counted and
+delivered from that copy.
 """
 
 from __future__ import annotations

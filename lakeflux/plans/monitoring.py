@@ -18,6 +18,7 @@ def monitor(
     the gate."""
     ref, cur = lower_case_names(reference), lower_case_names(current)
     cols = [c.lower() for c in columns] if columns else None
+    params["categorical"] = [c.lower() for c in params.get("categorical", ())]
     per_column = column_drift(ref, cur, cols, **params).checkpoint(eager=True)
     report = drift_report(per_column, params.get("share_threshold", DEFAULTS["share_threshold"]))
     return {"columns": per_column, "report": report, "gate": drift_gate(report)}

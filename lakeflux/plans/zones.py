@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakeflux.operators.columns import select_columns
-from lakeflux.operators.zones import file_name, head_per_file
+from lakeflux.operators.zones import head_per_file
 from lakeflux.sinks.files import write_zone_csv
-from lakeflux.sources.files import FILE_COL, POS_COL, dated_prefix, read_record_arrays
+from lakeflux.sources.files import FILE_COL, POS_COL, dated_prefix, read_record_arrays, relative_to
 
 # Record layout of the business files (the original test fixture).
 BUSINESS_SCHEMA = StructType(
@@ -49,7 +49,9 @@ def curate(
     input file under ``<curated>/business/<ds>/``; return that folder."""
     records = read_record_arrays(spark, dated_prefix(processing_root, ZONE_PREFIX, ds), schema)
     head = select_head(records, keep, n)
-    out = head.withColumn("source_file", file_name(FILE_COL)).orderBy("source_file", POS_COL)
+    folder = dated_prefix(processing_root, ZONE_PREFIX, ds)
+    # one shuffle by file; each file's records in order
+    out = head.withColumn("source_file", relative_to(folder)).repartition("source_file").sortWithinPartitions("source_file", POS_COL)
     target = dated_prefix(curated_root, ZONE_PREFIX, ds)
     write_zone_csv(out.select("source_file", *keep), target, partition_by=["source_file"])
     return target

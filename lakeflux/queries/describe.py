@@ -32,6 +32,7 @@ LINEITEM_PROFILE_COLS = [
     ("l_tax", "double"),
     ("l_returnflag", "string"),
     ("l_linestatus", "string"),
+    ("l_shipdate", "timestamp_ntz"),
 ]
 
 
@@ -57,15 +58,17 @@ def profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _profile_sql(source: str, cols: list[tuple[str, str]]) -> str:
     parts = []
     for i, (name, dtype) in enumerate(cols):
-        text = dtype == "string"
+        text, when = dtype == "string", dtype.startswith("timestamp")
+        exact = {"bigint": "min({0})::VARCHAR", "int": "min({0})::VARCHAR"}.get(dtype, "strftime(min({0}), '%Y-%m-%d %H:%M:%S.%f')" if when else "NULL::VARCHAR")
         nd = f"count(DISTINCT {name})::BIGINT"
         parts.append(
             f"SELECT {i} AS ordinal, '{name}' AS feature, '{dtype}' AS dtype, "
             f"{1 if text else 0} AS is_categorical, "
             f"{f'CASE WHEN count(DISTINCT {name}) = 2 THEN 1 ELSE 0 END' if text else '0'} AS is_binary, "
             f"{nd} AS n_unique, "
-            f"{'NULL::DOUBLE' if text else f'min({name})::DOUBLE'} AS min_value, "
-            f"{'NULL::DOUBLE' if text else f'max({name})::DOUBLE'} AS max_value, "
+            f"{'NULL::DOUBLE' if text or when else f'min({name})::DOUBLE'} AS min_value, "
+            f"{'NULL::DOUBLE' if text or when else f'max({name})::DOUBLE'} AS max_value, "
+            f"{exact.format(name)} AS min_text, {exact.replace('min(', 'max(').format(name)} AS max_text, "
             f"round_even(count(*) FILTER (WHERE {name} IS NULL) / nullif(count(*), 0), 4) AS null_share "
             f"FROM {source}"
         )

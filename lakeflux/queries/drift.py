@@ -1,6 +1,6 @@
-"""Drift family: KS, Wasserstein, chi-square, Jensen-Shannon, dataset verdict
-and retrain gate, on the two halves of January in ``events`` (and a small
-sample on ``supplier`` for the small-sample tests)."""
+"""Drift family: KS, Wasserstein, chi-square, z, Jensen-Shannon, dataset verdict
+and retrain gate, on the two halves of January in ``events`` and on two groups of
+nations in ``supplier``. Every query names its tests."""
 
 from __future__ import annotations
 
@@ -77,7 +77,7 @@ def _rounded(cd: DataFrame) -> DataFrame:
 
 def drift_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = _event_halves(spark, sf_dir)
-    return _rounded(column_drift(ref, cur, EVENT_COLUMNS))
+    return _rounded(column_drift(ref, cur, EVENT_COLUMNS, numeric_test="wasserstein", categorical_test="jensenshannon"))
 
 
 def _supplier_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -94,14 +94,32 @@ SUPPLIER_COLUMNS = ["s_acctbal", "balance_band", "supplier_group"]
 
 
 def drift_small_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KS and chi-square, and the z-test for the two balance bands."""
     ref, cur = _supplier_sides(spark, sf_dir)
-    return _rounded(column_drift(ref, cur, SUPPLIER_COLUMNS))
+    tested = column_drift(ref, cur, SUPPLIER_COLUMNS, numeric_test="ks", categorical_test="chi2")
+    bands = column_drift(ref, cur, ["balance_band"], categorical_test="z").withColumn("ordinal", F.lit(len(SUPPLIER_COLUMNS)))
+    return _rounded(tested.unionByName(bands))
+
+
+def _null_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """value and event_type without any value on one side, props on neither."""
+    ref, cur = _event_halves(spark, sf_dir)
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    return (
+        ref.select("user_id", "value", none(ref, "event_type"), none(ref, "props")),
+        cur.select("user_id", none(cur, "value"), "event_type", none(cur, "props")),
+    )
+
+
+def drift_null_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, cur = _null_sides(spark, sf_dir)
+    return _rounded(column_drift(ref, cur, EVENT_COLUMNS, numeric_test="ks", categorical_test="chi2"))
 
 
 def drift_gate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cur = _event_halves(spark, sf_dir)
     # one row per column: computed once, cut from its lineage, read twice
-    cd = column_drift(ref, cur, EVENT_COLUMNS).checkpoint(eager=True)
+    cd = column_drift(ref, cur, EVENT_COLUMNS, numeric_test="wasserstein", categorical_test="jensenshannon").checkpoint(eager=True)
     gate = drift_gate(drift_report(cd))
     ds = dataset_drift(cd)
     # both sides are single rows; union as columns through a scalar subquery
@@ -162,39 +180,37 @@ def _cat_select(c: str) -> str:
     var = f"({pooled} * (1 - {pooled}) * (1.0 / n_ref + 1.0 / n_cur))"
     z = f"((a_ref / n_ref - a_cur / n_cur) / sqrt({var}))"
     return (
-        f"SELECT feature, n_ref, n_cur, n_cat, n_ref_cat, chi2_stat, CAST(n_cat - 1 AS INTEGER) AS chi2_dof, "
+        f"SELECT feature, n_ref, n_cur, n_cat, n_ref_cat, chi2_stat, CAST(n_cat - 1 AS BIGINT) AS chi2_dof, "
         f"{chi2_sf_sql('chi2_stat', 'n_cat - 1')} AS chi2_p, "
         f"CASE WHEN {var} > 0 THEN {erfc_sql(f'abs({z}) / sqrt(2.0)')} ELSE 1.0 END AS z_p, "
         f"sqrt(greatest(0.0, js_sum / 2)) AS js FROM cat_{c}"
     )
 
 
-def _drift_sql(src: str, columns: list[str], numeric: list[str]) -> str:
-    ctes = [_cat_ctes(src, c) for c in columns] + [_num_ctes(src, c) for c in numeric]
-    cat_all = " UNION ALL ".join(_cat_select(c) for c in columns)
-    num_all = " UNION ALL ".join(f"SELECT feature, ks_stat, wasserstein, ref_std FROM num_{c}" for c in numeric) or (
-        "SELECT NULL::VARCHAR AS feature, NULL::DOUBLE AS ks_stat, NULL::DOUBLE AS wasserstein, NULL::DOUBLE AS ref_std"
-    )
-    ords = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(columns))
-    numeric_list = ", ".join(f"'{c}'" for c in numeric) or "NULL"
+def _drift_sql(src: str, columns: list[str], numeric: list[str], tests: list[tuple[str, str]]) -> str:
+    """CTEs up to cd, the rows of column_drift; tests: (column, test) in order."""
+    ctes = [_cat_ctes(src, c) for c in columns if c not in numeric] + [_num_ctes(src, c) for c in numeric]
     o = DEFAULTS
     lam = "(sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks_stat)"
+    score = {
+        "ks": kolmogorov_sf_sql(lam),
+        "z": "z_p",
+        "chi2": "chi2_p",
+        "wasserstein": "wasserstein / greatest(ref_std, 0.001)",
+        "jensenshannon": "js",
+    }
+    rows = []
+    for i, (c, test) in enumerate(tests):
+        source = f"num_{c}" if c in numeric else f"({_cat_select(c)})"
+        rows.append(
+            f"SELECT {i}::INTEGER AS ordinal, '{c}' AS feature, '{'num' if c in numeric else 'cat'}' AS kind, '{test}' AS test, "
+            f"n_ref, n_cur, {score[test]} AS score, "
+            f"CAST({o['p_threshold'] if test in ('ks', 'z', 'chi2') else o['d_threshold']} AS DOUBLE) AS threshold FROM {source} s"
+        )
     return f"""
 WITH {','.join(ctes)},
-cats AS ({cat_all}),
-nums AS ({num_all}),
-r AS (SELECT c.*, n.ks_stat, n.wasserstein, n.ref_std,
-             CASE WHEN c.feature IN ({numeric_list}) AND c.n_ref_cat > {o['cat_max_unique']} THEN 'num' ELSE 'cat' END AS kind
-      FROM cats c LEFT JOIN nums n USING (feature)),
-s AS (SELECT *, CASE WHEN n_ref <= {o['small_sample']} AND kind = 'num' THEN 'ks'
-                     WHEN n_ref <= {o['small_sample']} AND n_ref_cat <= 2 THEN 'z'
-                     WHEN n_ref <= {o['small_sample']} THEN 'chi2'
-                     WHEN kind = 'num' THEN 'wasserstein' ELSE 'jensenshannon' END AS test FROM r),
-sc AS (SELECT *, CASE test WHEN 'ks' THEN {kolmogorov_sf_sql(lam)} WHEN 'z' THEN z_p WHEN 'chi2' THEN chi2_p
-                           WHEN 'wasserstein' THEN wasserstein / greatest(ref_std, 0.001) ELSE js END AS score,
-                 CAST(CASE WHEN test IN ('ks', 'z', 'chi2') THEN {o['p_threshold']} ELSE {o['d_threshold']} END AS DOUBLE) AS threshold
-       FROM s),
-cd AS (SELECT CAST(CASE feature {ords} END AS INTEGER) AS ordinal, feature, kind, test, n_ref, n_cur, score, threshold,
+sc AS ({' UNION ALL '.join(rows)}),
+cd AS (SELECT ordinal, feature, kind, test, n_ref, n_cur, score, threshold,
               CAST(CASE WHEN test IN ('ks', 'z', 'chi2') THEN score < threshold ELSE score >= threshold END AS INTEGER) AS drifted
        FROM sc)
 """
@@ -204,6 +220,8 @@ def _cd_select() -> str:
     return "SELECT ordinal, feature, kind, test, n_ref, n_cur, round(score, 6) AS score, threshold, drifted FROM cd"
 
 
+EVENT_TESTS = [(c, "wasserstein" if c in EVENT_NUMERIC else "jensenshannon") for c in EVENT_COLUMNS]
+SUPPLIER_TESTS = [("s_acctbal", "ks"), ("balance_band", "chi2"), ("supplier_group", "chi2"), ("balance_band", "z")]
 SQL = {
     "drift_ks": "WITH "
     + _num_ctes(EVENTS_SIDES, "value")
@@ -229,9 +247,22 @@ FROM num_value""",
     + ", cats AS ("
     + " UNION ALL ".join(_cat_select(c) for c in ["event_type", "props"])
     + ") SELECT feature, n_ref, n_cur, round(js, 6) AS js FROM cats",
-    "drift_dataset": _drift_sql(EVENTS_SIDES, EVENT_COLUMNS, EVENT_NUMERIC) + _cd_select(),
-    "drift_small_sample": _drift_sql(SUPPLIER_SIDES, SUPPLIER_COLUMNS, ["s_acctbal"]) + _cd_select(),
-    "drift_gate": _drift_sql(EVENTS_SIDES, EVENT_COLUMNS, EVENT_NUMERIC)
+    "drift_dataset": _drift_sql(EVENTS_SIDES, EVENT_COLUMNS, EVENT_NUMERIC, EVENT_TESTS) + _cd_select(),
+    "drift_small_sample": _drift_sql(SUPPLIER_SIDES, SUPPLIER_COLUMNS, ["s_acctbal"], SUPPLIER_TESTS) + _cd_select(),
+    "drift_null_column": f"""
+WITH s AS {EVENTS_SIDES},
+ks AS (SELECT CAST(sum(is_ref) AS BIGINT) AS r, CAST(sum(1 - is_ref) AS BIGINT) AS c FROM s WHERE value IS NOT NULL AND NOT isnan(value)),
+ty AS (SELECT CAST(sum(1 - is_ref) AS BIGINT) AS c FROM s WHERE event_type IS NOT NULL),
+"""
+    + _num_ctes("s", "user_id").replace("FROM s s", "FROM s")
+    + f"""
+SELECT 0::INTEGER AS ordinal, 'user_id' AS feature, 'num' AS kind, 'ks' AS test, n_ref, n_cur, round(p, 6) AS score,
+       CAST({DEFAULTS['p_threshold']} AS DOUBLE) AS threshold, CAST(p < {DEFAULTS['p_threshold']} AS INTEGER) AS drifted
+FROM (SELECT *, {kolmogorov_sf_sql('(sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks_stat)')} AS p FROM num_user_id)
+UNION ALL SELECT 1, 'value', 'num', 'ks', r, 0, NULL, {DEFAULTS['p_threshold']}, 1 FROM ks
+UNION ALL SELECT 2, 'event_type', 'cat', 'chi2', 0, c, NULL, {DEFAULTS['p_threshold']}, 1 FROM ty
+UNION ALL SELECT 3, 'props', 'cat', 'chi2', 0, 0, NULL, {DEFAULTS['p_threshold']}, 0""",
+    "drift_gate": _drift_sql(EVENTS_SIDES, EVENT_COLUMNS, EVENT_NUMERIC, EVENT_TESTS)
     + f"""
 , ds AS (SELECT count(*)::BIGINT AS n_columns, sum(drifted)::BIGINT AS n_drifted FROM cd)
 SELECT CASE WHEN n_drifted / n_columns >= {DEFAULTS['share_threshold']} THEN 'FAIL' ELSE 'SUCCESS' END AS status,
@@ -247,5 +278,6 @@ QUERIES = {
     "drift_js": drift_js,
     "drift_dataset": drift_dataset,
     "drift_small_sample": drift_small_sample,
+    "drift_null_column": drift_null_column,
     "drift_gate": drift_gate_query,
 }

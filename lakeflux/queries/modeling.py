@@ -88,6 +88,22 @@ def q_pred_vs_true(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _aligned(spark, sf_dir).select("o_orderkey", "target", "Predictions")
 
 
+def q_eval_null_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The confusion matrix where some truths and some predictions are null, with accuracy and weighted recall beside it."""
+    a = _aligned(spark, sf_dir).select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("target")).alias("target"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("Predictions")).alias("Predictions"),
+    )
+    acc = accuracy(a)
+    return confusion_matrix(a).select(
+        "truth",
+        "predicted",
+        "n",
+        r6(acc.select("accuracy").scalar()).alias("accuracy"),
+        r6(weighted_scores(a).select("recall").scalar()).alias("recall"),
+    )
+
+
 PRED_SQL = """CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'F'
      WHEN o_totalprice >= 250000 THEN 'O' ELSE 'U' END"""
 ALIGNED_SQL = f"SELECT o_orderkey, o_orderstatus AS target, {PRED_SQL} AS Predictions FROM orders"
@@ -147,6 +163,15 @@ l AS (SELECT target AS label FROM a UNION SELECT Predictions FROM a),
 c AS (SELECT target AS truth, Predictions AS predicted, count(*) AS n FROM a GROUP BY ALL)
 SELECT t.label AS truth, p.label AS predicted, coalesce(c.n, 0)::BIGINT AS n
 FROM l t, l p LEFT JOIN c ON c.truth = t.label AND c.predicted = p.label
+""",
+    "eval_null_labels": f"""
+WITH a AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN target END AS target,
+                  CASE WHEN o_orderkey % 5 <> 0 THEN Predictions END AS Predictions FROM ({ALIGNED_SQL}) x),
+l AS (SELECT target AS label FROM a UNION SELECT Predictions FROM a),
+c AS (SELECT target AS truth, Predictions AS predicted, count(*) AS n FROM a GROUP BY ALL),
+h AS (SELECT round(avg(CASE WHEN target = Predictions THEN 1.0 ELSE 0.0 END), 6) AS r FROM a)
+SELECT t.label AS truth, p.label AS predicted, coalesce(c.n, 0)::BIGINT AS n, h.r AS accuracy, h.r AS recall
+FROM l t, h, l p LEFT JOIN c ON c.truth IS NOT DISTINCT FROM t.label AND c.predicted IS NOT DISTINCT FROM p.label
 """,
     "eval_metrics_long": PER_CLASS_SQL
     + f""",
@@ -167,6 +192,7 @@ QUERIES = {
     "eval_accuracy": q_eval_accuracy,
     "eval_weighted": q_eval_weighted,
     "eval_confusion": q_eval_confusion,
+    "eval_null_labels": q_eval_null_labels,
     "eval_metrics_long": q_eval_metrics_long,
     "pred_vs_true": q_pred_vs_true,
 }

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.operators.avro import avro_fields, json_field_types
+from lakeflux.operators.avro import avro_fields, json_field_types, json_record_schema
 from lakeflux.queries.common import load
 
 
@@ -45,6 +45,13 @@ def q_avro_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_field_types(_payloads(spark, sf_dir), "payload")
 
 
+def q_avro_record_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record schema of the payloads, one in eleven of them cut short."""
+    ev = load(spark, sf_dir, "events")
+    cut = F.when(F.col("event_id") % 11 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    return json_record_schema(ev.select(cut.alias("payload")), "payload", "event_props", "events")
+
+
 def _avro_fields_sql() -> str:
     def rows(table: str, fields: list[tuple[str, str]]) -> list[str]:
         return [
@@ -86,8 +93,8 @@ SELECT json_object('k', CAST(json_extract_string(props, '$.k') AS INTEGER), 'v',
 FROM events
 """
 
-AVRO_FROM_JSON_SQL = f"""
-WITH p AS ({PAYLOADS_SQL}),
+_FROM_JSON_SQL = """
+WITH p AS ({payloads}),
 e AS (SELECT j.key, j.type, j.atom FROM p, json_each(p.payload::JSON) j),
 c AS (SELECT key,
              CASE WHEN type = 'NULL' THEN 'null'
@@ -115,5 +122,16 @@ SELECT key AS field,
 FROM k
 """
 
-SQL = {"avro_fields": _avro_fields_sql(), "avro_from_json": AVRO_FROM_JSON_SQL}
-QUERIES = {"avro_fields": q_avro_fields, "avro_from_json": q_avro_from_json}
+SQL = {
+    "avro_fields": _avro_fields_sql(),
+    "avro_from_json": _FROM_JSON_SQL.replace("{payloads}", PAYLOADS_SQL),
+    "avro_record_from_json": "WITH r AS ("
+    + _FROM_JSON_SQL.replace("{payloads}", "SELECT props AS payload FROM events WHERE event_id % 11 <> 0")
+    + """)
+SELECT '{"type":"record","name":"event_props","namespace":"events","fields":['
+       || string_agg('{"name":"' || field || '","type":' || replace(avro_type, ' ', '') || '}', ',' ORDER BY field) || ']}' AS schema,
+       (SELECT count(*) FROM events WHERE event_id % 11 = 0 AND props IS NOT NULL)::BIGINT AS n_broken
+FROM r
+""",
+}
+QUERIES = {"avro_fields": q_avro_fields, "avro_from_json": q_avro_from_json, "avro_record_from_json": q_avro_record_from_json}

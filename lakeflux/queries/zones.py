@@ -3,17 +3,29 @@ file and warehouse sinks, snapshots."""
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from lakeflux.operators.zones import DEFAULT_RECORDS_PER_FILE, write_landing_records
+from lakeflux.operators.zones import DEFAULT_RECORDS_PER_FILE, apply_per_file, promote, write_landing_records
 from lakeflux.plans.zones import BUSINESS_SCHEMA, select_head
-from lakeflux.queries.common import load, r6
+from lakeflux.queries.common import AS_OF, load, r6
 from lakeflux.session import work_dir
 from lakeflux.sinks.files import CSV_READ_OPTIONS, write_parquet_replace, write_zone_csv
 from lakeflux.sinks.warehouse import write_warehouse
-from lakeflux.sources.files import read_lake_table, read_parquet, read_record_arrays
+from lakeflux.sources.files import (
+    dated_prefix,
+    explode_records,
+    read_lake_table,
+    read_parquet,
+    read_record_arrays,
+    record_files,
+    rejected_files,
+    whole_files,
+)
 from lakeflux.sources.snapshot import SNAPSHOT_COL, read_latest_snapshot
 from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_stream, write_landing_json
 
@@ -50,6 +62,49 @@ def zone_stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("id", "pos", "title", "body")
 
 
+def zone_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record files of documents, those of every source that ends in 3 cut short: what
+    the batch reader keeps and what it rejects, by source."""
+    path = _documents_landing(spark, sf_dir)
+    raw = whole_files(spark.read.option("recursiveFileLookup", "true"), path)
+    source = F.regexp_extract("file", "source=([^/]*)", 1)
+    broken = F.expr("substring(value, 1, length(value) - 2)")
+    root = work_dir(spark, "broken-documents")
+    cut = raw.select(source.alias("source"), F.regexp_extract("file", "chunk=([^/]*)", 1).alias("chunk"), F.when(source.endswith("3"), broken).otherwise(F.col("value")).alias("value"))
+    cut.write.partitionBy("source", "chunk").text(root)
+    parsed = record_files(spark, root, BUSINESS_SCHEMA, glob=None)
+    kept = explode_records(parsed, "reject").groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n_records"))
+    rejected = rejected_files(parsed).groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n_rejected"))
+    return kept.join(rejected, "source", "full").select(
+        "source", F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("n_rejected", F.lit(0)).alias("n_rejected")
+    )
+
+
+def zone_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing -> processing: every record file under a stamped name of its own, read back by its date folder."""
+    path = _documents_landing(spark, sf_dir)
+    root = work_dir(spark, "processing-documents")
+    promote(spark, path, root, "20240201", F.lit(AS_OF).cast("timestamp"), "*.txt").count()
+    stored = read_record_arrays(spark, dated_prefix(root, "business", "20240201"), BUSINESS_SCHEMA, glob=None)
+    return stored.groupBy(F.regexp_extract("file", "source_([^_]*)_chunk", 1).alias("source")).agg(
+        F.countDistinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_records"), F.sum("user_id").alias("n_chars")
+    )
+
+
+def per_file_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A callable over whole files: the longest word and the number of words of each source's files."""
+    path = _documents_landing(spark, sf_dir)
+    raw = whole_files(spark.read.option("recursiveFileLookup", "true"), path)
+
+    def words(file: str, text: str) -> list[tuple]:
+        bodies = [r.get("body") or "" for r in json.loads(text)]
+        found = [w for b in bodies for w in re.findall(r"[a-z]+", b)]
+        return [(file.split("source=")[1].split("/")[0], len(bodies), len(found), max(map(len, found), default=0))]
+
+    out = apply_per_file(raw, words, "source string, n_records long, n_words long, longest long")
+    return out.groupBy("source").agg(F.sum("n_records").alias("n_records"), F.sum("n_words").alias("n_words"), F.max("longest").alias("longest"))
+
+
 def zone_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     path = write_zone_csv(docs, work_dir(spark, "curated-documents"))
@@ -115,7 +170,27 @@ r AS (SELECT doc_id, lang, text, row_number() OVER (PARTITION BY source, chunk O
 SELECT doc_id AS id, CAST(pos AS INTEGER) AS pos, lang AS title, text AS body FROM r WHERE pos < 5
 """
 
+FILES_SQL = f"""
+WITH d AS (SELECT *, count(*) OVER (PARTITION BY source) AS cnt FROM documents),
+c AS (SELECT *, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT
+               % CAST(ceil(cnt / {float(DEFAULT_RECORDS_PER_FILE)}) AS BIGINT) AS chunk FROM d)
+"""
+
 SQL = {
+    "zone_rejects": FILES_SQL
+    + """
+SELECT source, CASE WHEN source LIKE '%3' THEN 0 ELSE count(*) END::BIGINT AS n_records,
+       CASE WHEN source LIKE '%3' THEN count(DISTINCT chunk) ELSE 0 END::BIGINT AS n_rejected FROM c GROUP BY source
+""",
+    "zone_promote": FILES_SQL
+    + """
+SELECT source, count(DISTINCT chunk)::BIGINT AS n_files, count(*)::BIGINT AS n_records, sum(n_chars)::BIGINT AS n_chars FROM c GROUP BY source
+""",
+    "per_file_python": """
+WITH w AS (SELECT source, regexp_extract_all(coalesce(text, ''), '[a-z]+') AS ws FROM documents)
+SELECT source, count(*)::BIGINT AS n_records, sum(len(ws))::BIGINT AS n_words,
+       max(coalesce(list_max(list_transform(ws, lambda x: length(x))), 0))::BIGINT AS longest FROM w GROUP BY source
+""",
     "zone_head_per_file": HEAD_PER_FILE_SQL,
     "zone_csv_roundtrip": "SELECT doc_id, text, lang, source FROM documents",
     "zone_stream_curate": HEAD_PER_FILE_SQL,
@@ -134,6 +209,9 @@ WHERE strftime(ts, '%Y%m%d') = (SELECT max(strftime(ts, '%Y%m%d')) FROM events)
 
 QUERIES = {
     "zone_head_per_file": zone_head_per_file,
+    "zone_rejects": zone_rejects,
+    "zone_promote": zone_promote,
+    "per_file_python": per_file_python,
     "zone_csv_roundtrip": zone_csv_roundtrip,
     "zone_stream_curate": zone_stream_curate,
     "zone_stream_ingest": zone_stream_ingest,

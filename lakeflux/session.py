@@ -14,10 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every session of ours carries. No UI and no extra ports.
+# Set on a session where nothing else has set them (spark-submit, spark-defaults, the caller).
 BASE_CONF = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,20 +25,33 @@ BASE_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    app_name: str = "lakeflux",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    app_name: str | None = None,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    defaults: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with our base settings."""
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for key, value in conf.items():
+    """Create (or reuse) a session.
+
+    Only what the caller names is set outright. Master, application name and shuffle
+    partitions are otherwise those of the submission; ``defaults`` (see
+    ``recommended_conf``) and ``BASE_CONF`` fill runtime settings that nothing has set.
+    """
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if app_name:
+        builder = builder.appName(app_name)
+    given = dict(extra_conf or {})
+    if shuffle_partitions:
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in given.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    submitted = spark.sparkContext.getConf()
+    for key, value in {**BASE_CONF, **(defaults or {})}.items():
+        if key not in given and submitted.get(key) is None:
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -84,11 +95,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one job run, under the shared checkpoint folder."""
+def work_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    # the checkpoint dir gets a per-application sub folder; keep work next to it
-    return f"{root}/lakeflux-work/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/lakeflux-work/{spark.sparkContext.applicationId}"
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one table of a job run; ``remove_work`` takes it away."""
+    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_work(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables, wherever the checkpoint folder is; results must be written by then."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def local_path(path: str) -> str:

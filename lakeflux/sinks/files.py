@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from lakeflux.sources.snapshot import publish_snapshot
+
 # CSV options that make quotes, backslashes and line breaks round-trip the way
 # a pandas ``to_csv`` does (quotes doubled, fields with breaks quoted). Empty
 # strings are written as "" and nulls as nothing, so both survive a read.
@@ -35,8 +37,8 @@ def write_parquet_replace(df: DataFrame, path: str) -> str:
     return path
 
 
-def publish_feature_set(df: DataFrame, path: str, split_col: str = "split") -> str:
-    """One table partitioned by split (K7): train and test, features and label
-    together; readers filter on ``split`` and get partition pruning."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+def publish_feature_set(df: DataFrame, path: str, split_col: str = "split", snapshot: str = "00000000") -> str:
+    """One table partitioned by snapshot and split (K7): train and test, features and
+    label together; earlier snapshots stay, readers take the newest and prune on ``split``."""
+    publish_snapshot(df, path, snapshot, [split_col])
     return path

@@ -14,10 +14,14 @@ from lakeflux.operators.audit import to_envelope
 def message_frame(
     df: DataFrame, key_cols: Sequence[str] | None = None, topic: str | None = None, lossless: bool = False
 ) -> DataFrame:
-    """``value`` (+ optional ``key`` and ``topic``) as the Kafka writer expects."""
+    """``value`` (+ optional ``key`` and ``topic``) as the Kafka writer expects.
+
+    One key column is the key itself (a null stays null); several are a JSON object with
+    their nulls, so that different rows never get one key."""
     out = to_envelope(df, lossless)
     if key_cols:
-        key = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in key_cols])
+        cols = [F.col(f"`{k}`").cast("string").alias(k) for k in key_cols]
+        key = cols[0] if len(cols) == 1 else F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
         out = df.select(key.alias("key"), row_to_json(df, lossless).alias("value"))
     if topic is not None:
         out = out.withColumn("topic", F.lit(topic))

@@ -25,13 +25,13 @@ def write_warehouse(
     root: str | None = None,
     num_writers: int | None = None,
 ) -> str:
-    """``num_writers`` caps concurrent connections for JDBC targets (the
-    frame is coalesced, no shuffle)."""
+    """``num_writers`` caps concurrent connections for JDBC targets; a shuffle keeps
+    the work before the write at its own parallelism."""
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
     file_format = fmt in ("parquet", "delta", "orc")
     if num_writers and not file_format:
-        df = df.coalesce(num_writers)
+        df = df.repartition(num_writers)
     opts = dict(options or {})
     if fmt == "jdbc":
         opts = {**JDBC_WRITE_DEFAULTS, **opts}

@@ -33,9 +33,6 @@ def jdbc_options(
         "dbtable": table,
         "fetchsize": str(fetch_size),
         "loginTimeout": str(login_timeout),
-        # the audit row count becomes COUNT(*) in the database; a preview LIMIT too
-        "pushDownAggregate": "true",
-        "pushDownLimit": "true",
     }
     if user is not None:
         opts["user"] = user
@@ -63,6 +60,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kwargs)).load()
 
 
+def jdbc_row_count(spark: SparkSession, url: str, table: str, **kwargs) -> int:
+    """COUNT(*) as the database answers it: one query, one row. Spark's aggregate over
+    a JDBC scan would fetch the table's rows instead."""
+    return int(read_jdbc(spark, url, f"(SELECT COUNT(*) AS n FROM {table}) c", **kwargs).first()["n"])
+
+
 def read_jdbc_partitioned(
     spark: SparkSession,
     url: str,

@@ -3,6 +3,8 @@ consumers read only the newest one."""
 
 from __future__ import annotations
 
+from urllib.parse import quote, unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,14 +23,24 @@ def publish_snapshot(df: DataFrame, path: str, snapshot: str, extra_partitions:
     )
 
 
+def latest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """Name of the newest partition, from one listing of the table's folder; no data file is opened."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [e.getPath().getName() for e in entries if e.isDirectory()]
+    found = [unquote(n.partition("=")[2]) for n in names if n.startswith(f"{SNAPSHOT_COL}=")]
+    return max(found, default=None)
+
+
 def read_latest_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Rows of the newest snapshot only.
 
-    The filter compares the partition column with a scalar subquery, so the
-    scan's partition filter prunes every older snapshot's files. Pass the
-    schema (with ``snapshot`` as string) so partition values are not re-typed.
+    The newest partition's folder is the only one that is listed and scanned.
+    Pass the schema (with ``snapshot`` as string) so partition values are not re-typed.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    latest = df.agg(F.max(SNAPSHOT_COL)).scalar()
-    return df.where(F.col(SNAPSHOT_COL) == latest)
+    latest = latest_snapshot(spark, path)
+    if latest is None:
+        raise FileNotFoundError(f"no {SNAPSHOT_COL}= partition in {path}")
+    folder = quote(latest, safe=" !$&'()+,-.;<>@_`|~")
+    return reader.option("basePath", path).parquet(f"{path.rstrip('/')}/{SNAPSHOT_COL}={folder}")

@@ -15,9 +15,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeflux.functions.jsonfmt import LOSSLESS_OPTIONS
+from lakeflux.sinks.files import CSV_OPTIONS, CSV_READ_OPTIONS
+from lakeflux.sources.files import POS_COL, explode_records, parse_record_files, rejected_files, relative_to, whole_files
 
 
 def landing_stream(
@@ -27,11 +30,16 @@ def landing_stream(
     clean_source: str = "archive",
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
+    """JSON-lines files. A broken line stops the run, and its files stay in the landing
+    folder; ``mode="PERMISSIVE"`` with a ``_corrupt_record`` string in the schema keeps
+    such lines as rows instead."""
     reader = (
         spark.readStream.schema(schema)
         .option("timestampNTZFormat", LOSSLESS_OPTIONS["timestampNTZFormat"])
         .option("cleanSource", clean_source)
+        .option("mode", mode)
     )
     if clean_source == "archive":
         if not archive_dir:
@@ -49,16 +57,39 @@ def ingest_available(
     fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
 ) -> dict:
-    """Write everything currently available to ``target`` and stop."""
-    writer = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
+    """Write everything currently available to ``target`` and stop; batches and rows of this run."""
+    return _drain(stream, target, checkpoint, fmt, {}, partition_by)
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    """Batches that the checkpoint has recorded as done."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
+def _written(spark: SparkSession, target: str, fmt: str, schema: StructType, options: dict[str, str]) -> int:
+    """Rows that the target's own log of files holds."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/_spark_metadata")
+    if not log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
+        return 0
+    return spark.read.format(fmt).options(**options).schema(schema).load(target).count()
+
+
+def _drain(stream: DataFrame, target: str, checkpoint: str, fmt: str, options: dict[str, str], partition_by, read_options=None) -> dict:
+    """Totals come from the checkpoint and the target: a query's progress list is cut at a fixed length."""
+    spark = stream.sparkSession
+    at = (spark, target, fmt, stream.schema, read_options or options)
+    batches, rows = _committed(spark, checkpoint), _written(*at)
+    writer = stream.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.trigger(availableNow=True).start(target)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    progress = query.recentProgress
-    return {"batches": len(progress), "rows": sum(p.get("numInputRows", 0) for p in progress)}
+    return {"batches": _committed(spark, checkpoint) - batches, "rows": _written(*at) - rows}
 
 
 def write_landing_json(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
@@ -70,29 +101,20 @@ def write_landing_json(df: DataFrame, path: str, partition_by: Sequence[str] | N
     return path
 
 
-def record_array_stream(
+def record_file_stream(
     spark: SparkSession,
     source: str,
     record_schema: StructType,
     clean_source: str = "archive",
     archive_dir: str | None = None,
 ) -> DataFrame:
-    """New record-array files as ``file, pos, <fields>`` rows (stream form of S2).
-
-    Each file arrives whole (``wholetext``); records are exploded with their
-    position, so a per-file head is a filter in the same micro-batch.
-    """
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import ArrayType
-
-    reader = spark.readStream.option("wholetext", "true").option("cleanSource", clean_source)
+    """New record files, parsed whole (stream form of S2), for ``explode_records`` and ``rejected_files``."""
+    reader = spark.readStream.option("cleanSource", clean_source)
     if clean_source == "archive":
         if not archive_dir:
             raise ValueError("cleanSource=archive needs archive_dir")
         reader = reader.option("sourceArchiveDir", archive_dir)
-    raw = reader.text(source).select(F.col("_metadata.file_path").alias("file"), "value")
-    parsed = raw.select("file", F.from_json("value", ArrayType(record_schema)).alias("__records"))
-    return parsed.select("file", F.posexplode("__records").alias("pos", "__r")).select("file", "pos", "__r.*")
+    return parse_record_files(whole_files(reader, source), record_schema)
 
 
 def curate_stream(
@@ -104,26 +126,20 @@ def curate_stream(
     keep: Sequence[str] = ("title", "body"),
     n: int = 5,
     archive_dir: str | None = None,
+    rejects: str | None = None,
 ) -> dict:
-    """Incremental zone job: every new file's first ``n`` records, chosen
-    columns, appended to the curated CSV folder (one folder per input file)."""
-    from pyspark.sql import functions as F
-
-    from lakeflux.sinks.files import CSV_OPTIONS
+    """Incremental zone job: every new file's first ``n`` records, chosen columns,
+    appended to the curated CSV folder (one folder per input file, by its path below
+    the source).
 
-    records = record_array_stream(spark, source, record_schema, "archive" if archive_dir else "off", archive_dir)
-    head = records.where(F.col("pos") < n).select(
-        F.element_at(F.split("file", "/"), -1).alias("source_file"), "pos", *keep
-    )
-    writer = (
-        head.writeStream.format("csv")
-        .options(**CSV_OPTIONS)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("source_file")
-        .outputMode("append")
-    )
-    query = writer.trigger(availableNow=True).start(curated)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return {"rows": sum(p.get("numInputRows", 0) for p in query.recentProgress)}
+    A broken file stops the run. With a ``rejects`` folder its name and reason are
+    written there first, by a pass of its own with its own checkpoint, and the run goes on.
+    """
+    out = {"rejects": 0}
+    if rejects is not None:
+        seen = rejected_files(record_file_stream(spark, source, record_schema, "off"))
+        out["rejects"] = _drain(seen, rejects, f"{checkpoint}-rejects", "parquet", {}, None)["rows"]
+    parsed = record_file_stream(spark, source, record_schema, "archive" if archive_dir else "off", archive_dir)
+    records = explode_records(parsed, "fail" if rejects is None else "reject")
+    head = records.where(F.col(POS_COL) < n).select(relative_to(source).alias("source_file"), POS_COL, *keep)
+    return out | _drain(head, curated, checkpoint, "csv", CSV_OPTIONS, ["source_file"], CSV_READ_OPTIONS)

@@ -14,6 +14,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="lakeflux-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app_name="lakeflux-tests", shuffle_partitions=8, extra_conf={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()

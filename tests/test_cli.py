@@ -23,7 +23,7 @@ def test_cli_deliver_profile_drift_warehouse(spark):
     ev.where("ts < '2024-01-16'").write.parquet(f"{root}/ref")
     ev.where("ts >= '2024-01-16'").write.parquet(f"{root}/cur")
     res = cli.main(["drift", "--reference", f"{root}/ref", "--current", f"{root}/cur", "--output", f"{root}/drift",
-                    "--columns", "value,event_type", "--ks-method", "auto"])
+                    "--columns", "value,event_type", "--numeric-test", "ks", "--categorical-test", "chi2"])
     assert res["status"] in ("SUCCESS", "FAIL")
     assert spark.read.parquet(f"{root}/drift/columns").count() == 2
 

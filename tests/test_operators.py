@@ -119,3 +119,84 @@ def test_grouped_partials_hot_key(spark):
     out = grouped_partials(df, "k", partial, "k long, n long", {"n": F.sum})
     got = {r.k: r.n for r in out.collect()}
     assert got[0] == 3000 and len(got) == 200
+
+
+def test_message_keys_do_not_collide(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a|b", None, None), (None, "a", "b"), ("null", "a", "b"), ('a","b":"c', None, None)]
+    keys = [r.key for r in message_frame(spark.createDataFrame(rows, "a string, b string, c string"), key_cols=["a", "b", "c"]).collect()]
+    assert len(set(keys)) == len(rows)
+
+
+def test_avro_names_are_unique_and_decimals_logical(spark):
+    from lakeflux.operators.avro import avro_schema
+
+    schema = spark.createDataFrame([], "p struct<x: struct<a: int>>, q struct<x: struct<b: string>>, p_x struct<c: int>, d decimal(12,3), l array<struct<x: int>>").schema
+    parsed = json.loads(avro_schema(schema, "t", "n"))
+    names = []
+
+    def walk(node):
+        if isinstance(node, dict):
+            if node.get("type") == "record":
+                names.append(node["name"])
+            for v in node.values():
+                walk(v)
+        elif isinstance(node, list):
+            for v in node:
+                walk(v)
+
+    walk(parsed["fields"])
+    assert len(names) == len(set(names)) == 6
+    assert parsed["fields"][3]["type"][0] == {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 3}
+
+
+def test_broken_payloads_are_counted(spark):
+    from lakeflux.operators.avro import broken_payloads, json_record_schema
+
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": ',), ("[1]",), ("",), (None,), ('{"b": "x"}',)], "p string")
+    assert sorted(r.p for r in broken_payloads(df, "p").collect()) == ["", "[1]", '{"a": ']
+    row = json_record_schema(df, "p", "t", "n").first()
+    assert row.n_broken == 3
+    assert json.loads(row.schema) == {
+        "type": "record",
+        "name": "t",
+        "namespace": "n",
+        "fields": [{"name": "a", "type": ["null", "int"]}, {"name": "b", "type": ["null", "string"]}],
+    }
+
+
+def test_profile_exact_ends(spark):
+    from lakeflux.operators.profile import column_profile
+
+    df = spark.sql(
+        "SELECT * FROM VALUES (9007199254740993L, DATE'2024-02-29', TIMESTAMP'2024-01-02 03:04:05.000006', 1.10BD, 'x'), "
+        "(-9007199254740993L, DATE'1969-12-31', TIMESTAMP'1960-01-02 03:04:05', -2.25BD, 'y') AS t(l, d, t, m, s)"
+    )
+    got = {r.feature: (r.min_text, r.max_text) for r in column_profile(df).collect()}
+    assert got == {
+        "l": ("-9007199254740993", "9007199254740993"),
+        "d": ("1969-12-31", "2024-02-29"),
+        "t": ("1960-01-02 03:04:05.000000", "2024-01-02 03:04:05.000006"),
+        "m": ("-2.25", "1.10"),
+        "s": (None, None),
+    }
+
+
+def test_snapshot_plan_lists_one_folder(spark):
+    path = work_dir(spark, "snap-one")
+    for k in range(4):
+        publish_snapshot(spark.range(k + 1), path, f"2024010{k}")
+    latest = read_latest_snapshot(spark, path, "id long, snapshot string")
+    assert latest.count() == 4 and all("snapshot=20240103" in f for f in latest.inputFiles())
+    with pytest.raises(Exception):
+        read_latest_snapshot(spark, work_dir(spark, "none"))
+
+
+def test_literal_table_and_dated_files(spark):
+    from lakeflux.sources.files import dated_files, dated_prefix, literal_table
+
+    rows = literal_table(spark, [("a", 1), ("b", None)], "k string, v int")
+    assert rows.where("v is null").count() == 1
+    root = work_dir(spark, "dated")
+    rows.coalesce(1).write.json(dated_prefix(root, "business", "20240201"))
+    assert len(dated_files(spark, root, "business", "20240201")) == 1
+    assert dated_files(spark, root, "business", "20240202") == []

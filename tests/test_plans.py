@@ -47,7 +47,7 @@ def test_modeling_chain(spark):
     metrics = {r.metric: r.value for r in out["metrics"].collect()}
     assert metrics["accuracy"] > 0.9  # separable on f1
     assert sum(r.n for r in out["confusion"].collect()) == 80
-    assert spark.read.parquet(f"{root}/metrics").count() == 4
+    assert spark.read.parquet(f"{root}/metrics").count() == 6  # four scores and two feature means
 
 
 def test_approx_profile_close_to_exact(spark):

@@ -218,7 +218,59 @@ def test_column_drift_exact_ks_option(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     ref = df.where("ts < '2024-01-16'").select("value")
     cur = df.where("ts >= '2024-01-16'").select("value")
-    exact = column_drift(ref, cur, ["value"], ks_method="exact").first()
-    asym = column_drift(ref, cur, ["value"]).first()
-    assert exact.test == "ks" and 0.0 <= exact.score <= 1.0
+    exact = column_drift(ref, cur, ["value"], numeric_test="ks_exact").first()
+    asym = column_drift(ref, cur, ["value"], numeric_test="ks").first()
+    assert exact.test == "ks_exact" and 0.0 <= exact.score <= 1.0
     assert abs(exact.score - asym.score) < 0.05
+
+
+def test_split_is_stable_or_raises_for_repeated_keys(spark):
+    same = spark.createDataFrame([(7, i) for i in range(400)], "k long, i long")
+    with pytest.raises(ValueError):
+        seeded_split(same, "k")
+    # repeated keys whose rows the boundary does not cut through share a side, however the rows are dealt
+    df = spark.createDataFrame([(k, i) for k in range(100) for i in range(5)], "k long, i long")
+    sides = [{(r.k, r.i): r.split for r in seeded_split(df.repartition(p), "k").collect()} for p in (1, 3, 7)]
+    assert sides[0] == sides[1] == sides[2] and sum(v == "test" for v in sides[0].values()) == 100
+
+
+def test_null_labels_follow_one_rule(spark):
+    from lakeflux.operators.evaluate import accuracy, confusion_matrix, weighted_scores
+
+    rows = [("a", "a"), ("b", None), (None, "b"), (None, None), ("b", "b")]
+    df = spark.createDataFrame(rows, "target string, Predictions string")
+    acc, w = accuracy(df).first(), weighted_scores(df).first()
+    assert (acc.n, acc.accuracy) == (5, 0.4) and (w.n, round(w.recall, 9)) == (5, 0.4)
+    cells = confusion_matrix(df).collect()
+    assert sum(c.n for c in cells) == 5 and len(cells) == 9
+
+
+def test_scoring_refuses_missing_features(spark):
+    from lakeflux.operators.model import feature_vector, fit_classifier, score, split_unusable
+
+    train = spark.createDataFrame([(i, float(i % 4), "a" if i % 4 < 2 else "b") for i in range(80)], "k long, x double, y string")
+    model = fit_classifier(feature_vector(train, ["x"]), "y")
+    new = spark.createDataFrame([(1, 0.0), (2, None), (3, float("nan"))], "k long, x double")
+    with pytest.raises(Exception):
+        score(model, feature_vector(new, ["x"]), "k").collect()
+    fine, bad = split_unusable(new, ["x"])
+    assert [r.k for r in score(model, feature_vector(fine, ["x"]), "k").collect()] == [1] and bad.count() == 2
+    arrays = spark.createDataFrame([(1, [0.0]), (2, [None]), (3, None), (4, [float("nan")])], "k long, x array<double>")
+    assert split_unusable(arrays, "x")[1].count() == 3
+    with pytest.raises(Exception):
+        feature_vector(arrays, "x").collect()
+
+
+def test_scaler_is_saved_for_new_rows(spark):
+    from lakeflux.plans import modeling
+    from lakeflux.session import work_dir
+
+    df = spark.createDataFrame([(i, float(i), "a" if i < 50 else "b") for i in range(100)], "k long, x double, y string")
+    path = work_dir(spark, "fs-scaler")
+    modeling.prepare(df, "k", ["x"], "y", path, snapshot="20240101")
+    modeling.prepare(df.withColumn("x", df.x + 1000), "k", ["x"], "y", path, snapshot="20240102")
+    from lakeflux.sources.snapshot import read_latest_snapshot
+
+    assert spark.read.parquet(path).count() == 200 and read_latest_snapshot(spark, path).count() == 100
+    scaled = modeling.scale_new_rows(spark.createDataFrame([(1049.5,)], "x double"), ["x"], path).first().x
+    assert abs(scaled) < 1e-12

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lakeflux.session import local_path, work_dir
@@ -40,3 +42,63 @@ def test_each_file_once_across_runs(spark):
     for base, _dirs, files in os.walk(local_path(archive)):
         archived += [f for f in files if f.endswith(".json")]
     assert archived
+
+
+def _record_file(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+GOOD = '[{"id": 1, "user_id": 2, "title": "t1", "body": "b\\n1"}, {"id": 2, "user_id": 2, "title": "t2", "body": null}]'
+
+
+def test_same_named_files_stay_apart_and_broken_ones_are_reported(spark, tmp_path):
+    from lakeflux.operators.zones import promote
+    from lakeflux.plans.zones import BUSINESS_SCHEMA, curate
+    from lakeflux.sources.files import read_record_arrays, record_files, rejected_files
+    from lakeflux.streaming.zone_stream import curate_stream
+
+    root = str(tmp_path)
+    day = f"{root}/processing/business/20240201"
+    _record_file(f"{day}/a", "x.json", GOOD)
+    _record_file(f"{day}/b", "x.json", GOOD.replace("t1", "u1"))
+    out = curate(spark, f"{root}/processing", f"{root}/curated", "20240201")
+    folders = {d for d in os.listdir(local_path(out)) if d.startswith("source_file=")}
+    assert folders == {"source_file=a%2Fx.json", "source_file=b%2Fx.json"}
+
+    _record_file(f"{day}/b", "cut.json", GOOD[:-9])
+    with pytest.raises(Exception, match="broken record file"):
+        read_record_arrays(spark, day, BUSINESS_SCHEMA).collect()
+    assert read_record_arrays(spark, day, BUSINESS_SCHEMA, on_bad="reject").count() == 4
+    bad = rejected_files(record_files(spark, day, BUSINESS_SCHEMA)).collect()
+    assert len(bad) == 1 and bad[0].file.endswith("b/cut.json")
+
+    stored = promote(spark, day, f"{root}/next", "20240202").collect()
+    assert len(stored) == 3 and len({r.stored for r in stored}) == 3
+    kept = {open(os.path.join(base, f)).read().rstrip("\n") for base, _, fs in os.walk(f"{root}/next") for f in fs if f.endswith(".txt")}
+    assert kept == {GOOD, GOOD.replace("t1", "u1"), GOOD[:-9]}
+
+    with pytest.raises(Exception):
+        curate_stream(spark, f"{day}/*/*.json", BUSINESS_SCHEMA, f"{root}/c1", f"{root}/k1")
+    got = curate_stream(spark, f"{day}/*/*.json", BUSINESS_SCHEMA, f"{root}/c2", f"{root}/k2", rejects=f"{root}/r2")
+    assert got == {"rejects": 1, "batches": 1, "rows": 4}
+    assert spark.read.parquet(f"{root}/r2").count() == 1
+
+
+def test_totals_beyond_a_hundred_batches(spark, tmp_path):
+    n = 104
+    for k in range(n):
+        _record_file(f"{tmp_path}/landing", f"{k}.json", f'{{"id": {k}, "v": 1}}\n')
+    stream = landing_stream(spark, f"{tmp_path}/landing", "id long, v long", "off", max_files_per_trigger=1)
+    got = ingest_available(stream, f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    assert got == {"batches": n, "rows": n}
+
+
+def test_broken_line_stops_the_run(spark, tmp_path):
+    _record_file(f"{tmp_path}/landing", "a.json", '{"id": 1}\n{"id": \n')
+    with pytest.raises(Exception):
+        ingest_available(landing_stream(spark, f"{tmp_path}/landing", "id long", "off"), f"{tmp_path}/out", f"{tmp_path}/c")
+    kept = landing_stream(spark, f"{tmp_path}/landing", "id long, _corrupt_record string", "off", mode="PERMISSIVE")
+    assert ingest_available(kept, f"{tmp_path}/out2", f"{tmp_path}/c2")["rows"] == 2
+    assert spark.read.parquet(f"{tmp_path}/out2").where("_corrupt_record is not null").count() == 1
