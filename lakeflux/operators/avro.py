@@ -74,10 +74,9 @@ def _avro_type(dt: DataType, name: str):
 
 
 def _fields(schema: StructType, path: str = "") -> list[dict]:
-    # a path's dots double as underscores; underscores in names are doubled before, so no two paths meet
-    spelt = lambda n: n.replace("_", "__") if path else n
+    # a path's dots become underscores; underscores in names are doubled before, so no two paths meet
     prefix = path.replace(".", "_")
-    return [{"name": f.name, "type": [_avro_type(f.dataType, f"{prefix}{spelt(f.name)}"), "null"]} for f in schema.fields]
+    return [{"name": f.name, "type": [_avro_type(f.dataType, prefix + f.name.replace("_", "__")), "null"]} for f in schema.fields]
 
 
 def avro_schema(schema: StructType, name: str, namespace: str, schema_type: str = "record") -> str:

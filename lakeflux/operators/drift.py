@@ -75,7 +75,9 @@ def value_counts(tagged: DataFrame, columns: Sequence[str], as_text: bool) -> Da
     )
 
 
-def numeric_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+def numeric_distances(
+    tagged: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None, buckets: int | None = None
+) -> DataFrame:
     """Per numeric column with any value: n_ref, n_cur, ks_stat, wasserstein, ref_std.
 
     The value counts ``(feature, x, c_ref, c_cur)`` are range-partitioned on
@@ -83,9 +85,13 @@ def numeric_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     folder, which fixes each row's partition: the raw rows are scanned once. As
     partitions are ranges, there are at most columns + partitions rows
     (feature, partition); those reach the driver. Statistics of a column without
-    values on one side are null.
+    values on one side are null. The number of partitions is the session's for
+    shuffles unless ``buckets`` or ``rows_per_bucket`` (one more pass) sets it.
     """
-    ranged = value_counts(tagged, columns, as_text=False).repartitionByRange("feature", "x")
+    counts = value_counts(tagged, columns, as_text=False)
+    if rows_per_bucket:
+        buckets = max(1, -(-counts.count() // rows_per_bucket))
+    ranged = counts.repartitionByRange(*([buckets] if buckets else []), "feature", "x")
     vc = ranged.sortWithinPartitions("feature", "x").checkpoint(eager=True).withColumn("part", F.spark_partition_id())
     heads = (
         vc.groupBy("feature", "part")

@@ -42,14 +42,14 @@ def prepare(
     rows = df.select(key, *features, label)
     scaler = fit_scaler(rows, features)
     split = seeded_split(rows, key, test_fraction, seed)
-    publish_feature_set(standardize(split, features, scaler), path, SPLIT_COL, snapshot)
+    publish_feature_set(standardize(split, features, scaler=scaler), path, SPLIT_COL, snapshot)
     save_scaler(df.sparkSession, scaler, scaler_path(path))
     return path
 
 
 def scale_new_rows(df: DataFrame, features: Sequence[str], feature_set: str) -> DataFrame:
     """New rows as the model expects them, with the saved scaler."""
-    return standardize(df, features, load_scaler(df.sparkSession, scaler_path(feature_set)))
+    return standardize(df, features, scaler=load_scaler(df.sparkSession, scaler_path(feature_set)))
 
 
 def train(spark: SparkSession, feature_set: str, features: Sequence[str] | str, label: str, model_path: str) -> str:
