@@ -262,8 +262,9 @@ def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
 
 
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc, tkey, size, component) of every row: its number of distinct shingles and the smallest
-    doc it reaches over pairs with 100 * intersection >= percent * union."""
+    """(doc, tkey, size, component, comp) of every row: its number of distinct shingles, the smallest
+    doc it reaches over pairs with 100 * intersection >= percent * union, and the component itself:
+    several may have the same smallest doc. Rows without shingles have a null comp."""
     docs = keyed(documents)
     all_sets = materialise(_prefixes(docs, n, percent, _frequent(docs, n)), "prefixes")
     filled = all_sets.where("size > 0")
@@ -328,8 +329,8 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     by_class = classes_with(grouped, labels).join(merged, "comp", "left").select("size", "code", F.coalesce("whole", "comp").alias("comp"))
     out = filled.join(by_class, ["size", "code"]).select("doc", "tkey", "size", "comp")
     least = out.groupBy("comp").agg(F.min("doc").alias("component"))
-    linked = out.join(least, "comp").select("doc", "tkey", "size", "component")
-    return linked.union(all_sets.where("size = 0").select("doc", "tkey", "size", F.col("doc").alias("component")))
+    linked = out.join(least, "comp").select("doc", "tkey", "size", "component", "comp")
+    return linked.union(all_sets.where("size = 0").select("doc", "tkey", "size", F.col("doc").alias("component"), F.lit(None).cast("long").alias("comp")))
 
 
 def _least_shared(size: Column, percent: int) -> Column:
@@ -363,7 +364,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
 
 def keep_first_of_component(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component: that of the smallest doc_id (rows alike in id and text all stay)."""
-    found = jaccard_components(docs, n, percent)
-    first = found.groupBy("component").agg(F.min(F.struct("doc", "tkey")).alias("f"))
-    extra = found.join(first, "component").where((F.col("doc") != F.col("f.doc")) | (F.col("tkey") != F.col("f.tkey"))).where("size > 0").select("doc", "tkey").distinct()
+    found = jaccard_components(docs, n, percent).where("size > 0")
+    first = found.groupBy("comp").agg(F.min(F.struct("doc", "tkey")).alias("f"))
+    extra = found.join(first, "comp").where((F.col("doc") != F.col("f.doc")) | (F.col("tkey") != F.col("f.tkey"))).select("doc", "tkey").distinct()
     return attach(docs, extra, "left_anti").drop("__llm_key_doc", "__llm_key_tkey")

@@ -281,3 +281,19 @@ def test_jaccard_odd_rows(spark):
     kept = ngram_join.keep_first_of_component(with_clashes(spark, rows), 5, 80)
     assert kept.columns == with_clashes(spark, rows).columns
     assert ngram_join.similar_documents(frame(spark, [])).count() == 0
+
+
+def test_keep_first_tells_components_of_one_id_apart(spark):
+    """Dissimilar texts with null or repeated ids all stay; of each similar group one does."""
+    t = [prose_of(20 + k, 60) for k in range(8)]
+    near = t[3].split(" ")
+    near[-1] = "edited"
+    rows = [
+        (None, t[0]), (None, t[1]), (None, t[2]), (None, ""),
+        (5, t[1]),  # alike to a null id: the null id stays
+        (6, t[3]), (6, t[4]), (7, " ".join(near)), (8, t[4]),
+        (9, t[5]), (9, t[6]), (10, t[7]),
+    ]
+    df = frame(spark, [(*r, "en", "s", 1) for r in rows])
+    kept = {(r.doc_id, r.text) for r in ngram_join.keep_first_of_component(df, 5, 80).collect()}
+    assert kept == set(rows) - {(5, t[1]), (7, " ".join(near)), (8, t[4])}
