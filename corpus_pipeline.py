@@ -4,7 +4,8 @@
 DataFrame, which is written as Parquet and read again as the next one's docs. All but the
 last return the columns of documents.
 
-1. language ID: documents without any letter, and those whose language cannot be told, go;
+1. language ID: documents without any letter go, and those whose n-grams are enough to judge by but
+   are of no learned language, unless they are labelled with a language that was not learned;
 2. line dedup: later repeated runs of lines are deleted, and documents that lose all of their text;
 3. n-gram Jaccard join (five words, 0.8 or more): of each group the smallest doc_id stays;
 4. decontamination: documents that hold a benchmark item (0.8 or more of its words in runs of five or more) go;
@@ -23,14 +24,18 @@ from lakeflux.llm.queries import fit_langid, tokenizer_path
 from lakeflux.llm.work import materialise
 from lakeflux.queries.common import load
 
-#: A document is rejected where its best language holds less than this share of its n-grams.
+#: A document is rejected where its best language holds less than this share of its n-grams,
 MIN_LANGUAGE_SCORE = 0.05
+#: of which there are at least so many: of fewer, one known n-gram would be the whole share.
+MIN_LANGUAGE_GRAMS = 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    lang, score = names = ("__llm_lang", "__llm_score")
-    out = langid.identify(docs, fit_langid(docs), names)
-    return out.where((F.col(lang) != "und") & (F.col(score) >= MIN_LANGUAGE_SCORE)).drop(*names)
+    lang, score, grams = names = ("__llm_lang", "__llm_score", "__llm_grams")
+    filters = fit_langid(docs)
+    out = langid.identify(docs, filters, names)
+    judged = (F.col(grams) >= MIN_LANGUAGE_GRAMS) & (F.col("lang").isNull() | F.col("lang").cast("string").isin(filters.langs))
+    return out.where((F.col(lang) != "und") & ~(judged & (F.col(score) < MIN_LANGUAGE_SCORE))).drop(*names)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ Bloom filter, so that one look-up of an n-gram (the AND of its slots) returns ev
 language that contains it. A text's score for a language is the share of its n-grams
 that the filter holds, corrected for the filter's false positives; the best decides.
 
-The filters are fitted on at most ``max_train_docs`` labelled documents, chosen by a
-hash of their id; each language keeps its ``top_grams`` most frequent n-grams.
+The filters are fitted on about ``max_train_docs`` labelled documents at most, chosen within
+each language by a hash of id and text: languages share the places equally, and those with
+fewer documents than their share give all. Each keeps its ``top_grams`` most frequent n-grams.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; a
 text with letters but no known n-gram gets the most frequent learned language and
@@ -21,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from lakeflux.llm import textblocks as T
 
@@ -103,16 +104,30 @@ class Filters:
         return np.clip((out - self.false_rate) / (1 - self.false_rate), 0, 1)
 
 
+def sample_shares(counts: dict[str, int], most: int) -> dict[str, float]:
+    """Share of each language's documents to sample, so that the samples hold ``most`` together at
+    most (but one of each language): what small languages leave of their equal part goes to the larger ones."""
+    part, left, out = most, len(counts), {}
+    for lang, n in sorted(counts.items(), key=lambda x: (x[1], x[0])):
+        take = max(1, min(n, part // left))
+        out[lang] = take / n
+        part, left = max(0, part - take), left - 1
+    return out
+
+
 def fit(docs: DataFrame, max_train_docs: int = 20_000, top_grams: int = 30_000, min_ratio: float = 0.1, min_count: int = 3) -> Filters:
     """Filters from labelled documents (doc_id, text, lang).
 
     An n-gram belongs to each language in which its relative frequency is at least
     min_ratio of its highest: quotations from another language stay out.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = known.count()
-    if n > max_train_docs:
-        known = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < int((1 << 30) * max_train_docs / n))
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("lang", F.col("lang").cast("string"))
+    shares = sample_shares({r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}, max_train_docs)  # a row a language
+    cut = {lang: int((1 << 30) * share) for lang, share in shares.items() if share < 1}
+    if cut:
+        place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string")), F.lit(1 << 30))
+        least = F.create_map(*[F.lit(x) for item in cut.items() for x in item])
+        known = known.where(place < F.coalesce(F.try_element_at(least, F.col("lang")), F.lit(1 << 30)))
     counts = gram_counts(known)
     total = counts.groupBy("label").agg(F.sum("n").alias("total"))
     share = counts.join(F.broadcast(total), "label").withColumn("share", F.col("n") / F.col("total"))
@@ -121,35 +136,39 @@ def fit(docs: DataFrame, max_train_docs: int = 20_000, top_grams: int = 30_000,
     # bounded: top_grams rows a language
     ranked = held.withColumn("r", F.expr("row_number() over (partition by label order by n desc, gram)")).where(F.col("r") <= top_grams)
     rows = ranked.select("label", "gram", "total").toArrow().to_pandas()
-    langs = rows.groupby("label").total.first().sort_index().sort_values(ascending=False, kind="stable").index.tolist()
+    # as frequent as in all documents, not in the sample
+    langs = rows.groupby("label").total.first().sort_index()
+    langs = (langs / [shares[lang] for lang in langs.index]).sort_values(ascending=False, kind="stable").index.tolist()
     return Filters(langs, [rows.gram[rows.label == lang].to_numpy(np.int64) for lang in langs])
 
 
-def identify(docs: DataFrame, filters: Filters, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(docs: DataFrame, filters: Filters, names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """The documents with their language and score added, under these names in place of
-    columns that have them; no other column is read than text."""
+    columns that have them; under a third name also the number of n-grams that the score
+    rests on. No other column is read than text."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
     shared = docs.sparkSession.sparkContext.broadcast(filters)  # fixed size: 2**SLOT_BITS slots
     rows = docs.withColumn("__llm_letter", F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     at = rows.columns.index(next(c for c in rows.columns if c.lower() == "text"))
     names_out = [*docs.columns, *names]
-    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
+    added = [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), LongType()))]
+    schema = StructType([*docs.schema.fields, *added])
 
     def run(batches):
         f = shared.value
         for batch in batches:
             n = batch.num_rows
-            best, score = np.zeros(n, np.int64), np.zeros(n)
+            best, score, grams = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64)
             if f.langs:
                 for lo, hi, g, doc in _codes(batch.column(at).cast(pa.string())):
+                    grams[lo:hi] = np.bincount(doc, minlength=hi - lo)
                     s = f.shares(g, doc, hi - lo)
                     best[lo:hi] = s.argmax(1)
                     score[lo:hi] = s.max(1)
             letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             langs = [f.langs[k] if ok and f.langs else "und" for k, ok in zip(best, letter)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0))], names_out
-            )
+            found = [pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(grams)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found[: len(names)]], names_out)
 
     return rows.mapInArrow(run, schema)
 

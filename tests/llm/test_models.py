@@ -57,6 +57,21 @@ def test_langid_many_languages_and_odd_rows(spark):
     assert langid.identify(frame(spark, []), filters).count() == 0
 
 
+def test_langid_sample_keeps_rare_languages(spark):
+    """A bounded sample learns a language of few documents as well as one of many."""
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(["bade", "dabe", "gedab", "abged"]) for _ in range(20)), "big", "s", 1) for i in range(600)]
+    rows += [(None, " ".join(r.choice(["жизо", "зожи", "ожизо", "изожи"]) for _ in range(20)), "rare", "s", 1) for i in range(6)]
+    filters = langid.fit(frame(spark, rows), max_train_docs=40)
+    assert filters.langs == ["big", "rare"]  # the more frequent first, as in all documents
+    out = langid.identify(frame(spark, rows), filters).collect()
+    assert all(x.lang_pred == x.lang and x.score > 0.9 for x in out)
+    for counts in ({"a": 1_000_000, "b": 30, "c": 7}, {"a": 5}, {str(k): 50 for k in range(100)}, {}):
+        shares = langid.sample_shares(counts, 200)
+        assert all(0 < shares[k] <= 1 for k in counts) and sum(shares[k] * n for k, n in counts.items()) <= 200 + 1e-6
+    assert langid.sample_shares({"a": 1_000_000, "b": 30, "c": 7}, 200) == {"a": 163 / 1_000_000, "b": 1.0, "c": 1.0}
+
+
 def test_bloom_returns_all_languages():
     rng = np.random.default_rng(0)
     sets = [rng.integers(0, 1 << 32, 5000).astype(np.int64) for _ in range(3)]
@@ -394,6 +409,22 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == sizes[4]
 
 
+def test_pipeline_language_id_keeps_what_it_cannot_judge(spark):
+    """Texts with too few n-grams, and labels that were not learned, stay; no letter, or n-grams of no language, goes."""
+    r = random.Random(6)
+    rows = [(i, prose(r, 80), "en", "s", 1) for i in range(60)]
+    short = [(1001, "Re.", "en", "s", 1), (1002, "A.", None, "s", 1), (1003, "De.", "en", "s", 1)]
+    alone = [(1004, "щука " + " ".join("жзклмщ"[k % 6] * 5 for k in range(40)), "ru", "s", 1)]
+    gone = [(1005, "12 34 --", "en", "s", 1), (1006, "qxzvk wjqxz " * 20, "en", "s", 1), (1007, "qxzvk wjqxz " * 20, None, "s", 1)]
+    fit = queries.fit_langid
+    corpus_pipeline.fit_langid = lambda docs: fit(docs.where("doc_id < 1000"))
+    try:
+        out = corpus_pipeline.language_id(spark, frame(spark, rows + short + alone + gone), SF)
+        assert sorted(x.doc_id for x in out.collect()) == [*range(60), 1001, 1002, 1003, 1004]
+    finally:
+        corpus_pipeline.fit_langid = fit
+
+
 def test_pipeline_on_odd_rows(spark):
     docs = with_clashes(spark, odd_rows() + corpus(1, 20))
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
