@@ -2,11 +2,15 @@
 
 A document is its sequence of non-blank lines, each trimmed and hashed. Of every
 ``window`` lines in a row the one with the smallest hash is a fingerprint, as is each
-line of ``min_words`` words or more: so any run of ``window`` lines, or of one long
-line, that stands in two places has a fingerprint in common. Every occurrence of a
-fingerprint is joined with its first one (smallest doc_id, then place; never with all
-others, so a line of g copies makes g - 1 links), the match is extended both ways over
-equal lines, and a run of at least ``min_words`` words is deleted at its later place.
+line of ``min_words`` words or more and, for deletion, the hash of every shortest run of lines that
+reaches ``min_words``, from its first line on or from its last line back. Every
+occurrence of a fingerprint is joined with its first one (smallest doc_id, then place;
+never with all others, so a line or run of g copies makes g - 1 links), the match is
+extended both ways over equal lines, and a run of at least ``min_words`` words is deleted
+at its later place.
+
+No such run is left in then: each of its lines lies in a shortest run within it, which stands
+earlier, too, so its first place is an earlier one, whatever the context there.
 
 Defined results: null and empty texts have no lines and nothing to delete; rows alike
 in doc_id and text count as one document and lose the same runs; of different texts
@@ -59,7 +63,23 @@ def winnow(h: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
     return picked
 
 
-_LINES = "doc long, tkey long, hashes array<long>, words array<int>, starts array<int>, picks array<int>, n_bytes int"
+def shortest_runs(h: np.ndarray, n_words: np.ndarray, cut: np.ndarray, doc: np.ndarray, min_words: int):
+    """First line and hash of the runs of two lines or more that reach min_words and, without their
+    last line or without their first, do not; in order. cut: the documents' first lines, and the end."""
+    total = np.append(0, np.cumsum(n_words))
+    line = np.arange(len(h))
+    end = np.searchsorted(total, total[:-1] + min_words)
+    begin = np.searchsorted(total, total[1:] - min_words, "right") - 1
+    down, up = end <= cut[doc + 1], begin >= cut[doc]
+    runs = np.unique(np.stack([np.append(line[down], begin[up]), np.append(end[down], line[up] + 1)]), axis=1)
+    a, b = runs[:, runs[1] - runs[0] > 1]
+    return a, T.span_hash(T.prefix_sums(h), a, b)
+
+
+_LINES = (
+    "doc long, tkey long, hashes array<long>, words array<int>, starts array<int>, picks array<int>, "
+    "run_hashes array<long>, run_picks array<int>, n_bytes int"
+)
 
 
 def line_table(docs: DataFrame, window: int, min_words: int) -> DataFrame:
@@ -70,6 +90,8 @@ def line_table(docs: DataFrame, window: int, min_words: int) -> DataFrame:
                 h = T.span_hash(T.prefix_sums(buf), starts, ends)
                 cut = T.slices(h, doc, hi - lo)
                 picks = np.flatnonzero(winnow(h, doc, window) | (n_words >= min_words))
+                runs, run_h = shortest_runs(h, n_words, cut, doc, min_words)
+                run_cut = np.searchsorted(runs, cut)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
@@ -78,9 +100,11 @@ def line_table(docs: DataFrame, window: int, min_words: int) -> DataFrame:
                         T.list_array(cut, n_words, pa.int32()),
                         T.list_array(cut, starts - offs[doc], pa.int32()),
                         T.list_array(np.searchsorted(picks, cut), picks - cut[doc[picks]], pa.int32()),
+                        T.list_array(run_cut, T.signed(run_h), pa.int64()),
+                        T.list_array(run_cut, runs - cut[doc[runs]], pa.int32()),
                         pa.array(np.diff(offs), pa.int32()),
                     ],
-                    ["doc", "tkey", "hashes", "words", "starts", "picks", "n_bytes"],
+                    ["doc", "tkey", "hashes", "words", "starts", "picks", "run_hashes", "run_picks", "n_bytes"],
                 )
 
     return keyed(docs).mapInArrow(run, _LINES)
@@ -89,13 +113,14 @@ def line_table(docs: DataFrame, window: int, min_words: int) -> DataFrame:
 _RUNS = "doc long, tkey long, first_line int, n_lines int, n_words int, start int, end int, source_doc long, source_line int"
 
 
-def repeated_runs(docs: DataFrame, window: int = 2, min_words: int = 30) -> DataFrame:
+def repeated_runs(docs: DataFrame, window: int = 2, min_words: int = 30, whole: bool = False) -> DataFrame:
     """(doc, tkey, first_line, n_lines, n_words, start, end, source_doc, source_line): runs of lines that stand
-    at an earlier place, too; start and end are byte offsets, end that of the next line."""
+    at an earlier place, too; start and end are byte offsets, end that of the next line. whole: all of them,
+    by the hashes of shortest runs, too; else those that the fingerprints of single lines lead to."""
     table = materialise(line_table(docs, window, min_words), "lines")
-    prints = table.select("doc", "tkey", "hashes", F.explode("picks").alias("at")).select(
-        F.element_at("hashes", F.col("at") + 1).alias("h"), "doc", "tkey", "at"
-    )
+    lines = F.transform("picks", lambda at: F.struct(F.element_at("hashes", at + 1).alias("h"), at.alias("at")))
+    runs = F.arrays_zip(F.col("run_hashes").alias("h"), F.col("run_picks").alias("at"))
+    prints = table.select("doc", "tkey", F.explode(F.concat(lines, runs) if whole else lines).alias("p")).select("p.h", "doc", "tkey", "p.at")
     first = prints.groupBy("h").agg(F.min(F.struct("doc", "tkey", "at")).alias("f"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     links = (
         prints.join(first, "h")
@@ -105,7 +130,7 @@ def repeated_runs(docs: DataFrame, window: int = 2, min_words: int = 30) -> Data
     )
     one = table.dropDuplicates(["doc", "tkey"])
     sources = one.select(F.col("doc").alias("sdoc"), F.col("tkey").alias("stkey"), F.col("hashes").alias("shashes"))
-    rows = links.join(sources, ["sdoc", "stkey"]).join(one.drop("picks"), ["doc", "tkey"])
+    rows = links.join(sources, ["sdoc", "stkey"]).join(one.drop("picks", "run_hashes", "run_picks"), ["doc", "tkey"])
 
     def extend(batches):
         for part in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
@@ -165,10 +190,10 @@ def delete_spans(docs: DataFrame, spans: DataFrame, drop_emptied: bool = False)
 
 def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 30, drop_emptied: bool = False) -> DataFrame:
     """docs without later repeated runs of lines."""
-    return delete_spans(docs, merged(repeated_runs(docs, window, min_words)), drop_emptied)
+    return delete_spans(docs, merged(repeated_runs(docs, window, min_words, whole=True)), drop_emptied)
 
 
 def deleted_spans(docs: DataFrame, window: int = 2, min_words: int = 30) -> DataFrame:
     """(doc_id, start, end): the deleted byte spans of each document."""
-    out = merged(repeated_runs(docs, window, min_words)).select(id_back("doc").alias("doc_id"), F.explode("spans").alias("s"))
+    out = merged(repeated_runs(docs, window, min_words, whole=True)).select(id_back("doc").alias("doc_id"), F.explode("spans").alias("s"))
     return out.select("doc_id", F.col("s.start").cast("long").alias("start"), F.col("s.end").cast("long").alias("end"))

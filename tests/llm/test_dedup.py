@@ -153,6 +153,51 @@ def test_line_runs_against_brute_force(spark, seed):
     assert got
 
 
+def brute_earlier_lines(rows, min_words):
+    """By definition: a line goes if a run of min_words words over it stands at any earlier place, too."""
+    docs = brute_runs(rows, 2, min_words)
+    flat = [(d, i, x[1], x[2]) for d in sorted(docs) for i, x in enumerate(docs[d])]
+    gone = defaultdict(set)
+    for a in range(len(flat)):
+        for b in range(a):  # flat[b] stands before flat[a]; take equal runs from their first line only
+            starts = lambda k: k == 0 or flat[k - 1][0] != flat[k][0]
+            if flat[a][2] != flat[b][2] or not (starts(a) or starts(b) or flat[a - 1][2] != flat[b - 1][2]):
+                continue
+            n = words = 0
+            while a + n < len(flat) and flat[a + n][0] == flat[a][0] and flat[b + n][0] == flat[b][0] and flat[a + n][2] == flat[b + n][2]:
+                words += flat[a + n][3]
+                n += 1
+            if words >= min_words:
+                gone[flat[a][0]] |= set(range(flat[a][1], flat[a][1] + n))
+    return dict(gone)
+
+
+def _found_lines(spark, rows):
+    got = defaultdict(set)
+    for r in linededup.repeated_runs(frame(spark, rows), whole=True).collect():
+        got[r.doc] |= set(range(r.first_line, r.first_line + r.n_lines))
+    return dict(got)
+
+
+def test_line_runs_of_frequent_lines_against_all_earlier_places(spark):
+    """Lines under 30 words that stand first in other contexts."""
+    import random
+
+    r = random.Random(17)
+    lines = [f"line{k} " + prose(r, n, 99) for k, n in enumerate([4, 9, 13, 15, 15, 15, 17, 20, 28, 32])]
+    rows = [(i, "\n".join(r.choice(lines) for _ in range(r.randint(1, 9))), None, None, 0) for i in range(70)]
+    want = brute_earlier_lines(rows, 30)
+    assert _found_lines(spark, rows) == want and len(want) > 20
+    rows = corpus(2, 60)
+    assert _found_lines(spark, rows) == brute_earlier_lines(rows, 30)
+    # whichever of two lines of 16 words has the smaller hash, it stands first next to another line
+    for first, other in ((3, 4), (4, 3)):
+        x, y, z = (f"{k} " + prose_of(40 + k, 15).replace("\n", " ") for k in (first, other, 5))
+        rows = [(1, f"{x}\n{z}", None, None, 0), (2, f"{x}\n{y}", None, None, 0), (3, f"{x}\n{y}", None, None, 0)]
+        assert _found_lines(spark, rows) == {3: {0, 1}}
+        assert [r.doc_id for r in linededup.deleted_spans(frame(spark, rows)).collect()] == [3]
+
+
 def test_winnowing_guarantee():
     import numpy as np
 
