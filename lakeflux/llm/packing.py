@@ -35,8 +35,8 @@ class BlockEncoder:
     between two non-space characters. Texts with no other white space are therefore
     encoded word by word: a block's words are hashed and looked up together, and its
     unknown words go through one call of a faster encoder that is given the same
-    vocabulary. All other texts go whole through the file's own library. Tests hold
-    the two equal.
+    vocabulary. All other texts, and those that hold an added token of the file, go
+    whole through the file's own library, as loaded. Tests hold the two equal.
     """
 
     def __init__(self, path: str):
@@ -44,13 +44,13 @@ class BlockEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         # the file spells bytes by letters: those that print, then 256, 257, ... for the others
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(printable)]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
         assert set(byte_of) == set(pre_tokenizers.ByteLevel.alphabet())
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.marks = [t.encode() for t in special if t]
         ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
         # the pre-tokeniser's fixed pattern
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -86,6 +86,16 @@ class BlockEncoder:
         odd[np.searchsorted(offs, np.concatenate(at), "right") - 1] = True
         return odd[:-1]
 
+    def _marked(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Which texts hold what an added token stands for."""
+        marked, data = np.zeros(len(offs) - 1, bool), buf.tobytes()
+        for mark in self.marks:
+            at = data.find(mark)
+            while at >= 0:
+                marked[np.searchsorted(offs, at, "right") - 1] = True
+                at = data.find(mark, at + 1)
+        return marked
+
     def _unknown(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these words in one array, and the offsets that cut it."""
         data = buf.tobytes()
@@ -99,7 +109,7 @@ class BlockEncoder:
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the block's texts in one array, and the offsets that cut it into texts."""
-        odd = self._odd(buf, offs)
+        odd = self._odd(buf, offs) | self._marked(buf, offs)
         starts, ends, doc = T.words(buf, offs, ~(_SPACE == 1))
         plain = ~odd[doc]
         starts, ends, doc = starts[plain], ends[plain], doc[plain]

@@ -333,6 +333,22 @@ def test_block_encoder_equals_the_library():
         assert got == [enc.tok.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_block_encoder_equals_the_file_as_loaded():
+    """Added tokens keep their own ids, as the contract's add_special_tokens=False has them."""
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(TOKENIZER)
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "plain words here", "a<|endoftext|>b c", "x <|endoftext", "|> y", "a  b <|endoftext|>", ""]
+    enc = packing.BlockEncoder(TOKENIZER)
+    for _ in range(2):
+        got = []
+        for _, _, buf, offs in T.blocks(pa.array(texts), 4000):
+            ids, cut = enc.encode(buf, offs)
+            got += [ids[a:b].tolist() for a, b in zip(cut, cut[1:])]
+        assert got == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+        assert got[0] == [87, 220, 50256, 331]
+
+
 def test_packing_round_trip(spark):
     rows = corpus(4, 50) + odd_rows() + [(500, prose(random.Random(1), 4000), None, None, 0)]
     for max_len in (64, 1024):
