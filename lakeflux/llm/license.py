@@ -9,13 +9,15 @@ Labels: those of the notice phrases, and ``spdx:<id>`` for each licence that a t
 alone, 0.8 for several different ones, 1 for a well-formed tagged expression.
 
 Defined results: a null text is empty (no words, no labels, score 0, null places); a
-malformed expression adds nothing; repeated rows get equal rows; an empty table gives
+malformed expression adds nothing; a well-formed one of too many alternatives to spell out
+adds its labels and, in place of them, itself as one entry; repeated rows get equal rows; an empty table gives
 no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,18 +37,48 @@ MORE_PHRASES = {
 }
 TAG = "spdx license identifier"
 
+#: Products of alternatives beyond so many are not spelled out: the expression itself is reported, as one entry.
+MOST_ALTERNATIVES = 256
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+:-]*))")
 _TAG_TEXT = re.compile(r"spdx-license-identifier\s*:([^\n\r]*)", re.IGNORECASE)
 
 
-def parse_expression(text: str) -> frozenset[frozenset[str]] | None:
-    """The alternatives of a licence expression, each the set of licences that hold together; None if malformed.
+class Parsed(NamedTuple):
+    """A licence expression: its licences, its alternatives (None where they exceed MOST_ALTERNATIVES),
+    and itself, written with as few brackets as it needs."""
+
+    licences: frozenset[str]
+    alternatives: frozenset[frozenset[str]] | None
+    text: str
+    top: str = ""  # the operator that binds last
+
+
+def _joined(op: str, a: Parsed, b: Parsed) -> Parsed | None:
+    """The expression of two operands; None where ``with`` does not join two single licences."""
+    if op == "with":
+        alone = all(x.alternatives is not None and len(x.alternatives) == 1 and len(x.licences) == 1 for x in (a, b))
+        if not alone or " with " in next(iter(a.licences)):
+            return None
+        one = f"{next(iter(a.licences))} with {next(iter(b.licences))}"
+        return Parsed(frozenset([one]), frozenset([frozenset([one])]), one)
+    both = None
+    if a.alternatives is not None and b.alternatives is not None:
+        if op == "or":
+            both = a.alternatives | b.alternatives
+        elif len(a.alternatives) * len(b.alternatives) <= MOST_ALTERNATIVES:
+            both = frozenset(x | y for x in a.alternatives for y in b.alternatives)
+    parts = [f"({x.text})" if op == "and" and x.top == "or" else x.text for x in (a, b)]
+    return Parsed(a.licences | b.licences, both, f" {op} ".join(parts), op)
+
+
+def parse_tagged(text: str) -> Parsed | None:
+    """A licence expression; None if malformed.
 
     Shunting-yard: ``with`` binds closest, then ``and``, then ``or``. Reading stops at the
     first character that no expression has (the end of a comment, say).
     """
-    out: list[frozenset[frozenset[str]]] = []
+    out: list[Parsed] = []
     ops: list[str] = []
     operand_next, at = True, 0
 
@@ -55,17 +87,9 @@ def parse_expression(text: str) -> frozenset[frozenset[str]] | None:
         if len(out) < 2:
             return False
         b, a = out.pop(), out.pop()
-        if op == "or":
-            out.append(a | b)
-        elif op == "and":
-            if len(a) * len(b) > 256:
-                return False
-            out.append(frozenset(x | y for x in a for y in b))
-        else:
-            one = [next(iter(x)) for x in (*a, *b) if len(x) == 1]
-            if len(a) != 1 or len(b) != 1 or len(one) != 2 or " with " in one[0]:
-                return False
-            out.append(frozenset([frozenset([f"{one[0]} with {one[1]}"])]))
+        if (one := _joined(op, a, b)) is None:
+            return False
+        out.append(one)
         return True
 
     while m := _TOKEN.match(text, at):
@@ -92,7 +116,8 @@ def parse_expression(text: str) -> frozenset[frozenset[str]] | None:
         else:
             if not operand_next:
                 break  # prose goes on after the expression
-            out.append(frozenset([frozenset([word.rstrip(".")])]))
+            word = word.rstrip(".")
+            out.append(Parsed(frozenset([word]), frozenset([frozenset([word])]), word))
             operand_next = False
         at = m.end()
     if operand_next:
@@ -103,6 +128,13 @@ def parse_expression(text: str) -> frozenset[frozenset[str]] | None:
     return out[0] if len(out) == 1 else None
 
 
+def parse_expression(text: str) -> frozenset[frozenset[str]] | None:
+    """The alternatives of a licence expression, each the set of licences that hold together; None if
+    it is malformed, or if they exceed MOST_ALTERNATIVES (parse_tagged has its licences then, too)."""
+    found = parse_tagged(text)
+    return None if found is None else found.alternatives
+
+
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _NORMAL = bytes((c + 32 if 65 <= c <= 90 else c) if (c + 32 if 65 <= c <= 90 else c) in _KEEP else 32 for c in range(256))
 
@@ -134,9 +166,10 @@ class Scanner:
             else:
                 labels.add(label)
         for m in _TAG_TEXT.finditer(text) if tagged else ():
-            if (options := parse_expression(m[1])) is not None:
-                alternatives.append(sorted(" and ".join(sorted(x)) for x in options))
-                labels |= {f"spdx:{x}" for option in options for x in option}
+            if (parsed := parse_tagged(m[1])) is not None:
+                options = parsed.alternatives
+                alternatives.append([parsed.text] if options is None else sorted(" and ".join(sorted(x)) for x in options))
+                labels |= {f"spdx:{x}" for x in parsed.licences}
         return len(found), places, base, labels, alternatives
 
 

@@ -110,6 +110,19 @@ def test_license_expressions():
         assert p(bad) is None, bad
 
 
+def test_license_expression_of_many_alternatives():
+    """Nine pairs, 512 alternatives: all labels, and the expression as it is."""
+    scanner = license.Scanner(license.BASE_PHRASES, license.MORE_PHRASES)
+    pairs = " AND ".join(f"(L{k} OR M{k})" for k in range(9))
+    *_, labels, options = scanner.scan(f"# SPDX-License-Identifier: {pairs} */\n")
+    assert labels == {f"spdx:{c}{k}" for c in "lm" for k in range(9)}
+    assert options == [[pairs.lower()]]
+    eight = " AND ".join(f"(L{k} OR M{k})" for k in range(8))
+    assert len(license.parse_expression(eight)) == 256 and len(scanner.scan(f"SPDX-License-Identifier: {eight}")[4][0]) == 256
+    *_, labels, options = scanner.scan(f"SPDX-License-Identifier: {pairs} AND\n")
+    assert not labels and not options  # malformed
+
+
 def test_license_odd_rows(spark):
     rows = license.scan_licenses(with_clashes(spark, odd_rows())).collect()
     assert len(rows) == len(odd_rows())
