@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.llm import decontaminate, embedding_dedup, langid, license, linededup, lm_scoring, ngram_join, packing, substring_dedup, suffix_dedup
+from lakeflux.llm import decontaminate, embedding_dedup, langid, license, linededup, lm_scoring, ngram_join, packing, projection_search, substring_dedup, suffix_dedup
 from lakeflux.queries.common import load
 
 #: A tokenizer file; the folder of public tokenizers is described by its own README.
@@ -81,6 +81,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_units(load(spark, sf_dir, "documents"), "line", 20)
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_search.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py at the repository top, over documents."""
     import corpus_pipeline
@@ -99,6 +103,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
     "pipeline": pipeline,
 }
 
