@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeflux.llm import decontaminate, embedding_dedup, langid, license, linededup, lm_scoring, ngram_join, packing, projection_search, substring_dedup, suffix_dedup
+from lakeflux.llm import alignment, conversation_repair, decontaminate, embedding_dedup, langid, license, linededup, lm_scoring, ngram_join, packing, projection_search, substring_dedup, suffix_dedup
 from lakeflux.queries.common import load
 
 #: A tokenizer file; the folder of public tokenizers is described by its own README.
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -81,6 +82,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_units(load(spark, sf_dir, "documents"), "line", 20)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = tokenizer_path(), tokenizer_path(PIECES)
+    return alignment.align(load(spark, sf_dir, "documents"), lambda: alignment.ByteLevel(first), lambda: alignment.Pieces(second))
+
+
 def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_search.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
@@ -103,6 +114,8 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_nearest_neighbours": op13_nearest_neighbours,
     "pipeline": pipeline,
 }
