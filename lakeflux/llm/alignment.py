@@ -21,6 +21,7 @@ columns are ignored. A task holds one block: about ``BLOCK_BYTES`` of text, or o
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Callable
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeflux.llm import textblocks as T
-from lakeflux.llm.work import materialise
+from lakeflux.llm.work import materialise, released
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: A pair is one long: the first tokenizer's id times this, plus the second's.
 SHIFT = 1 << 31
 _LETTERS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -55,12 +56,9 @@ class ByteLevel:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True  # their strings in a text are plain text
+        self.path = path
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
         byte_of = byte_letters()
@@ -68,6 +66,15 @@ class ByteLevel:
         self.spelling = pa.array([spelled.get(i, b"") for i in range(max(spelled) + 1)], pa.binary())
         self.fast = self._fast(spec, vocab, {t: i for i, t in spelled.items() if i not in special.values()})
 
+    @functools.cached_property
+    def own(self):
+        """The file as its own library reads it."""
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(self.path)
+        own.encode_special_tokens = True  # their strings in a text are plain text
+        return own
+
     @staticmethod
     def _fast(spec: dict, vocab: dict[str, int], ranks: dict[bytes, int]):
         import tiktoken
@@ -267,7 +274,7 @@ def align_blocks(docs: DataFrame, first: Callable[[], Callable], second: Callabl
                 for cols in (head, rest):
                     yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, _KINDS)], _NAMES)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _BLOCKS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), _BLOCKS)
 
 
 def pair_table(places: DataFrame) -> DataFrame:
@@ -301,7 +308,7 @@ def _add_up(blocks: DataFrame) -> DataFrame:
                 cols = [rows.column(c) for c in kept] + [pa.array(n_best), pa.array(total), rows.column("groups_sha256")]
                 yield pa.RecordBatch.from_arrays(cols, [*kept, "n_best", "count_sum", "groups_sha256"])
 
-    return blocks.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    return blocks.mapInArrow(released(run), "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
 def align(docs: DataFrame, first: Callable[[], Callable], second: Callable[[], Callable]) -> DataFrame:

@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from lakeflux.llm import textblocks as T
+from lakeflux.llm.work import released
 
 GRAM = 4
+#: Bytes of text, and rows, that are worked on at a time.
+BLOCK_BYTES, ROWS = 1 << 18, 1024
 SLOT_BITS = 20
 HASHES = 2
 
@@ -34,7 +37,7 @@ HASHES = 2
 def _codes(texts: pa.Array):
     """Per block: first row, end row, hashes of the n-grams, their documents. Letters in lower case; all else is one separator."""
     texts = pc.utf8_lower(texts.fill_null(""))
-    for lo, hi, buf, offs in T.blocks(texts):
+    for lo, hi, buf, offs in T.blocks(texts, BLOCK_BYTES):
         b = np.where(_LETTER[buf], buf, np.uint8(32)).astype(np.uint64)
         doc = np.repeat(np.arange(hi - lo), np.diff(offs))
         m = len(b) - GRAM + 1
@@ -57,7 +60,7 @@ def gram_counts(docs: DataFrame, label: str = "lang") -> DataFrame:
     """(label, gram, n): n-gram counts by label, summed a task's batch at a time before they are shuffled."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             codes, names = batch.column(0).dictionary_encode(), None
             names, which = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False)
             for lo, hi, g, doc in _codes(batch.column(1)):
@@ -68,7 +71,7 @@ def gram_counts(docs: DataFrame, label: str = "lang") -> DataFrame:
                         [pa.array([names[int(k)].as_py()] * len(u), pa.string()), pa.array(u.view(np.int64)), pa.array(n)], ["label", "gram", "n"]
                     )
 
-    rows = docs.select(F.col(label).cast("string"), F.col("text").cast("string")).mapInArrow(run, "label string, gram long, n long")
+    rows = docs.select(F.col(label).cast("string"), F.col("text").cast("string")).mapInArrow(released(run), "label string, gram long, n long")
     return rows.groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -156,7 +159,7 @@ def identify(docs: DataFrame, filters: Filters, names: tuple[str, ...] = ("lang_
 
     def run(batches):
         f = shared.value
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             n = batch.num_rows
             best, score, grams = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64)
             if f.langs:
@@ -170,7 +173,7 @@ def identify(docs: DataFrame, filters: Filters, names: tuple[str, ...] = ("lang_
             found = [pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(grams)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found[: len(names)]], names_out)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 _LETTER = np.zeros(256, bool)

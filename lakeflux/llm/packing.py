@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeflux.llm import textblocks as T
-from lakeflux.llm.work import materialise
+from lakeflux.llm.work import materialise, released
 
-#: Slots of a worker's table of encoded words; a word whose slot is taken is encoded each time it comes.
+#: Slots of a task's table of encoded words; a word whose slot is taken is encoded each time it comes.
 TABLE_BITS = 20
+#: Ids that the table's words may hold together; then new words are encoded each time they come.
+POOL_IDS = 1 << 22
 
 
 class BlockEncoder:
@@ -134,7 +136,7 @@ class BlockEncoder:
             new = lead[self.key[slot[some[lead]]] == 0]
             self.key[slot[some[new]]], self.count[slot[some[new]]] = u[new], np.diff(cut)[new]
             self.first[slot[some[new]]] = keep + cut[:-1][new]
-            self.used += len(ids) if len(new) * 4 > len(u) else 0
+            self.used += len(ids) if len(new) * 4 > len(u) and keep + len(ids) <= POOL_IDS else 0
             if not self.used > keep and len(new):
                 self.key[slot[some[new]]] = 0  # too few to keep their ids
         size = np.bincount(doc, count, minlength=len(offs) - 1).astype(np.int64) - (np.diff(offs) > 0) * ~odd
@@ -164,16 +166,6 @@ _SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = 3
 _SPACE_2 = np.array([0xC285, 0xC2A0])
 _SPACE_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 
-_encoders: dict[str, BlockEncoder] = {}
-
-
-def encoder_for(path: str) -> BlockEncoder:
-    """One encoder a worker process, so that its table serves all of its tasks."""
-    if path not in _encoders:
-        _encoders[path] = BlockEncoder(path)
-    return _encoders[path]
-
-
 _PIECES = "part_rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -183,7 +175,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_len: int, end_id:
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder, seen = encoder_for(tokenizer_path), np.zeros(max_len + 1, np.int64)
+        encoder, seen = BlockEncoder(tokenizer_path), np.zeros(max_len + 1, np.int64)  # a task's own: no worker keeps it
         for batch in batches:
             doc_ids = batch.column(0)
             for lo, hi, buf, offs in T.blocks(batch.column(1)):
@@ -206,7 +198,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_len: int, end_id:
                 k = len(names) if with_ids else len(names) - 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:k], kinds[:k])], names[:k])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), schema)
 
 
 def plan_slots(counts: dict[int, int], max_len: int) -> pd.DataFrame:

@@ -79,7 +79,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.removed_units(load(spark, sf_dir, "documents"), "line", 20)
+    return substring_dedup.removed_units(load(spark, sf_dir, "documents"), "line", 20, substring_dedup.PIECE_WORDS)
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,25 +120,45 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-# Lines that start at an earlier place of the corpus, too; offsets count UTF-8 bytes.
+# Lines, and pieces between cuts, that start at an earlier place of the corpus, too; offsets count UTF-8 bytes.
 _OP10 = r"""
 WITH lines AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
-), units AS (
+), line_units AS (
   SELECT doc_id, unnest(range(len(parts))) AS unit, unnest(parts) AS line, len(parts) AS n FROM lines
-), placed AS (
+), line_lengths AS (
   SELECT doc_id, unit, line, octet_length(encode(line)) + CASE WHEN unit + 1 < n THEN 1 ELSE 0 END AS length,
          lower(trim(regexp_replace(line, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS plain
-  FROM units
-), started AS (
-  SELECT *, sum(length) OVER (PARTITION BY doc_id ORDER BY unit) - length AS start FROM placed
-), long AS (
-  SELECT * FROM started WHERE plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 20
+  FROM line_units
+), line_places AS (
+  SELECT 'line' AS kind, doc_id, unit, sum(length) OVER (PARTITION BY doc_id ORDER BY unit) - length AS start, length, plain FROM line_lengths
+), split AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS size, regexp_extract_all(coalesce(text, ''), '[^ \t\n\v\f\r]+') AS w,
+         regexp_extract_all(coalesce(text, ''), '[ \t\n\v\f\r]+') AS g, regexp_matches(coalesce(text, ''), '^[ \t\n\v\f\r]') AS blank_first
+  FROM documents
+), words AS (
+  SELECT doc_id, size, i, lower(w[i + 1]) AS word, octet_length(encode(w[i + 1])) AS length,
+         octet_length(encode(coalesce(CASE WHEN blank_first THEN g[i + 1] WHEN i > 0 THEN g[i] END, ''))) AS gap
+  FROM (SELECT *, unnest(range(len(w))) AS i FROM split)
+), hashed AS (
+  SELECT *, sum(gap + length) OVER d - length AS start, substr(md5(word || ' ' || lead(word) OVER d), 1, 16) AS p FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), marked AS (
+  SELECT *, CASE WHEN i > 0 AND p IS NOT NULL AND coalesce(p < min(p) OVER before, true) AND coalesce(p <= min(p) OVER behind, true) THEN 1 ELSE 0 END AS cut
+  FROM hashed WINDOW before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), behind AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)
+), numbered AS (
+  SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS unit FROM marked
+), pieces AS (
+  SELECT doc_id, unit, min(start) AS start, any_value(size) AS size, string_agg(word, ' ' ORDER BY i) AS plain, count(*) AS n FROM numbered GROUP BY doc_id, unit
+), piece_places AS (
+  SELECT 'piece' AS kind, doc_id, unit, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY unit), size) - start AS length, plain, n FROM pieces
+), units AS (
+  SELECT * FROM line_places WHERE plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 20
+  UNION ALL SELECT kind, doc_id, unit, start, length, plain FROM piece_places WHERE n >= 8
 ), ranked AS (
   SELECT *, first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit, row_number() OVER w AS r
-  FROM long WINDOW w AS (PARTITION BY sha256(plain) ORDER BY doc_id, unit)
+  FROM units WINDOW w AS (PARTITION BY kind, sha256(plain) ORDER BY doc_id, unit)
 )
-SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, first_doc_id, CAST(first_unit AS INTEGER) AS first_unit
+SELECT doc_id, kind, CAST(unit AS INTEGER) AS unit, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, first_doc_id, CAST(first_unit AS INTEGER) AS first_unit
 FROM ranked WHERE r > 1
 """
 

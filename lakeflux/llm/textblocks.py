@@ -33,6 +33,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def release_tables() -> None:
+    """Drop the tables; the next text makes its own."""
+    global _powers
+    _powers = (np.ones(1, _U64), np.ones(1, _U64))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser: spreads every input bit over all 64."""
     h = h ^ (h >> _U64(30))

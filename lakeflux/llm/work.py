@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeflux.llm import textblocks as T
 from lakeflux.session import work_dir
 
 #: Stands for a null doc_id inside the operators; it sorts first.
@@ -89,6 +93,25 @@ def maybe_in(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> Da
     return df.where(held(F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))))
 
 
+def released(run: Callable) -> Callable:
+    """The task function of a mapInArrow, which hands its free memory back to the system when a task ends.
+
+    Spark reuses Python workers, so what one task's allocators keep would add to the next one's.
+    """
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            T.release_tables()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidy
+
+
 def sorted_groups(batches, n_keys: int):
     """Record batches of the rows of one group each; rows come sorted by their first n_keys columns."""
     held = None

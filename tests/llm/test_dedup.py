@@ -236,7 +236,7 @@ def test_substring_dedup_against_brute_force(spark, unit):
             plain = " ".join(p.split()).lower()
             if len(plain.split()) >= 8:
                 if plain in first:
-                    want.append((d, k, at, size, *first[plain]))
+                    want.append((d, unit, k, at, size, *first[plain]))
                 else:
                     first[plain] = (d, k)
             at += size
@@ -244,17 +244,54 @@ def test_substring_dedup_against_brute_force(spark, unit):
     assert got == sorted(want, key=repr) and got
     kept = {r.doc_id: r.text for r in substring_dedup.dedup_units(frame(spark, rows), unit, 8).collect()}
     spans = defaultdict(list)
-    for d, _, a, n, *_ in sorted(want):
+    for d, _, _, a, n, *_ in sorted(want):
         spans[d].append((a, a + n))
     assert kept == {d: _text_without(t, spans[d]) for d, t, *_ in rows}
 
 
+def plain_pieces(text, least, reach):
+    """By the definition, word by word."""
+    words = [(m.start(), m.group().decode().lower()) for m in re.finditer(rb"[^ \t-\r]+", text.encode())]
+    p = [hashlib.md5(f"{a[1]} {b[1]}".encode()).hexdigest()[:16] for a, b in zip(words, words[1:])]
+    cut = [i for i in range(1, len(p)) if all(p[i] < x for x in p[max(0, i - reach) : i]) and all(p[i] <= x for x in p[i + 1 : i + reach + 1])]
+    edges = [0, *cut, len(words)]
+    for k, (a, b) in enumerate(zip(edges, edges[1:])):
+        if b - a >= least:
+            yield k, words[a][0], words[b][0] if b < len(words) else len(text.encode()), " ".join(w for _, w in words[a:b])
+
+
+def test_substring_dedup_pieces_against_brute_force(spark):
+    rows = corpus(6, 60) + [(900, " Lead  word\tand " + prose_of(2, 90) + " \n", None, None, 0), (901, "x", None, None, 0), (902, "same " * 400, None, None, 0), (903, prose_of(2, 60000), None, None, 0)]
+    first, want = {}, []
+    for d, t, *_ in rows:
+        for k, a, b, plain in plain_pieces(t, 8, 5):
+            if plain in first:
+                want.append((d, "piece", k, a, b - a, *first[plain]))
+            else:
+                first[plain] = (d, k)
+    got = substring_dedup.removed_units(frame(spark, rows), "line", 10**9, 8)
+    assert rows_of(got) == sorted(want, key=repr) and len(want) > 50
+
+
+def test_substring_dedup_finds_passages_wherever_they_stand(spark):
+    """Passages of 50 words inside lines, in other lines than before, are found; documents without any are left alone."""
+    passage = prose_of(70, 50).replace("\n", " ")
+    words = passage.split()
+    rows = [(i, f"{prose_of(100 + i, 30)} tail{i} {passage if i % 2 else ''} head{i} {prose_of(200 + i, 30)}", None, None, 0) for i in range(60)]
+    rows += [(100 + i, f"{prose_of(300 + i, 20)} x{i} {chr(10).join(' '.join(words[j : j + 4 + i]) for j in range(0, len(words), 4 + i))} y{i}", None, None, 0) for i in range(10)]
+    found = {r.doc_id for r in substring_dedup.removed_units(frame(spark, rows), "line", 20, 8).collect()}
+    holders = {i for i in range(3, 60, 2)} | {100 + i for i in range(10)}
+    assert len(found & holders) >= 0.95 * len(holders) and not found - holders
+
+
 def test_substring_dedup_odd_rows(spark):
     rows = odd_rows()
     df = with_clashes(spark, rows)
     out = substring_dedup.dedup_units(df, "line", 8)
     assert out.columns == df.columns and out.count() == len(rows)
     assert substring_dedup.removed_units(frame(spark, [])).count() == 0
+    assert substring_dedup.dedup_units(df, "line", 8, piece_words=8).count() == len(rows)
+    assert substring_dedup.removed_units(frame(spark, []), piece_words=8).count() == 0
 
 
 def _shingles(text, n):
