@@ -52,7 +52,7 @@ def cmd_deliver(args) -> dict:
     options = {}
     if args.sink_format == "kafka":
         options = {"kafka.bootstrap.servers": args.bootstrap_servers, "topic": args.topic}
-    deliver_table(
+    counts = deliver_table(
         _read_source(spark, args),
         fmt=args.sink_format,
         options=options,
@@ -61,7 +61,7 @@ def cmd_deliver(args) -> dict:
         key_cols=args.key.split(",") if args.key else None,
         source_system=args.source_system,
     )
-    return {"delivered_to": args.path or args.topic}
+    return {"delivered_to": args.path or args.topic, **counts}
 
 
 def cmd_curate(args) -> dict:

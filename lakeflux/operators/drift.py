@@ -218,7 +218,11 @@ def categorical_distances(tagged: DataFrame, columns: Sequence[str]) -> DataFram
     broadcast; no window spans a column's categories, so a column with very
     many categories is still spread over all tasks.
     """
-    vc = value_counts(tagged, columns, as_text=True).checkpoint(eager=True)
+    return distances_of_counts(value_counts(tagged, columns, as_text=True).checkpoint(eager=True))
+
+
+def distances_of_counts(vc: DataFrame) -> DataFrame:
+    """The statistics of categorical_distances from (feature, x, c_ref, c_cur)."""
     totals = vc.groupBy("feature").agg(
         F.sum("c_ref").alias("n_ref"),
         F.sum("c_cur").alias("n_cur"),
@@ -330,8 +334,12 @@ def column_drift(
                     "score",
                 )
             )
-    rows = scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1])
-    is_p = F.col("test").isin("ks", "ks_exact", "z", "chi2")
+    return judge(scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1]), opts)
+
+
+def judge(rows: DataFrame, opts: dict) -> DataFrame:
+    """Threshold and verdict of each scored column."""
+    is_p = F.col("test").isin("ks", "ks_exact", "ks_sketch", "z", "chi2")
     threshold = F.when(is_p, F.lit(opts["p_threshold"])).otherwise(F.lit(opts["d_threshold"]))
     beyond = F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
     one_sided = (F.col("n_ref") > 0) != (F.col("n_cur") > 0)

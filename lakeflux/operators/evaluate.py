@@ -14,15 +14,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeflux.operators.keyed import classify, matched, rejects
+
 TRUTH = "target"
 PRED = "Predictions"
 #: More classes than this are a wrong column, not a classification.
 MAX_CLASSES = 1000
 
 
-def align(truth: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Pair truth and prediction by key (J2); position is not a Spark notion."""
-    return truth.join(predictions, key, "inner")
+def align(truth: DataFrame, predictions: DataFrame, key: str, on_bad: str = "fail") -> DataFrame:
+    """Pair truth and prediction by key (J2); position is not a Spark notion.
+
+    A truth without a prediction, a prediction without a truth, and a key that is null or repeated raise; with
+    ``on_bad="reject"`` they are left out, and ``align_rejects`` has them.
+    """
+    return matched(classify(truth, predictions, key), key, on_bad)
+
+
+def align_rejects(truth: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """(key, reason, n_left, n_right): what ``align`` cannot pair; left is the truth."""
+    return rejects(classify(truth, predictions, key), key)
 
 
 def pair_counts(aligned: DataFrame, truth: str = TRUTH, pred: str = PRED) -> DataFrame:
@@ -107,6 +118,16 @@ def confusion_matrix(aligned: DataFrame, truth: str = TRUTH, pred: str = PRED) -
     return grid.join(c, same, "left").select("truth", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
+def confusion_wide(aligned: DataFrame, labels: list, truth: str = TRUTH, pred: str = PRED) -> DataFrame:
+    """The confusion matrix with a column a predicted label and a row a true one, for named labels; a label that no
+    row has counts zero, and rows of labels that are not named are in no cell."""
+    spark = aligned.sparkSession
+    kind = aligned.schema[truth].dataType.simpleString()
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], f"ordinal int, truth {kind}")
+    wide = pair_counts(aligned, truth, pred).groupBy(F.col("truth").alias("__t")).pivot("predicted", labels).agg(F.sum("n"))
+    return rows.join(wide, F.col("truth") == F.col("__t"), "left").select("truth", *[F.coalesce(F.col(f"`{x}`"), F.lit(0)).cast("bigint").alias(str(x)) for x in labels])
+
+
 def metrics_long(metrics_row: DataFrame, run_id: str) -> DataFrame:
     """Wide one-row metrics -> (run_id, metric, value) rows (K6)."""
     cols = [c for c in metrics_row.columns]

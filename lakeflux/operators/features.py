@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeflux.functions.numeric import standard_score
+from lakeflux.operators.keyed import full_checked
 
 SPLIT_COL = "split"
 
@@ -144,5 +145,5 @@ def expected_test_size(n: int, test_fraction: float = 0.2) -> int:
 
 
 def attach_label(features_df: DataFrame, labels_df: DataFrame, key: str) -> DataFrame:
-    """Key-aligned column concat of features and label (J1): full outer join."""
-    return features_df.join(labels_df, key, "full")
+    """Key-aligned column concat of features and label (J1): full outer join; a repeated key raises."""
+    return full_checked(features_df, labels_df, key)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeflux.sources.files import FILE_COL, MAX_RECORD_FILE_BYTES, POS_COL, dated_prefix, relative_to, whole_files
+from lakeflux.sources.files import FILE_COL, MAX_RECORD_FILE_BYTES, POS_COL
 
 DEFAULT_RECORDS_PER_FILE = 1000
 
@@ -56,25 +56,6 @@ def write_landing_records(
     return path
 
 
-def promote(
-    spark: SparkSession, landing: str, processing: str, ds: str, as_of: Column | None = None, glob: str = "*.json"
-) -> DataFrame:
-    """Landing -> processing (K5): every file of the landing folder, unchanged, under a
-    stamped name of its own in ``<processing>/business/<ds>``; returns (file, stored).
-
-    Tasks copy the files through Spark's own reader and writer; the name carries the run's stamp and the file's path, so that no two collide.
-    """
-    files = whole_files(spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true"), landing)
-    below = relative_to(landing)
-    stamp = F.date_format(as_of if as_of is not None else F.current_timestamp(), "yyyyMMddHHmmss")
-    name = F.concat(F.lit("business-"), stamp, F.lit("-"), F.regexp_replace(below, "[^A-Za-z0-9._-]", "_"), F.lit("-"), F.substring(F.md5(below), 1, 8))
-    named = files.select(below.alias("file"), name.alias("stored"), "value")
-    target = dated_prefix(processing, "business", ds)
-    # one folder a stored name, holding the file's text as it is
-    named.select("stored", "value").write.mode("append").option("lineSep", "\n").partitionBy("stored").text(target)
-    return named.select("file", "stored")
-
-
 def apply_per_file(
     raw: DataFrame, fn: Callable[[str, str], list[tuple]], schema: str, max_bytes: int = MAX_RECORD_FILE_BYTES
 ) -> DataFrame:

@@ -5,8 +5,8 @@
 2. ``train``: fit on the newest snapshot's train partition (F3), save the artefact (F5).
 3. ``score_and_evaluate``: load, score the newest test partition (F4), publish the
    predictions by snapshot (K3, S7), align by key (J2), accuracy and weighted scores
-   (A8, A9), confusion matrix (A10), metric rows and per-feature means appended to the
-   metrics log (K6).
+   (A8, A9), confusion matrix (A10), metric rows and per-feature means in the
+   metrics log, where a run that is retried replaces its own (K6).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from lakeflux.operators.evaluate import accuracy, align, confusion_matrix, metri
 from lakeflux.operators.features import SPLIT_COL, fit_scaler, seeded_split, standardize
 from lakeflux.operators.model import feature_vector, fit_classifier, load_model, load_scaler, save_model, save_scaler, score
 from lakeflux.sinks.files import publish_feature_set
-from lakeflux.sinks.metrics import append_metrics
+from lakeflux.sinks.metrics_log import upsert_metrics
 from lakeflux.sources.snapshot import SNAPSHOT_COL, latest_snapshot, publish_snapshot, read_latest_snapshot
 
 
@@ -84,5 +84,5 @@ def score_and_evaluate(
         if not isinstance(features, str):
             means = [(run_id, f"mean_{k}", m) for k, (m, _) in load_scaler(spark, scaler_path(feature_set)).items()]
             logged = metrics.unionByName(spark.createDataFrame(means, "run_id string, metric string, value double"))
-        append_metrics(logged, metrics_path)
+        upsert_metrics(logged, metrics_path)
     return {"predictions": aligned, "metrics": metrics, "confusion": confusion_matrix(aligned)}

@@ -17,7 +17,9 @@ from pyspark.sql.types import (
 from lakeflux.functions.jsonfmt import decode_json
 from lakeflux.operators.audit import add_audit_columns, to_envelope
 from lakeflux.operators.columns import drop_all_null_rows, drop_columns, lower_case_names, rename_positional
+from lakeflux.plans.delivery import deliver_table
 from lakeflux.queries.common import AS_OF, as_text_ts, load
+from lakeflux.session import work_dir
 from lakeflux.sinks.messages import message_frame
 
 AUDIT_OUT = ["source_system", "user_name", "ingestion_type", "base_format", "rows_written", "schema"]
@@ -105,7 +107,21 @@ FROM {table}
 """
 
 
+def delivery_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders delivered from a snapshot: what the job counted while it wrote, against the messages themselves."""
+    orders = load(spark, sf_dir, "orders")
+    root = work_dir(spark, "delivery-orders")
+    counts = deliver_table(orders, fmt="text", path=f"{root}/messages", snapshot_path=f"{root}/snapshot", as_of=AS_OF)
+    value = spark.read.text(f"{root}/messages").select(F.from_json("value", "o_orderkey bigint, rows_written bigint").alias("m"))
+    return value.groupBy("m.rows_written").agg(F.count(F.lit(1)).alias("n_messages"), F.countDistinct("m.o_orderkey").alias("n_orders")).select(
+        "rows_written", "n_messages", "n_orders", F.lit(counts["delivered"]).cast("long").alias("delivered")
+    )
+
+
 SQL = {
+    "delivery_reconciled": """
+SELECT count(*)::BIGINT AS rows_written, count(*)::BIGINT AS n_messages, count(DISTINCT o_orderkey)::BIGINT AS n_orders, count(*)::BIGINT AS delivered FROM orders
+""",
     "deliver_envelope": _audit_sql(
         "orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority", ORDERS_SCHEMA_JSON
     ),
@@ -131,6 +147,7 @@ WHERE NOT (user_id IS NULL AND event_type IS NULL AND value IS NULL AND props IS
 }
 
 QUERIES = {
+    "delivery_reconciled": delivery_reconciled,
     "deliver_envelope": deliver_envelope,
     "audit_columns": audit_columns,
     "kafka_frame": kafka_frame,

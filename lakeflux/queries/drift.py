@@ -7,12 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeflux.operators import drift_profile
 from lakeflux.functions.stats import chi2_sf_sql, erfc_sql, kolmogorov_sf_sql
 from lakeflux.operators.drift import (
     DEFAULTS,
     categorical_distances,
     column_drift,
     dataset_drift,
+    distances_of_counts,
     drift_gate,
     drift_report,
     ks_p_value,
@@ -20,6 +22,7 @@ from lakeflux.operators.drift import (
     tag_sides,
 )
 from lakeflux.queries.common import DRIFT_CUT, load, r6
+from lakeflux.session import work_dir
 
 EVENT_COLUMNS = ["user_id", "value", "event_type", "props"]
 EVENT_NUMERIC = ["user_id", "value"]
@@ -132,6 +135,24 @@ def drift_gate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_from_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current half against the stored profile of the reference half, merged from two parts: exact statistics, and
+    whether the profile's are within their stated error of them (categorical ones have none)."""
+    ref, cur = _event_halves(spark, sf_dir)
+    early = F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")
+    table = work_dir(spark, "drift-profile")
+    parts = [drift_profile.profile(ref.where(w), EVENT_COLUMNS) for w in (early, ~early)]
+    drift_profile.snapshot_log.publish(drift_profile.merge(*parts).coalesce(1), table, "2024-01-15")
+    stored = drift_profile.stored_profile(spark, table, "2024-01-31")
+    now = drift_profile.profile(cur, EVENT_COLUMNS).checkpoint(eager=True)
+    exact = numeric_distances(tag_sides(ref, cur, EVENT_NUMERIC), EVENT_NUMERIC).select("feature", F.col("ks_stat").alias("exact"))
+    near = drift_profile.numeric_distances(stored, now).join(exact, "feature")
+    off = F.abs(F.col("ks_stat") - F.col("exact")) <= drift_profile.ks_error()
+    numbers = near.select("feature", "n_ref", "n_cur", r6(F.col("exact")).alias("stat"), off.cast("int").alias("within"))
+    values = distances_of_counts(drift_profile.categorical_counts(stored, now))
+    return numbers.unionByName(values.select("feature", "n_ref", "n_cur", r6(F.col("js")).alias("stat"), F.lit(1).alias("within")))
+
+
 # ---------------------------------------------------------------- oracle SQL
 EVENTS_SIDES = f"(SELECT *, CASE WHEN ts < TIMESTAMP '{DRIFT_CUT}' THEN 1 ELSE 0 END AS is_ref FROM events)"
 SUPPLIER_SIDES = (
@@ -247,6 +268,13 @@ FROM num_value""",
     + ", cats AS ("
     + " UNION ALL ".join(_cat_select(c) for c in ["event_type", "props"])
     + ") SELECT feature, n_ref, n_cur, round(js, 6) AS js FROM cats",
+    "drift_from_profile": "WITH "
+    + ",".join([_num_ctes(EVENTS_SIDES, c) for c in EVENT_NUMERIC] + [_cat_ctes(EVENTS_SIDES, c) for c in ["event_type", "props"]])
+    + " "
+    + " UNION ALL ".join(
+        [f"SELECT feature, n_ref, n_cur, round(ks_stat, 6) AS stat, 1::INTEGER AS within FROM num_{c}" for c in EVENT_NUMERIC]
+        + [f"SELECT feature, n_ref, n_cur, round(js, 6), 1 FROM ({_cat_select(c)})" for c in ["event_type", "props"]]
+    ),
     "drift_dataset": _drift_sql(EVENTS_SIDES, EVENT_COLUMNS, EVENT_NUMERIC, EVENT_TESTS) + _cd_select(),
     "drift_small_sample": _drift_sql(SUPPLIER_SIDES, SUPPLIER_COLUMNS, ["s_acctbal"], SUPPLIER_TESTS) + _cd_select(),
     "drift_null_column": f"""
@@ -280,4 +308,5 @@ QUERIES = {
     "drift_small_sample": drift_small_sample,
     "drift_null_column": drift_null_column,
     "drift_gate": drift_gate_query,
+    "drift_from_profile": drift_from_profile,
 }

@@ -9,11 +9,15 @@ from lakeflux.operators.evaluate import (
     accuracy,
     align,
     confusion_matrix,
+    confusion_wide,
     metrics_long,
     weighted_scores,
 )
 from lakeflux.operators.features import attach_label, feature_stats, seeded_split, standardize
+from lakeflux.operators.keyed import pair_checked
 from lakeflux.queries.common import RUN_ID, load, r6
+from lakeflux.session import work_dir
+from lakeflux.sinks.metrics_log import compact, metrics_latest, upsert_metrics
 
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -104,6 +108,42 @@ def q_eval_null_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_eval_confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a true label, a column a predicted one."""
+    return confusion_wide(_aligned(spark, sf_dir), ["F", "O", "P", "U"])
+
+
+def _loose_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Truths and predictions of which some are missing, some repeated and some without a key."""
+    orders = load(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    truth = orders.select(F.when(k % 19 != 0, k).alias("o_orderkey"), F.col("o_orderstatus").alias("target")).where(F.coalesce(F.col("o_orderkey") % 11 != 0, F.lit(True)))
+    pred = _predictions(orders)
+    return truth.union(truth.where(k % 13 == 0)), pred.where(k % 7 != 0).union(pred.where(k % 17 == 0))
+
+
+def q_align_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and rows by what keeps them from being paired, beside the counts that the pairing observed."""
+    rows, bad, seen = pair_checked(*_loose_sides(spark, sf_dir), "o_orderkey")
+    observed = F.create_map(*[F.lit(x) for k, v in seen.items() for x in (k, v)])
+    fine = rows.agg(F.lit("matched").alias("reason"), F.count(F.lit(1)).alias("n_keys"), F.count(F.lit(1)).alias("n_left"), F.count(F.lit(1)).alias("n_right"))
+    by = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_keys"), F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+    return fine.unionByName(by).withColumn("observed", F.element_at(observed, F.translate("reason", " ", "_")))
+
+
+def q_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals by status logged by two runs, one of them retried with other values: one row a key, the newest."""
+    orders = load(spark, sf_dir, "orders")
+    table = work_dir(spark, "metrics-orders")
+    totals = orders.groupBy("o_orderstatus").agg(F.sum("o_totalprice").alias("value"))
+    at = lambda run, value: totals.select(F.lit(run).alias("run_id"), F.concat(F.lit("total_"), "o_orderstatus").alias("metric"), value.alias("value"))
+    upsert_metrics(at("run-1", F.col("value") * 2), table)
+    upsert_metrics(at("run-2", F.col("value") * 3), table)
+    compact(spark, table)
+    upsert_metrics(at("run-1", F.col("value")).where("metric <> 'total_P'"), table)
+    return metrics_latest(spark, table).select("run_id", "metric", r6(F.col("value")).alias("value"))
+
+
 PRED_SQL = """CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'F'
      WHEN o_totalprice >= 250000 THEN 'O' ELSE 'U' END"""
 ALIGNED_SQL = f"SELECT o_orderkey, o_orderstatus AS target, {PRED_SQL} AS Predictions FROM orders"
@@ -182,6 +222,26 @@ UNION ALL SELECT '{RUN_ID}', 'recall', round(recall, 6) FROM w
 UNION ALL SELECT '{RUN_ID}', 'f1', round(f1, 6) FROM w
 """,
     "pred_vs_true": ALIGNED_SQL,
+    "eval_confusion_wide": f"""
+WITH a AS ({ALIGNED_SQL})
+SELECT t.truth, count(*) FILTER (WHERE Predictions = 'F')::BIGINT AS F, count(*) FILTER (WHERE Predictions = 'O')::BIGINT AS O,
+       count(*) FILTER (WHERE Predictions = 'P')::BIGINT AS P, count(*) FILTER (WHERE Predictions = 'U')::BIGINT AS U
+FROM (VALUES ('F'), ('O'), ('P'), ('U')) t(truth) LEFT JOIN a ON a.target = t.truth GROUP BY t.truth
+""",
+    "align_rejects": """
+WITH t0 AS (SELECT * FROM (SELECT CASE WHEN o_orderkey % 19 <> 0 THEN o_orderkey END AS k FROM orders) x WHERE coalesce(k % 11 <> 0, true)),
+t AS (SELECT k FROM t0 UNION ALL SELECT k FROM t0 WHERE k % 13 = 0),
+p AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 17 = 0),
+n AS (SELECT k, sum(l) AS l, sum(r) AS r FROM (SELECT k, 1 AS l, 0 AS r FROM t UNION ALL SELECT k, 0, 1 FROM p) u GROUP BY k),
+c AS (SELECT *, CASE WHEN k IS NULL THEN 'null key' WHEN l > 1 AND r > 1 THEN 'repeated on both sides' WHEN l > 1 THEN 'repeated on the left'
+                     WHEN r > 1 THEN 'repeated on the right' WHEN r = 0 THEN 'left only' WHEN l = 0 THEN 'right only' ELSE 'matched' END AS reason FROM n)
+SELECT reason, count(*)::BIGINT AS n_keys, sum(l)::BIGINT AS n_left, sum(r)::BIGINT AS n_right, count(*)::BIGINT AS observed FROM c GROUP BY reason
+""",
+    "metrics_latest": """
+WITH s AS (SELECT o_orderstatus AS st, sum(o_totalprice) AS v FROM orders GROUP BY 1)
+SELECT 'run-1' AS run_id, 'total_' || st AS metric, round(CASE WHEN st = 'P' THEN v * 2 ELSE v END, 6) AS value FROM s
+UNION ALL SELECT 'run-2', 'total_' || st, round(v * 3, 6) FROM s
+""",
 }
 
 QUERIES = {
@@ -195,4 +255,7 @@ QUERIES = {
     "eval_null_labels": q_eval_null_labels,
     "eval_metrics_long": q_eval_metrics_long,
     "pred_vs_true": q_pred_vs_true,
+    "eval_confusion_wide": q_eval_confusion_wide,
+    "align_rejects": q_align_rejects,
+    "metrics_latest": q_metrics_latest,
 }

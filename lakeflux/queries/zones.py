@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from lakeflux.operators.zones import DEFAULT_RECORDS_PER_FILE, apply_per_file, promote, write_landing_records
-from lakeflux.plans.zones import BUSINESS_SCHEMA, select_head
+from lakeflux.operators.promotion import manifest, promote
+from lakeflux.operators.zones import DEFAULT_RECORDS_PER_FILE, apply_per_file, hash_chunk, write_landing_records
+from lakeflux.plans.zones import BUSINESS_SCHEMA, curate, select_head
 from lakeflux.queries.common import AS_OF, load, r6
 from lakeflux.session import work_dir
 from lakeflux.sinks.files import CSV_READ_OPTIONS, write_parquet_replace, write_zone_csv
@@ -26,7 +27,9 @@ from lakeflux.sources.files import (
     rejected_files,
     whole_files,
 )
+from lakeflux.sources import snapshot_log, store
 from lakeflux.sources.snapshot import SNAPSHOT_COL, read_latest_snapshot
+from lakeflux.sources.splits import line_heads, read_record_arrays_split
 from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_stream, write_landing_json
 
 
@@ -80,6 +83,23 @@ def zone_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of the record-array files, each file read by many tasks, with their positions."""
+    path = _documents_landing(spark, sf_dir)
+    return read_record_arrays_split(spark, path, BUSINESS_SCHEMA, glob="*.txt", split_bytes=1 << 16).select("id", "pos", "title", "body")
+
+
+def zone_head_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 5 lines of each JSON-lines file, files read in many splits."""
+    docs = load(spark, sf_dir, "documents")
+    counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    chunk = hash_chunk(F.col("id"), F.ceil(F.col("n") / F.lit(float(DEFAULT_RECORDS_PER_FILE))))
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("title"), F.col("text").alias("body"), "source").join(counts, "source").withColumn("chunk", chunk)
+    path = work_dir(spark, "lines-documents")
+    rows.drop("n").repartition("source", "chunk").sortWithinPartitions("source", "chunk", "id").write.partitionBy("source", "chunk").json(path)
+    return line_heads(spark, path, BUSINESS_SCHEMA, 5, split_bytes=1 << 16).select("id", "pos", "title", "body")
+
+
 def zone_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing -> processing: every record file under a stamped name of its own, read back by its date folder."""
     path = _documents_landing(spark, sf_dir)
@@ -91,6 +111,28 @@ def zone_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_promote_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, landing -> processing -> curated: files are promoted and deleted from landing, a second run finds
+    nothing new, and the zone job reads what was stored. Each curated row carries how many files the second run
+    copied, how many are left in landing, and how many stored files differ from their manifest."""
+    path = _documents_landing(spark, sf_dir)
+    root = work_dir(spark, "zones-documents")
+    first = promote(spark, path, f"{root}/processing", "20240201", glob="*.txt", delete_source=True)
+    second = promote(spark, path, f"{root}/processing", "20240201", glob="*.txt", delete_source=True)
+    target = dated_prefix(f"{root}/processing", "business", "20240201")
+    held = spark.read.format("binaryFile").load(f"{target}/*.json").select(F.element_at(F.split("path", "/"), -1).alias("stored"), F.sha2("content", 256).alias("now"))
+    entries = manifest(spark, store.qualified(spark, target))
+    wrong = entries.join(held, "stored", "full").where(~F.col("sha256").eqNullSafe(F.col("now"))).agg(F.count(F.lit(1)).alias("n"))
+    left = store.list_files(spark, path, "*.txt").agg(F.count(F.lit(1)).alias("n"))
+    curated = curate(spark, f"{root}/processing", f"{root}/curated", "20240201", keep=("id", "title", "body"))
+    schema = "id bigint, title string, body string, source_file string"
+    rows = spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(curated)
+    names = first.select("stored")
+    return rows.join(names, rows.source_file == names.stored).select(
+        "id", "title", "body", F.lit(second.count()).cast("long").alias("copied_again"), left.scalar().alias("left_in_landing"), wrong.scalar().alias("differing")
+    )
+
+
 def per_file_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A callable over whole files: the longest word and the number of words of each source's files."""
     path = _documents_landing(spark, sf_dir)
@@ -162,6 +204,17 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_snapshot(spark, path, schema)
 
 
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events published once a week, one week a second time and one only half: what a run of 20 January reads."""
+    events = load(spark, sf_dir, "events")
+    table = work_dir(spark, "snapshot-log-events")
+    until = lambda day: events.where(F.col("ts") < F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
+    for day, rows in (("2024-01-22", until("2024-01-22")), ("2024-01-08", until("2024-01-08")), ("2024-01-15", until("2024-01-08")), ("2024-01-15", until("2024-01-15"))):
+        snapshot_log.publish(rows, table, day)
+    events.write.parquet(f"{table}/data/half-written")
+    return snapshot_log.read_as_of(spark, table, "2024-01-20")
+
+
 HEAD_PER_FILE_SQL = f"""
 WITH d AS (SELECT *, count(*) OVER (PARTITION BY source) AS cnt FROM documents),
 c AS (SELECT *, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT
@@ -186,12 +239,16 @@ SELECT source, CASE WHEN source LIKE '%3' THEN 0 ELSE count(*) END::BIGINT AS n_
     + """
 SELECT source, count(DISTINCT chunk)::BIGINT AS n_files, count(*)::BIGINT AS n_records, sum(n_chars)::BIGINT AS n_chars FROM c GROUP BY source
 """,
+    "zone_promote_manifest": f"SELECT id, title, body, 0::BIGINT AS copied_again, 0::BIGINT AS left_in_landing, 0::BIGINT AS differing FROM ({HEAD_PER_FILE_SQL})",
     "per_file_python": """
 WITH w AS (SELECT source, regexp_extract_all(coalesce(text, ''), '[a-z]+') AS ws FROM documents)
 SELECT source, count(*)::BIGINT AS n_records, sum(len(ws))::BIGINT AS n_words,
        max(coalesce(list_max(list_transform(ws, lambda x: length(x))), 0))::BIGINT AS longest FROM w GROUP BY source
 """,
     "zone_head_per_file": HEAD_PER_FILE_SQL,
+    "zone_head_lines": HEAD_PER_FILE_SQL,
+    "record_array_split": HEAD_PER_FILE_SQL.replace(" WHERE pos < 5", ""),
+    "snapshot_as_of": "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'",
     "zone_csv_roundtrip": "SELECT doc_id, text, lang, source FROM documents",
     "zone_stream_curate": HEAD_PER_FILE_SQL,
     "zone_stream_ingest": """
@@ -210,7 +267,10 @@ WHERE strftime(ts, '%Y%m%d') = (SELECT max(strftime(ts, '%Y%m%d')) FROM events)
 QUERIES = {
     "zone_head_per_file": zone_head_per_file,
     "zone_rejects": zone_rejects,
+    "zone_head_lines": zone_head_lines,
+    "record_array_split": record_array_split,
     "zone_promote": zone_promote,
+    "zone_promote_manifest": zone_promote_manifest,
     "per_file_python": per_file_python,
     "zone_csv_roundtrip": zone_csv_roundtrip,
     "zone_stream_curate": zone_stream_curate,
@@ -218,4 +278,5 @@ QUERIES = {
     "parquet_replace": parquet_replace,
     "warehouse_overwrite": warehouse_overwrite,
     "snapshot_latest": snapshot_latest,
+    "snapshot_as_of": snapshot_as_of,
 }

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from lakeflux.sources import store
+
 #: A record file is one string and one array in a task's memory.
 MAX_RECORD_FILE_BYTES = 256 << 20
 FILE_COL = "file"
@@ -17,10 +19,17 @@ POS_COL = "pos"
 
 def whole_files(reader, path: str) -> DataFrame:
     """(file, bytes, value): one row per file, from a batch or stream reader."""
-    raw = reader.option("wholetext", "true").text(path)
+    raw = reader.text(path, wholetext=True)  # an option of that name would give way to the argument's default
     return raw.select(F.col("_metadata.file_path").alias(FILE_COL), F.col("_metadata.file_size").alias("bytes"), "value")
 
 
+def empty_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """(file, bytes, value) of files without a byte, which Spark's scans leave out."""
+    found = store.list_files(spark, path, glob, recursive).where(F.col("bytes") == 0)
+    file = F.regexp_replace("path", "^file:/+", "file:///")  # as Spark's metadata has it
+    return found.select(file.alias(FILE_COL), F.col("bytes"), F.lit("").alias("value"))
+
+
 def parse_record_files(raw: DataFrame, schema: StructType, max_bytes: int = MAX_RECORD_FILE_BYTES) -> DataFrame:
     """(file, reason, __records): reason is null where the file holds one well-formed array of records."""
     records = F.from_json("value", ArrayType(schema))
@@ -55,7 +64,7 @@ def record_files(
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return parse_record_files(whole_files(reader, path), schema)
+    return parse_record_files(whole_files(reader, path).unionByName(empty_files(spark, path, glob, recursive)), schema)
 
 
 def read_record_arrays(

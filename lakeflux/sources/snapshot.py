@@ -24,12 +24,17 @@ def publish_snapshot(df: DataFrame, path: str, snapshot: str, extra_partitions:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> str | None:
-    """Name of the newest partition, from one listing of the table's folder; no data file is opened."""
+    """Name of the newest partition, from one listing of the table's folder; no data file is opened.
+
+    Names that are all numbers are compared as numbers. Tables whose readers need a run date, or whose
+    producers may be lost half way, keep a commit log: see ``snapshot_log``.
+    """
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
     names = [e.getPath().getName() for e in entries if e.isDirectory()]
     found = [unquote(n.partition("=")[2]) for n in names if n.startswith(f"{SNAPSHOT_COL}=")]
-    return max(found, default=None)
+    numbers = all(n.isdigit() for n in found)
+    return max(found, key=lambda n: (int(n), n) if numbers else n, default=None)
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -98,7 +98,7 @@ def test_t7_avro_matches_type_class_and_names(spark):
     assert types["a"] == [{"type": "array", "items": ["string", "null"]}, "null"]
     assert types["ai"] == [{"type": "array", "items": ["int", "null"]}, "null"]
     assert types["m"] == [{"type": "map", "values": ["long", "null"]}, "null"]
-    assert types["dec"] == ["string", "null"]
+    assert types["dec"] == [{"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}, "null"]
 
 
 def test_t9_region_table_corrected(spark):
