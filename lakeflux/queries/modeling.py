@@ -132,15 +132,15 @@ def q_align_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order totals by status logged by two runs, one of them retried with other values: one row a key, the newest."""
+    """Mean order price by status logged by two runs, one of them retried with other values: one row a key, the newest."""
     orders = load(spark, sf_dir, "orders")
     table = work_dir(spark, "metrics-orders")
-    totals = orders.groupBy("o_orderstatus").agg(F.sum("o_totalprice").alias("value"))
-    at = lambda run, value: totals.select(F.lit(run).alias("run_id"), F.concat(F.lit("total_"), "o_orderstatus").alias("metric"), value.alias("value"))
+    totals = orders.groupBy("o_orderstatus").agg(F.avg("o_totalprice").alias("value"))
+    at = lambda run, value: totals.select(F.lit(run).alias("run_id"), F.concat(F.lit("mean_"), "o_orderstatus").alias("metric"), value.alias("value"))
     upsert_metrics(at("run-1", F.col("value") * 2), table)
     upsert_metrics(at("run-2", F.col("value") * 3), table)
     compact(spark, table)
-    upsert_metrics(at("run-1", F.col("value")).where("metric <> 'total_P'"), table)
+    upsert_metrics(at("run-1", F.col("value")).where("metric <> 'mean_P'"), table)
     return metrics_latest(spark, table).select("run_id", "metric", r6(F.col("value")).alias("value"))
 
 
@@ -238,9 +238,9 @@ c AS (SELECT *, CASE WHEN k IS NULL THEN 'null key' WHEN l > 1 AND r > 1 THEN 'r
 SELECT reason, count(*)::BIGINT AS n_keys, sum(l)::BIGINT AS n_left, sum(r)::BIGINT AS n_right, count(*)::BIGINT AS observed FROM c GROUP BY reason
 """,
     "metrics_latest": """
-WITH s AS (SELECT o_orderstatus AS st, sum(o_totalprice) AS v FROM orders GROUP BY 1)
-SELECT 'run-1' AS run_id, 'total_' || st AS metric, round(CASE WHEN st = 'P' THEN v * 2 ELSE v END, 6) AS value FROM s
-UNION ALL SELECT 'run-2', 'total_' || st, round(v * 3, 6) FROM s
+WITH s AS (SELECT o_orderstatus AS st, avg(o_totalprice) AS v FROM orders GROUP BY 1)
+SELECT 'run-1' AS run_id, 'mean_' || st AS metric, round(CASE WHEN st = 'P' THEN v * 2 ELSE v END, 6) AS value FROM s
+UNION ALL SELECT 'run-2', 'mean_' || st, round(v * 3, 6) FROM s
 """,
 }
 

@@ -68,7 +68,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["path", "bytes", "modified"])
 
-    return files.union(spark.createDataFrame(folders, "path string").repartition(len(folders)).mapInArrow(walk, LISTED))
+    return files.union(spark.createDataFrame(folders, "path string").repartition(min(len(folders), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(walk, LISTED))
 
 
 LISTED = "path string, bytes long, modified long"
