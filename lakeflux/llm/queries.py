@@ -144,7 +144,7 @@ WITH lines AS (
   SELECT *, sum(gap + length) OVER d - length AS start, substr(md5(word || ' ' || lead(word) OVER d), 1, 16) AS p FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)
 ), marked AS (
   SELECT *, CASE WHEN i > 0 AND p IS NOT NULL AND coalesce(p < min(p) OVER before, true) AND coalesce(p <= min(p) OVER behind, true) THEN 1 ELSE 0 END AS cut
-  FROM hashed WINDOW before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), behind AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)
+  FROM hashed WINDOW before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), behind AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 8 FOLLOWING)
 ), numbered AS (
   SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS unit FROM marked
 ), pieces AS (
@@ -153,7 +153,7 @@ WITH lines AS (
   SELECT 'piece' AS kind, doc_id, unit, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY unit), size) - start AS length, plain, n FROM pieces
 ), units AS (
   SELECT * FROM line_places WHERE plain <> '' AND length(plain) - length(replace(plain, ' ', '')) + 1 >= 20
-  UNION ALL SELECT kind, doc_id, unit, start, length, plain FROM piece_places WHERE n >= 8
+  UNION ALL SELECT kind, doc_id, unit, start, length, plain FROM piece_places WHERE n >= 12
 ), ranked AS (
   SELECT *, first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit, row_number() OVER w AS r
   FROM units WINDOW w AS (PARTITION BY kind, sha256(plain) ORDER BY doc_id, unit)

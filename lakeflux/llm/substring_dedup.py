@@ -35,7 +35,7 @@ from lakeflux.llm.work import id_back, keyed, materialise, released
 
 SEPARATORS = {"line": b"\n", "paragraph": b"\n\n"}
 #: Words of the shortest piece that is removed, and the reach of a cut: pieces have 2 * reach + 1 words on average.
-PIECE_WORDS, REACH = 8, 5
+PIECE_WORDS, REACH = 12, 8
 _BLANKS = re.compile(rb"[ \t-\r]+")
 _WORD = re.compile(rb"[^ \t-\r]+")
 _UNITS = "doc long, tkey long, kind string, unit int, start int, end int, digest binary"

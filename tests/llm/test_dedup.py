@@ -264,22 +264,22 @@ def test_substring_dedup_pieces_against_brute_force(spark):
     rows = corpus(6, 60) + [(900, " Lead  word\tand " + prose_of(2, 90) + " \n", None, None, 0), (901, "x", None, None, 0), (902, "same " * 400, None, None, 0), (903, prose_of(2, 60000), None, None, 0)]
     first, want = {}, []
     for d, t, *_ in rows:
-        for k, a, b, plain in plain_pieces(t, 8, 5):
+        for k, a, b, plain in plain_pieces(t, 12, 8):
             if plain in first:
                 want.append((d, "piece", k, a, b - a, *first[plain]))
             else:
                 first[plain] = (d, k)
-    got = substring_dedup.removed_units(frame(spark, rows), "line", 10**9, 8)
-    assert rows_of(got) == sorted(want, key=repr) and len(want) > 50
+    got = substring_dedup.removed_units(frame(spark, rows), "line", 10**9, 12)
+    assert rows_of(got) == sorted(want, key=repr) and len(want) > 20
 
 
 def test_substring_dedup_finds_passages_wherever_they_stand(spark):
-    """Passages of 50 words inside lines, in other lines than before, are found; documents without any are left alone."""
-    passage = prose_of(70, 50).replace("\n", " ")
+    """Passages of 60 words inside lines, in other lines than before, are found; documents without any are left alone."""
+    passage = prose_of(70, 60).replace("\n", " ")
     words = passage.split()
     rows = [(i, f"{prose_of(100 + i, 30)} tail{i} {passage if i % 2 else ''} head{i} {prose_of(200 + i, 30)}", None, None, 0) for i in range(60)]
     rows += [(100 + i, f"{prose_of(300 + i, 20)} x{i} {chr(10).join(' '.join(words[j : j + 4 + i]) for j in range(0, len(words), 4 + i))} y{i}", None, None, 0) for i in range(10)]
-    found = {r.doc_id for r in substring_dedup.removed_units(frame(spark, rows), "line", 20, 8).collect()}
+    found = {r.doc_id for r in substring_dedup.removed_units(frame(spark, rows), "line", 20, 12).collect()}
     holders = {i for i in range(3, 60, 2)} | {100 + i for i in range(10)}
     assert len(found & holders) >= 0.95 * len(holders) and not found - holders
 
