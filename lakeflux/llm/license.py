@@ -157,9 +157,13 @@ class Scanner:
         found = [w for w in found if w] if "" in found else found
         line = f" {' '.join(found)} "
         places, base, labels, alternatives, tagged = [], set(), set(), [], False
+        seen = words = 0  # blanks before the place that was counted up to
         for end, (size, kind, label) in self.automaton.iter(line):
             if kind == "base":
-                places.append(line.count(" ", 0, end - size + 1))
+                start = end - size + 1
+                words += line.count(" ", seen, start) if start >= seen else -line.count(" ", start, seen)
+                seen = start
+                places.append(words)
                 base.add(label)
             if kind == "tag":
                 tagged = True
