@@ -178,7 +178,7 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> n
     """Sizes of the intersections of every x with every y, by products of their incidence matrices, so many shingles at a time."""
     x, y = np.concatenate(xs), np.concatenate(ys)
     common = np.intersect1d(x, y)
-    out = np.zeros((len(xs), len(ys)), np.float32)
+    out = np.zeros((len(xs), len(ys)), np.int64)  # whole numbers, however long the texts
     places = []
     for sets, flat in ((xs, x), (ys, y)):
         own = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
@@ -193,7 +193,7 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> n
             m = np.zeros((len(sets), width), np.float32)
             m[own[a:b], at[a:b] - lo] = 1
             parts.append(m)
-        out += parts[0] @ parts[1].T
+        out += (parts[0] @ parts[1].T).astype(np.int64)
     return out
 
 
