@@ -371,3 +371,53 @@ def test_search_block_leaves_out_what_the_test_allows():
     points = unit @ P.projection(16, 8, 1)
     best, cosines = P.search_block(points, x, np.arange(400), points[:5], x[:5], np.full(5, -np.inf), 6, P.chi_square_quantile(0.97, 8))
     assert (best < 200).all() and (best[:, 0] == np.arange(5)).all() and (np.diff(cosines, axis=1) <= 0).all()
+
+
+# earlier operators on odd input
+
+
+def test_decontamination_items_of_one_id_or_none(spark):
+    """Different texts under one item_id are items of their own, and a null item_id is one, too."""
+    from lakeflux.llm import decontaminate
+
+    a, b, c = (" ".join(f"{p}{i}" for i in range(n)) for p, n in (("alpha", 40), ("beta", 9), ("gamma", 25)))
+    bench = spark.createDataFrame([(1, a), (1, b), (1, b), (None, c), (None, None), (None, "")], "item_id long, text string")
+    rows = [(10, f"x {a} y", "en", "s", 1), (11, f"x y {b}", "en", "s", 1), (12, c, "en", "s", 1), (13, "clean words only here " * 9, "en", "s", 1), (None, f"{b} {c}", "en", "s", 1)]
+    got = sorted(((r.doc_id, r.item_id, r.coverage) for r in decontaminate.leaked_items(frame(spark, rows), bench).collect()), key=repr)
+    assert got == sorted([(10, 1, 1.0), (11, 1, 1.0), (12, None, 1.0), (None, 1, 1.0), (None, None, 1.0)], key=repr)
+    assert [r.doc_id for r in decontaminate.decontaminate(frame(spark, rows), bench).collect()] == [13]
+
+
+def test_decontamination_of_repetitive_and_long_texts(spark):
+    from lakeflux.llm import decontaminate
+
+    item = "again and " * 30
+    rows = [(1, "again and " * 400, "en", "s", 1), (2, "again or " * 400, "en", "s", 1), (3, " ".join(f"w{i}" for i in range(60_000)) + " " + item, "en", "s", 1)]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: (r.coverage, r.tiles) for r in decontaminate.leaked_items(frame(spark, rows), bench).collect()}
+    assert got == {1: (1.0, 1), 3: (1.0, 1)}
+
+
+def test_license_places_of_very_many_phrases():
+    """Word places come from one running count, whatever the number of phrases."""
+    import time
+
+    from lakeflux.llm import license
+
+    scanner = license.Scanner(license.BASE_PHRASES, license.MORE_PHRASES)
+    r = random.Random(2)
+    words = [w for _ in range(3000) for w in r.choice([["cc", "by"], ["all", "rights", "reserved"], ["general", "public", "license"], ["x"], ["mit", "license"]])]
+    phrases = [p.split() for p in license.BASE_PHRASES]
+    want = sorted(i for i in range(len(words)) for p in phrases if words[i : i + len(p)] == p)
+    assert sorted(scanner.scan(" ".join(words))[1]) == want and len(want) > 1000
+    began = time.time()
+    assert len(scanner.scan("all rights reserved " * 200_000)[1]) == 200_000
+    assert time.time() - began < 20
+
+
+def test_ngram_overlaps_are_whole_numbers():
+    from lakeflux.llm import ngram_join
+
+    n = 1_000_003
+    both = ngram_join.overlaps([np.arange(n)], [np.arange(n + 5)])
+    assert both.dtype == np.int64 and 100 * int(both[0, 0]) == 100_000_300
