@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lakeflux.functions.lookup import STATE_REGION, region_of
 from lakeflux.functions.text import OS_FALLBACK, OS_NAMES, os_family
 from lakeflux.operators.lookup import attach_region
+from lakeflux.operators import profile_store
 from lakeflux.operators.profile import column_profile
 from lakeflux.queries.common import load
+from lakeflux.session import work_dir
 
 # Derived columns so the profile sees nulls in a numeric and a text column.
 CUSTOMER_PROFILE_COLS = [
@@ -55,6 +57,22 @@ def profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_profile(df, [n for n, _ in LINEITEM_PROFILE_COLS])
 
 
+ORDERS_PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders profiled month by month, one month twice; the stored parts' profile, and whether its distinct counts are
+    within their stated error of the exact ones."""
+    orders = load(spark, sf_dir, "orders").withColumn("part", F.month("o_orderdate") % 4)
+    table = work_dir(spark, "profile-orders")
+    for part in (0, 1, 2, 3, 1):
+        profile_store.store_part(orders.where(F.col("part") == part), table, part, ORDERS_PROFILE_COLS)
+    exact = column_profile(orders, ORDERS_PROFILE_COLS).select("feature", F.col("n_unique").alias("exact"))
+    got = profile_store.stored_profile(spark, table).join(exact, "feature")
+    near = F.abs(F.col("n_unique") - F.col("exact")) <= profile_store.distinct_error() * F.col("exact")
+    return got.select("ordinal", "feature", "dtype", "is_categorical", "is_binary", F.col("exact").alias("n_unique"), "min_value", "max_value", "null_share", near.cast("int").alias("within"))
+
+
 def _profile_sql(source: str, cols: list[tuple[str, str]]) -> str:
     parts = []
     for i, (name, dtype) in enumerate(cols):
@@ -143,7 +161,10 @@ LEFT JOIN (VALUES {values}) d(state, region) ON c.state = d.state
 """
 
 
+ORDERS_PROFILE_SQL = _profile_sql("orders", [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderpriority", "string")])
+
 SQL = {
+    "profile_incremental": f"SELECT ordinal, feature, dtype, is_categorical, is_binary, n_unique, min_value, max_value, null_share, 1::INTEGER AS within FROM ({ORDERS_PROFILE_SQL})",
     "column_profile": _profile_sql(CUSTOMER_SOURCE, CUSTOMER_PROFILE_COLS),
     "column_profile_lineitem": _profile_sql("lineitem", LINEITEM_PROFILE_COLS),
     "os_family": f"SELECT event_id, user_agent, {_os_case_sql()} AS os_family FROM (SELECT event_id, {UA_SQL} AS user_agent FROM events) t",
@@ -151,6 +172,7 @@ SQL = {
 }
 
 QUERIES = {
+    "profile_incremental": profile_incremental,
     "column_profile": profile_customer,
     "column_profile_lineitem": profile_lineitem,
     "os_family": os_family_query,

@@ -6,6 +6,7 @@ from __future__ import annotations
 import json
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
@@ -16,6 +17,7 @@ from lakeflux.plans.zones import BUSINESS_SCHEMA, curate, select_head
 from lakeflux.queries.common import AS_OF, load, r6
 from lakeflux.session import work_dir
 from lakeflux.sinks.files import CSV_READ_OPTIONS, write_parquet_replace, write_zone_csv
+from lakeflux.sinks.staged import read_staged
 from lakeflux.sinks.warehouse import write_warehouse
 from lakeflux.sources.files import (
     dated_prefix,
@@ -30,7 +32,7 @@ from lakeflux.sources.files import (
 from lakeflux.sources import snapshot_log, store
 from lakeflux.sources.snapshot import SNAPSHOT_COL, read_latest_snapshot
 from lakeflux.sources.splits import line_heads, read_record_arrays_split
-from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_stream, write_landing_json
+from lakeflux.streaming.zone_stream import curate_stream, ingest_available, landing_files_once, landing_stream, write_landing_json
 
 
 def _documents_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -173,6 +175,45 @@ def zone_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events land by day; the first wave lands a second time under other names, with the second wave. Each run
+    starts the stream anew; what landed again is ingested once."""
+    events = load(spark, sf_dir, "events").withColumn("ds", F.date_format("ts", "yyyyMMdd"))
+    root = work_dir(spark, "stream-redelivered")
+    landing, out, ckpt = (f"{root}/{p}" for p in ("landing", "bronze", "checkpoint"))
+    cut = F.lit("20240116")
+    by_day = lambda rows: rows.repartition("ds").sortWithinPartitions("ds", "event_id")  # noqa: E731  the same bytes each time
+    drain = lambda: ingest_available(landing_files_once(spark, f"{landing}/ds=*/*.json", events.drop("ds").schema), out, ckpt)
+    write_landing_json(by_day(events.where(F.col("ds") < cut)), landing, ["ds"])
+    drain()
+    write_landing_json(by_day(events.where(F.col("ds") < cut)), landing, ["ds"])
+    write_landing_json(by_day(events.where(F.col("ds") >= cut)), landing, ["ds"])
+    drain()
+    bronze = spark.read.schema(EVENTS_SCHEMA).parquet(out)
+    return bronze.groupBy(F.date_format("ts", "yyyyMMdd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids"), r6(F.sum("value")).alias("value_sum")
+    )
+
+
+def sink_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders in two appends, the second of them run twice, behind an overwrite; a write that fails half way leaves nothing."""
+    orders = load(spark, sf_dir, "orders")
+    root = work_dir(spark, "staged")
+    even = F.col("o_orderkey") % 2 == 0
+    write_warehouse(orders.where(even), "tpch", "orders", "append", "staged", {"batch": "0"}, root)
+    write_warehouse(orders.where(even), "tpch", "orders", "overwrite", "staged", {"batch": "1"}, root)
+    for _ in range(2):
+        write_warehouse(orders.where(~even), "tpch", "orders", "append", "staged", {"batch": "2"}, root)
+    key = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("a row that cannot be written")).cast("long")).otherwise(F.col("o_orderkey"))
+    try:
+        write_warehouse(orders.withColumn("o_orderkey", key), "tpch", "orders", "overwrite", "staged", None, root)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the write should have failed")
+    return read_staged(spark, f"{root}/tpch/orders")
+
+
 def parquet_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = load(spark, sf_dir, "supplier")
     path = work_dir(spark, "supplier-replace")
@@ -256,6 +297,11 @@ SELECT strftime(ts, '%Y%m%d') AS day, count(*)::BIGINT AS n, count(DISTINCT even
        round(sum(value), 6) AS value_sum
 FROM events GROUP BY 1
 """,
+    "zone_stream_redelivered": """
+SELECT strftime(ts, '%Y%m%d') AS day, count(*)::BIGINT AS n, count(DISTINCT event_id)::BIGINT AS n_ids, round(sum(value), 6) AS value_sum
+FROM events GROUP BY 1
+""",
+    "sink_commit": "SELECT * FROM orders",
     "parquet_replace": "SELECT * FROM supplier",
     "warehouse_overwrite": "SELECT * FROM nation",
     "snapshot_latest": """
@@ -275,6 +321,8 @@ QUERIES = {
     "zone_csv_roundtrip": zone_csv_roundtrip,
     "zone_stream_curate": zone_stream_curate,
     "zone_stream_ingest": zone_stream_ingest,
+    "zone_stream_redelivered": zone_stream_redelivered,
+    "sink_commit": sink_commit,
     "parquet_replace": parquet_replace,
     "warehouse_overwrite": warehouse_overwrite,
     "snapshot_latest": snapshot_latest,

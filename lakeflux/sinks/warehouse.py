@@ -1,6 +1,7 @@
 """Warehouse table sink (K4) with a load type.
 
-``fmt="jdbc"`` (or a warehouse connector format such as ``snowflake``) writes to
+``fmt="staged"`` writes files behind a commit (``staged``): a failed job leaves the table as
+it was. ``fmt="jdbc"`` (or a warehouse connector format such as ``snowflake``) writes to
 ``<owner>.<table>`` with the given connection options; file formats (parquet,
 delta) write to ``<root>/<owner>/<table>``.
 """
@@ -9,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lakeflux.sinks.staged import write_staged
+
 LOAD_TYPES = ("overwrite", "append")
 # JDBC writer defaults: batched inserts, and an overwrite that truncates the
 # table instead of dropping it (keeps grants and column types).
@@ -29,6 +32,10 @@ def write_warehouse(
     the work before the write at its own parallelism."""
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
+    if fmt == "staged":
+        if root is None:
+            raise ValueError("file formats need a root folder")
+        return write_staged(df, f"{root.rstrip('/')}/{owner}/{table}", load_type, (options or {}).get("batch"))
     file_format = fmt in ("parquet", "delta", "orc")
     if num_writers and not file_format:
         df = df.repartition(num_writers)

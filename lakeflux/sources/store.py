@@ -9,7 +9,9 @@ small steps (markers, listings) go through Spark's own Hadoop client.
 from __future__ import annotations
 
 import fnmatch
+import os
 import re
+import uuid
 
 import pyarrow as pa
 from pyarrow import fs
@@ -117,6 +119,32 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def create_new(client: fs.FileSystem, path: str, text: str) -> bool:
+    """``write_new`` for a process without a Spark session; False where the file is there.
+
+    Local files are linked into place and HDFS does not rename onto a file, so one writer wins. Object stores
+    have no such step: there one writer at a time may commit to a table.
+    """
+    attempt = f"{path.rpartition('/')[0]}/_attempt-{uuid.uuid4().hex}"
+    with client.open_output_stream(attempt) as out:
+        out.write(text.encode("utf-8"))
+    try:
+        if isinstance(client, fs.LocalFileSystem):
+            os.link(attempt, path)
+            client.delete_file(attempt)
+        else:
+            if client.get_file_info(path).type != fs.FileType.NotFound:
+                raise FileExistsError(path)
+            client.move(attempt, path)
+    except OSError:
+        if client.get_file_info(attempt).type != fs.FileType.NotFound:
+            client.delete_file(attempt)
+        if client.get_file_info(path).type == fs.FileType.NotFound:
+            raise
+        return False
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file's text."""
     jvm = spark.sparkContext._jvm

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from lakeflux.functions.jsonfmt import LOSSLESS_OPTIONS
 from lakeflux.sinks.files import CSV_OPTIONS, CSV_READ_OPTIONS
-from lakeflux.sources.files import POS_COL, explode_records, parse_record_files, rejected_files, relative_to, whole_files
+from lakeflux.sources.files import MAX_RECORD_FILE_BYTES, POS_COL, explode_records, parse_record_files, rejected_files, relative_to, whole_files
 
 
 def landing_stream(
@@ -69,27 +69,64 @@ def _committed(spark: SparkSession, checkpoint: str) -> int:
     return max((int(n) + 1 for n in names if n.isdigit()), default=0)
 
 
-def _written(spark: SparkSession, target: str, fmt: str, schema: StructType, options: dict[str, str]) -> int:
-    """Rows that the target's own log of files holds."""
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/_spark_metadata")
-    if not log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
-        return 0
-    return spark.read.format(fmt).options(**options).schema(schema).load(target).count()
+#: Batches of a run whose progress is kept; a run of more raises, as its rows could not be told.
+KEPT_PROGRESS = 10_000
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 def _drain(stream: DataFrame, target: str, checkpoint: str, fmt: str, options: dict[str, str], partition_by, read_options=None) -> dict:
-    """Totals come from the checkpoint and the target: a query's progress list is cut at a fixed length."""
+    """Write what is available; batches from the checkpoint, rows as the stream observed them on their way to the sink,
+    so a run costs nothing for what earlier runs have written."""
     spark = stream.sparkSession
-    at = (spark, target, fmt, stream.schema, read_options or options)
-    batches, rows = _committed(spark, checkpoint), _written(*at)
-    writer = stream.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint).outputMode("append")
+    batches = _committed(spark, checkpoint)
+    before = spark.conf.get(_PROGRESS, None)
+    spark.conf.set(_PROGRESS, str(KEPT_PROGRESS))
+    try:
+        return _run(stream, target, checkpoint, fmt, options, partition_by, read_options or options, batches)
+    finally:
+        spark.conf.unset(_PROGRESS) if before is None else spark.conf.set(_PROGRESS, before)
+
+
+def _run(stream, target, checkpoint, fmt, options, partition_by, read_options, batches) -> dict:
+    spark = stream.sparkSession
+    counted = stream.observe("lakeflux", F.count(F.lit(1)).alias("rows"))
+    writer = counted.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.trigger(availableNow=True).start(target)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return {"batches": _committed(spark, checkpoint) - batches, "rows": _written(*at) - rows}
+    done = _committed(spark, checkpoint) - batches
+    if done > KEPT_PROGRESS:
+        raise RuntimeError(f"{done} batches in one run: set maxFilesPerTrigger higher")
+    seen = {p.batchId: p.observedMetrics["lakeflux"]["rows"] for p in query.recentProgress if "lakeflux" in p.observedMetrics}
+    return {"batches": done, "rows": sum(seen.values())}
+
+
+def landing_files_once(
+    spark: SparkSession, source: str, schema: StructType, keep: str = "30 days", clean_source: str = "off", archive_dir: str | None = None, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Rows of JSON-lines files, each content once: a file that lands again, under its own name or another, adds nothing.
+
+    Keyed streaming state holds the SHA-256 of every file's bytes, in the query's checkpoint, so it holds across
+    restarts; a digest goes once ``keep`` has passed, by the files' own times of change, since it was last new. A
+    file is one row until its digest is known, and one beyond ``MAX_RECORD_FILE_BYTES`` raises; so does a line that does not parse.
+    """
+    reader = spark.readStream.option("cleanSource", clean_source)
+    if clean_source == "archive":
+        if not archive_dir:
+            raise ValueError("cleanSource=archive needs archive_dir")
+        reader = reader.option("sourceArchiveDir", archive_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    raw = reader.text(source, wholetext=True).select("value", F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_size").alias("bytes"))
+    fine = F.when(F.col("bytes") <= MAX_RECORD_FILE_BYTES, F.col("value")).otherwise(F.raise_error(F.lit("file beyond the size limit")))
+    keyed = raw.select(fine.alias("value"), "changed").withColumn("digest", F.sha2("value", 256))
+    once = keyed.withWatermark("changed", keep).dropDuplicatesWithinWatermark(["digest"])
+    lines = once.select(F.explode(F.split("value", "\n")).alias("line")).where(F.trim("line") != "")
+    options = {"mode": "FAILFAST", "timestampNTZFormat": LOSSLESS_OPTIONS["timestampNTZFormat"]}
+    return lines.select(F.from_json("line", schema, options).alias("r")).select("r.*")
 
 
 def write_landing_json(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
