@@ -31,7 +31,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -84,7 +84,7 @@ def numeric_distances(
     ``(feature, x)``, sorted inside partitions and checkpointed to the shared
     folder, which fixes each row's partition: the raw rows are scanned once. As
     partitions are ranges, there are at most columns + partitions rows
-    (feature, partition); those reach the driver. Statistics of a column without
+    (feature, partition); those are broadcast, and none reaches the driver. Statistics of a column without
     values on one side are null. The number of partitions is the session's for
     shuffles unless ``buckets`` or ``rows_per_bucket`` (one more pass) sets it.
     """
@@ -93,33 +93,30 @@ def numeric_distances(
         buckets = max(1, -(-counts.count() // rows_per_bucket))
     ranged = counts.repartitionByRange(*([buckets] if buckets else []), "feature", "x")
     vc = ranged.sortWithinPartitions("feature", "x").checkpoint(eager=True).withColumn("part", F.spark_partition_id())
-    heads = (
-        vc.groupBy("feature", "part")
-        .agg(
-            F.sum("c_ref").alias("ref"),
-            F.sum("c_cur").alias("cur"),
-            F.sum(F.col("c_ref") * F.col("x")).alias("sum_ref"),
-            F.min("x").alias("least"),
-        )
-        .toPandas()
-        .sort_values(["feature", "part"])
+    heads = vc.groupBy("feature", "part").agg(
+        F.sum("c_ref").alias("ref"), F.sum("c_cur").alias("cur"), F.sum(F.col("c_ref") * F.col("x")).alias("sum_ref"), F.min("x").alias("least")
     )
-    by = heads.groupby("feature")
-    heads["before_ref"], heads["before_cur"] = by["ref"].cumsum() - heads["ref"], by["cur"].cumsum() - heads["cur"]
-    heads["n_ref"], heads["n_cur"] = by["ref"].transform("sum"), by["cur"].transform("sum")
-    heads["mean"] = (by["sum_ref"].transform("sum") / heads["n_ref"].where(heads["n_ref"] > 0)).astype(float)
-    heads["next"] = by["least"].shift(-1)
-    starts = {
-        (r.feature, r.part): tuple(map(float, (r.before_ref, r.before_cur, r.n_ref, r.n_cur, r.mean, r.next)))
-        for r in heads.itertuples()
-    }
+    every, order = Window.partitionBy("feature"), Window.partitionBy("feature").orderBy("part")
+    n_ref = F.sum("ref").over(every)
+    starts = heads.select(
+        "feature",
+        "part",
+        (F.sum("ref").over(order) - F.col("ref")).alias("before_ref"),
+        (F.sum("cur").over(order) - F.col("cur")).alias("before_cur"),
+        n_ref.alias("n_ref"),
+        F.sum("cur").over(every).alias("n_cur"),
+        F.try_divide(F.sum("sum_ref").over(every), n_ref.cast("double")).alias("mean"),
+        F.lead("least").over(order).alias("next"),
+    )
+    # one row a column and partition; each task's rows get their own one, in the order in which they are stored
+    placed = vc.join(F.broadcast(starts), ["feature", "part"]).select("feature", "x", "c_ref", "c_cur", *starts.columns[2:])
 
     def walk(batches):
-        seen: dict[str, list] = {}  # of the partition's columns: running counts, last x and gap, results
+        seen: dict[str, list] = {}  # of the partition's columns: running counts, last x and gap, results, start
         for batch in batches:
-            for feature, x, c_ref, c_cur, part in _runs(batch):
-                before_ref, before_cur, n_ref, n_cur, mean, _ = starts[feature, part]
-                state = seen.setdefault(feature, [before_ref, before_cur, None, 0.0, 0.0, 0.0, 0.0, part])
+            for feature, x, c_ref, c_cur, start in _runs(batch):
+                before_ref, before_cur, n_ref, n_cur, mean, _ = start
+                state = seen.setdefault(feature, [before_ref, before_cur, None, 0.0, 0.0, 0.0, 0.0, start])
                 ref, cur = state[0] + np.cumsum(c_ref), state[1] + np.cumsum(c_cur)
                 gap = np.abs(ref / n_ref - cur / n_cur) if n_ref and n_cur else np.zeros(len(x))
                 if state[2] is not None:
@@ -129,8 +126,8 @@ def numeric_distances(
                 state[6] += float((c_ref * (x - mean) ** 2).sum()) if n_ref else 0.0
                 state[0], state[1], state[2], state[3] = ref[-1], cur[-1], float(x[-1]), float(gap[-1])
         rows = []
-        for feature, (_, _, last, gap, ks, area, square, part) in seen.items():
-            _, _, n_ref, n_cur, _, following = starts[feature, part]
+        for feature, (_, _, last, gap, ks, area, square, start) in seen.items():
+            _, _, n_ref, n_cur, _, following = start
             if not np.isnan(following):
                 area += gap * (following - last)
             rows.append((feature, int(n_ref), int(n_cur), ks, area, square))
@@ -138,9 +135,7 @@ def numeric_distances(
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["feature", "n_ref", "n_cur", "ks", "area", "square"])
 
-    parts = vc.select("feature", "x", "c_ref", "c_cur", "part").mapInArrow(
-        walk, "feature string, n_ref long, n_cur long, ks double, area double, square double"
-    )
+    parts = placed.mapInArrow(walk, "feature string, n_ref long, n_cur long, ks double, area double, square double")
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     return parts.groupBy("feature", "n_ref", "n_cur").agg(
         F.when(both, F.max("ks")).alias("ks_stat"),
@@ -150,14 +145,15 @@ def numeric_distances(
 
 
 def _runs(batch):
-    """The rows of each column of a sorted batch."""
+    """The rows of each column of a sorted batch, and what lies before them."""
     if not batch.num_rows:
         return
     feature = batch.column(0).to_pandas()
-    x, c_ref, c_cur, part = (batch.column(k).to_numpy() for k in range(1, 5))
+    x, c_ref, c_cur = (batch.column(k).to_numpy() for k in range(1, 4))
+    starts = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4, 10)]
     begin = np.append(np.flatnonzero((feature != feature.shift()).to_numpy()), len(x))
     for a, b in zip(begin[:-1], begin[1:]):
-        yield feature.iloc[a], x[a:b], c_ref[a:b], c_cur[a:b], int(part[a])
+        yield feature.iloc[a], x[a:b], c_ref[a:b], c_cur[a:b], tuple(float(s[a]) for s in starts)
 
 
 def ks_p_value(n_ref, n_cur, d):

@@ -86,8 +86,8 @@ def column_profile(
         if approx_distinct:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"nd{i}"))
         if _has_range(types[name]):
-            aggs.append(F.min(c.cast("double")).alias(f"min{i}"))
-            aggs.append(F.max(c.cast("double")).alias(f"max{i}"))
+            aggs.append(F.min(c).cast("double").alias(f"min{i}"))
+            aggs.append(F.max(c).cast("double").alias(f"max{i}"))
         else:
             aggs.append(F.lit(None).cast("double").alias(f"min{i}"))
             aggs.append(F.lit(None).cast("double").alias(f"max{i}"))
