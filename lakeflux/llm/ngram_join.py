@@ -268,12 +268,15 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     docs = keyed(documents)
     all_sets = materialise(_prefixes(docs, n, percent, _frequent(docs, n)), "prefixes")
     filled = all_sets.where("size > 0")
-    classes = filled.groupBy("size", "code").agg(
-        F.min(F.struct("doc", "tkey")).alias("who"), F.first("prefix").alias("prefix")
-    ).select("size", "code", F.xxhash64("size", "code").alias("rep"), "who", "prefix", F.xxhash64("prefix").alias("front"))
+    # prefixes are shuffled once, and those of group leaders only go on
+    classes = filled.select("doc", "tkey", "size", "code", F.xxhash64("prefix").alias("front")).groupBy("size", "code").agg(
+        F.min(F.struct("doc", "tkey")).alias("who"), F.first("front").alias("front")
+    ).select("size", "code", F.xxhash64("size", "code").alias("rep"), "who", "front")
     groups = classes.groupBy("size", "front").agg(F.min("rep").alias("gid"))
     grouped = materialise(classes.join(groups, ["size", "front"]), "classes")
-    rows = grouped.where(F.col("rep") == F.col("gid")).select(F.explode("prefix").alias("h"), "gid", "size")
+    leaders = grouped.where(F.col("rep") == F.col("gid")).select("who.doc", "who.tkey", "gid", "size")
+    one = filled.groupBy("doc", "tkey").agg(F.first("prefix").alias("prefix"))
+    rows = one.join(leaders, ["doc", "tkey"]).select(F.explode("prefix").alias("h"), "gid", "size")
     shared = materialise(_runs(rows.repartitionByRange("h", "gid").sortWithinPartitions("h", "gid")), "shared")
     members = grouped.select("gid", "rep", "size", "who")
 
