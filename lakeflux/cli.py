@@ -64,6 +64,13 @@ def cmd_deliver(args) -> dict:
     return {"delivered_to": args.path or args.topic, **counts}
 
 
+def cmd_promote(args) -> dict:
+    from lakeflux.operators.promotion import promote
+
+    entries = promote(_session(), args.landing, args.processing, args.ds, glob=args.glob, delete_source=args.delete_source)
+    return {"promoted": entries.count()}
+
+
 def cmd_curate(args) -> dict:
     from lakeflux.plans.zones import curate
 
@@ -152,6 +159,14 @@ def build_parser() -> argparse.ArgumentParser:
     d.add_argument("--source-system", default="sap")
     d.set_defaults(fn=cmd_deliver)
 
+    pm = sub.add_parser("promote", help="landing files -> processing zone, byte for byte, under a manifest")
+    pm.add_argument("--landing", required=True)
+    pm.add_argument("--processing", required=True)
+    pm.add_argument("--ds", required=True, help="run date yyyymmdd")
+    pm.add_argument("--glob", default="*.json")
+    pm.add_argument("--delete-source", action="store_true", help="delete landing files that are still what was copied")
+    pm.set_defaults(fn=cmd_promote)
+
     c = sub.add_parser("curate", help="processing zone record files -> first records -> curated CSV")
     c.add_argument("--processing", required=True)
     c.add_argument("--curated", required=True)

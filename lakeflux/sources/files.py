@@ -23,9 +23,11 @@ def whole_files(reader, path: str) -> DataFrame:
     return raw.select(F.col("_metadata.file_path").alias(FILE_COL), F.col("_metadata.file_size").alias("bytes"), "value")
 
 
-def empty_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """(file, bytes, value) of files without a byte, which Spark's scans leave out."""
-    found = store.list_files(spark, path, glob, recursive).where(F.col("bytes") == 0)
+def unread_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True, max_bytes: int | None = None) -> DataFrame:
+    """(file, bytes, value) of files that a scan does not read: those without a byte, which Spark leaves out, and
+    those beyond max_bytes. Value is empty."""
+    size = F.col("bytes")
+    found = store.list_files(spark, path, glob, recursive).where((size == 0) | (size > max_bytes if max_bytes else F.lit(False)))
     file = F.regexp_replace("path", "^file:/+", "file:///")  # as Spark's metadata has it
     return found.select(file.alias(FILE_COL), F.col("bytes"), F.lit("").alias("value"))
 
@@ -56,15 +58,17 @@ def rejected_files(parsed: DataFrame) -> DataFrame:
 
 
 def record_files(
-    spark: SparkSession, path: str, schema: StructType, glob: str | None = "*.json", recursive: bool = True
+    spark: SparkSession, path: str, schema: StructType, glob: str | None = "*.json", recursive: bool = True, max_bytes: int = MAX_RECORD_FILE_BYTES
 ) -> DataFrame:
-    """Parsed record files below a path, for ``explode_records`` and ``rejected_files``."""
+    """Parsed record files below a path, for ``explode_records`` and ``rejected_files``. Larger files are told by the
+    listing and never read."""
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return parse_record_files(whole_files(reader, path).unionByName(empty_files(spark, path, glob, recursive)), schema)
+    read = whole_files(reader, path).where(F.col("bytes") <= max_bytes)
+    return parse_record_files(read.unionByName(unread_files(spark, path, glob, recursive, max_bytes)), schema, max_bytes)
 
 
 def read_record_arrays(

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeflux.session import work_dir
-from lakeflux.sources.files import FILE_COL, POS_COL, empty_files
+from lakeflux.sources.files import FILE_COL, POS_COL, unread_files
 
 #: Split rows that are sent to every task; more are joined by a shuffle.
 MAX_BROADCAST_SPLITS = 100_000
@@ -271,7 +271,7 @@ def split_record_files(
     with fixed_splits(spark, split_bytes):
         texts_path, counted = _write_texts(spark, path, glob, recursive)
     texts = spark.read.parquet(texts_path)
-    return _parsed(texts, counted, empty_files(spark, path, glob, recursive), schema)
+    return _parsed(texts, counted, unread_files(spark, path, glob, recursive), schema)
 
 
 def _write_texts(spark: SparkSession, path: str, glob: str | None, recursive: bool) -> tuple[str, DataFrame]:

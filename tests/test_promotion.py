@@ -141,3 +141,11 @@ def test_new_files_are_created_by_one_writer(spark, tmp_path):
 
 def test_store_paths():
     assert store.open_store("file:///a/b c%20")[1] == "/a/b c%20" and store.open_store("file:/a")[1] == "/a" and store.open_store("/a")[1] == "/a"
+
+
+def test_promote_job(spark, landing, tmp_path):
+    from lakeflux import cli
+
+    args = ["promote", "--landing", landing, "--processing", zone(tmp_path), "--ds", DS, "--delete-source"]
+    assert cli.main(args) == {"promoted": len(FILES)} and cli.main(args) == {"promoted": 0}
+    assert not [n for _, _, ns in os.walk(landing) for n in ns if not n.startswith(".")]

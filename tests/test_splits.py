@@ -95,6 +95,10 @@ def test_whole_file_reader_reports_empty_and_large_files(spark, tmp_path):
     parsed = record_files(spark, str(tmp_path / "in"), SCHEMA)
     assert {r.file.rpartition("/")[2] for r in rejected_files(parsed).collect()} == {"empty.json"}
     assert explode_records(parsed, "reject").count() > 0
+    small = record_files(spark, str(tmp_path / "in"), SCHEMA, max_bytes=20)
+    reasons = {r.file.rpartition("/")[2]: r.reason for r in rejected_files(small).collect()}
+    assert set(reasons) == {"empty.json", "f0.json", "f1.json"} and reasons["f0.json"] == "larger than 20 bytes"
+    assert {r.file.rpartition("/")[2] for r in small.where("reason is null").collect()} == {"none.json"}
     with pytest.raises(Exception, match="broken record file"):
         explode_records(parsed).collect()
 
