@@ -11,11 +11,16 @@ inside a string), in which case it ends and how far the bracket depth moves. Com
 file these rows give each split's true start, so records, and their positions in the file,
 come out as if it had been read whole. Only records that reach over a split's end are put
 together by a shuffle. A task holds a split's lines, or one record; there is no limit of size.
+
+Splits and tasks are counted apart: a task reads as many splits as make up the session's
+``spark.sql.files.maxPartitionBytes``, one after the other, so that small splits of a large
+input are not as many tasks, each with files and messages of its own.
 """
 
 from __future__ import annotations
 
 import contextlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,19 +30,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeflux.session import work_dir
+from lakeflux.sources import store
 from lakeflux.sources.files import FILE_COL, POS_COL, unread_files
 
 #: Split rows that are sent to every task; more are joined by a shuffle.
 MAX_BROADCAST_SPLITS = 100_000
+#: Splits of a small input are dealt over so many tasks a core, if there are as many.
+SMALL_TASKS_PER_CORE = 4
+#: What Spark takes where the session sets no size.
+DEFAULT_PARTITION_BYTES = 128 << 20
 NOT_RECORDS = "not an array of records"
 _CORRUPT = "__corrupt"
 
 
 @contextlib.contextmanager
-def fixed_splits(spark: SparkSession, split_bytes: int | None = None):
-    """Splits stay the same from pass to pass, whatever executors come and go meanwhile."""
+def fixed_splits(spark: SparkSession, split_bytes: int | None = None, total: int | None = None):
+    """Splits stay the same from pass to pass, whatever executors come and go meanwhile.
+
+    total: bytes of the input. With it, splits of split_bytes share tasks, and grow where there would be more of
+    them than half of MAX_BROADCAST_SPLITS; without, each is a task.
+    """
     conf = {"spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None) or str(spark.sparkContext.defaultParallelism)}
     if split_bytes:
+        if total is not None:
+            split_bytes = max(split_bytes, -(-total // (MAX_BROADCAST_SPLITS // 2)))
+            conf["spark.sql.files.maxPartitionNum"] = spark.conf.get("spark.sql.files.maxPartitionNum", None) or str(_tasks(spark, total))
         conf |= {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.openCostInBytes": str(split_bytes)}
     before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
@@ -49,6 +66,18 @@ def fixed_splits(spark: SparkSession, split_bytes: int | None = None):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _tasks(spark: SparkSession, total: int) -> int:
+    """Tasks that read so many bytes: of the session's partition size, and some a core at least."""
+    text = str(spark.conf.get("spark.sql.files.maxPartitionBytes", None) or DEFAULT_PARTITION_BYTES).strip().lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)(?:i?b)?", text).groups()
+    size = int(number) << (10 * " kmgtp".index(unit or " "))
+    return max(-(-total // max(size, 1)), SMALL_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
+def _input_bytes(spark: SparkSession, path: str, glob: str | None, recursive: bool) -> int:
+    return store.list_files(spark, path, glob, recursive).agg(F.sum("bytes")).first()[0] or 0
+
+
 def split_lines(spark: SparkSession, path: str, glob: str | None, recursive: bool, line_sep: str | None = None) -> DataFrame:
     """(file, start, row, value): lines with the first byte of their split; row ascends within a split."""
     reader = spark.read
@@ -266,9 +295,9 @@ def split_record_files(
 
     A file is well-formed if it is one JSON array of objects that all parse with the schema. Anything else, an
     empty file too, is rejected whole. The records' text is written once, to the shared work folder.
-    split_bytes: size of a split, else the session's.
+    split_bytes: size of a split at least, else the session's.
     """
-    with fixed_splits(spark, split_bytes):
+    with fixed_splits(spark, split_bytes, _input_bytes(spark, path, glob, recursive)):
         texts_path, counted = _write_texts(spark, path, glob, recursive)
     texts = spark.read.parquet(texts_path)
     return _parsed(texts, counted, unread_files(spark, path, glob, recursive), schema)

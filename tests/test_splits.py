@@ -120,3 +120,25 @@ def test_line_heads_for_one_and_many_splits(spark, tmp_path, split):
     (tmp_path / "in" / "bad.json").write_text('{"id": 1}\n{"id": \n')
     with pytest.raises(Exception):
         line_heads(spark, str(tmp_path / "in"), SCHEMA, 5, split_bytes=split).collect()
+
+
+def tasks_of(spark, group, run):
+    """What run returns, and the tasks of the largest stage of its jobs."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) if (job := tracker.getJobInfo(j)) for s in job.stageIds}
+        return out, max(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_splits_of_record_arrays_share_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "f.json").write_text(json.dumps([{"id": i, "title": TRICKY[i % len(TRICKY)]} for i in range(400)]))
+    whole = read_record_arrays(spark, str(tmp_path / "in"), SCHEMA)
+    got, most = tasks_of(spark, "record-arrays", lambda: plain(read_record_arrays_split(spark, str(tmp_path / "in"), SCHEMA, split_bytes=60)))
+    assert got == plain(whole) and len(got) == 400
+    assert most <= 32  # over 150 splits; 4 tasks a core, and one task may begin behind each of them
