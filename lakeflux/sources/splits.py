@@ -363,10 +363,10 @@ def line_heads(
 
     A split's line count, added up along its file, is its first line's number; splits that begin beyond line n are
     joined away before anything is parsed. Blank lines are no records. A line that does not parse raises. The
-    lines found, n a file, are written to the shared work folder. split_bytes: size of a split, else the session's.
+    lines found, n a file, are written to the shared work folder. split_bytes: size of a split at least, else the session's.
     """
     heads_path = work_dir(spark, "line-heads")
-    with fixed_splits(spark, split_bytes):
+    with fixed_splits(spark, split_bytes, _input_bytes(spark, path, glob, recursive)):
         lines = split_lines(spark, path, glob, recursive).where(F.trim("value", F.lit(" \t\n\r")) != "")
         counts_path = work_dir(spark, "line-counts")
         lines.groupBy(FILE_COL, "start").agg(F.count(F.lit(1)).alias("n")).write.parquet(counts_path)

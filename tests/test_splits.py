@@ -142,3 +142,11 @@ def test_small_splits_of_record_arrays_share_tasks(spark, tmp_path):
     got, most = tasks_of(spark, "record-arrays", lambda: plain(read_record_arrays_split(spark, str(tmp_path / "in"), SCHEMA, split_bytes=60)))
     assert got == plain(whole) and len(got) == 400
     assert most <= 32  # over 150 splits; 4 tasks a core, and one task may begin behind each of them
+
+
+def test_small_splits_of_lines_share_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "f.json").write_text("".join(json.dumps({"id": i, "title": "x" * (i % 50)}) + "\n" for i in range(400)))
+    got, most = tasks_of(spark, "line-heads", lambda: plain(line_heads(spark, str(tmp_path / "in"), SCHEMA, 50, split_bytes=60)))
+    assert [(r["pos"], r["id"]) for r in got] == [(i, i) for i in range(50)]
+    assert most <= 32
