@@ -10,7 +10,9 @@
    shingle's hub is its group whose shingles are the most widely shared; each group goes to
    the hub it shares most with, and every class is verified against its hub's: one pair a
    class, not all pairs.
-3. The groups of one hub are a cluster. Pairs of clusters that share ``l`` prefix shingles
+3. The groups of one hub are a cluster. Of its prefix shingles each group leaves out the most
+   widely shared ones, as many as it can without losing a link (see ``_rarest``), and shingles
+   held by the same clusters are joined as one. Pairs of clusters that share enough of them
    and are not one component yet pass the size filter, are expanded to members, dealt into
    blocks, and verified by matrix products in the tasks, which emit spanning links only:
    no link between components is lost, and no group's pairs are ever rows.
@@ -25,18 +27,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeflux.llm import textblocks as T
 from lakeflux.llm.components import components
-from lakeflux.llm.work import attach, id_back, keyed, materialise, maybe_in, sorted_groups
+from lakeflux.llm.work import attach, id_back, keyed, materialise, maybe_in, released, sorted_groups
 
 #: The sample that finds frequent shingles, and how many of them the order knows; results do not depend on either.
 ORDER_SAMPLE_DOCS = 4000
 ORDER_SHINGLES = 100_000
 #: Classes of a cluster that one task compares with as many of another.
 BLOCK = 256
+#: Rows with whole shingle sets that pass between Spark and a task at once.
+BATCH_ROWS = 1024
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +75,7 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
                 u, c = np.unique(shingle_sets(buf, offs, n)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(T.signed(u)), pa.array(c)], ["h", "n"])
 
-    counts = part.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= 3)
+    counts = part.select("text").mapInArrow(released(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= 3)
     top = counts.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).select("h").toArrow()
     return np.sort(top.column(0).to_numpy().view(np.uint64))
 
@@ -119,7 +123,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
                     ["doc", "tkey", "size", "code", "prefix"],
                 )
 
-    return docs.mapInArrow(run, _SETS)
+    return docs.mapInArrow(released(run), _SETS)
 
 
 def _runs(rows: DataFrame) -> DataFrame:
@@ -152,7 +156,7 @@ def _runs(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield held
 
-    return rows.mapInArrow(run, "h long, gid long, size int")
+    return rows.mapInArrow(released(run), "h long, gid long, size int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +175,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], ["a", "b"])
 
-    return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
 
 
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -242,7 +246,7 @@ def _between_clusters(pairs: DataFrame, members: DataFrame, sets: DataFrame, per
                 some = np.flatnonzero(root != np.arange(len(names)))
                 yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(names[root[some]])], ["a", "b"])
 
-    return filled.mapInArrow(run, "a long, b long")
+    return filled.mapInArrow(released(run), "a long, b long")
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
@@ -258,7 +262,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
                     ["rep", "shingles"],
                 )
 
-    return few.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>")
+    return few.select("rep", "text").mapInArrow(released(run), "rep long, shingles array<long>")
 
 
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -266,7 +270,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     doc it reaches over pairs with 100 * intersection >= percent * union, and the component itself:
     several may have the same smallest doc. Rows without shingles have a null comp."""
     docs = keyed(documents)
-    all_sets = materialise(_prefixes(docs, n, percent, _frequent(docs, n)), "prefixes")
+    all_sets = materialise(_prefixes(docs, n, percent, _frequent(docs, n)), "prefixes", BATCH_ROWS)
     filled = all_sets.where("size > 0")
     # prefixes are shuffled once, and those of group leaders only go on
     classes = filled.select("doc", "tkey", "size", "code", F.xxhash64("prefix").alias("front")).groupBy("size", "code").agg(
@@ -295,8 +299,8 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     # every class that is in a pair at all, now or later
     in_pairs = shared.select("gid").union(members.where(F.col("rep") != F.col("gid")).select("gid")).distinct()
     candidates = materialise(members.join(in_pairs, "gid"), "candidates")
-    sets = materialise(_sets_of(docs, candidates.select("rep", F.col("who.doc").alias("doc"), F.col("who.tkey").alias("tkey")), n), "sets")
-    links = materialise(_verified(stars, sets, percent), "links")
+    sets = materialise(_sets_of(docs, candidates.select("rep", F.col("who.doc").alias("doc"), F.col("who.tkey").alias("tkey")), n), "sets", BATCH_ROWS)
+    links = materialise(_verified(stars, sets, percent), "links", BATCH_ROWS)
     labels = components(links)
     placed = materialise(
         candidates.join(labels, candidates["rep"] == labels["node"], "left")
@@ -311,23 +315,9 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
         ),
         "clusters",
     )
-    # clusters that share enough shingles and are not all one component
-    at = shared.join(placed.select("gid", "cluster").distinct(), "gid").select("h", "cluster").distinct().join(clusters, "cluster")
-    open_runs = at.groupBy("h").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where(F.col("a") != F.col("b")).select("h")
-    left = at.join(open_runs, "h").select("h", F.col("cluster").alias("c1"), "lo", "hi", "least", "most")
-    right = left.select("h", F.col("c1").alias("c2"), *[F.col(c).alias(f"{c}2") for c in ("lo", "hi", "least", "most")])
-    apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
-    sizes_meet = (F.col("most") * 100 >= F.col("least2") * percent) & (F.col("most2") * 100 >= F.col("least") * percent)
-    across = (
-        left.join(right, "h")
-        .where((F.col("c1") < F.col("c2")) & apart & sizes_meet)
-        .groupBy("c1", "c2", "least", "least2")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= _least_shared(F.least("least", "least2"), percent))
-        .select("c1", "c2")
-    )
+    across = _cluster_pairs(_rarest(shared, percent), placed, clusters, percent)
     inside = clusters.where(F.col("lo") != F.col("hi")).select(F.col("cluster").alias("c1"), F.col("cluster").alias("c2"))
-    more = materialise(_between_clusters(across.union(inside), placed.select("cluster", "rep", "comp"), sets, percent), "links")
+    more = materialise(_between_clusters(across.union(inside), placed.select("cluster", "rep", "comp"), sets, percent), "links", BATCH_ROWS)
     merged = components(more).select(F.col("node").alias("comp"), F.col("component").alias("whole"))
     by_class = classes_with(grouped, labels).join(merged, "comp", "left").select("size", "code", F.coalesce("whole", "comp").alias("comp"))
     out = filled.join(by_class, ["size", "code"]).select("doc", "tkey", "size", "comp")
@@ -342,6 +332,55 @@ def _least_shared(size: Column, percent: int) -> Column:
     return F.least(F.floor((size - need + 1) * 3 / 2), need)
 
 
+def _kept_least(size: Column, percent: int) -> Column:
+    """Shingles that two linked groups share among those that ``_rarest`` keeps, where the smaller has this size: half of
+    what the smallest set that may be linked to it must share."""
+    return F.ceil(_least_shared(F.floor((size * percent + 99) / 100), percent) / 2)
+
+
+def _rarest(shared: DataFrame, percent: int) -> DataFrame:
+    """Rows (h, gid) of each group without its most widely shared shingles.
+
+    Linked groups have ``l`` rows in common; in one order for all, rarest first, each may leave out the last ``l - j``
+    of its own and they still have ``j`` in common.
+    """
+    runs = shared.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+    own = Window.partitionBy("gid")  # a document's prefix
+    least = _least_shared(F.floor((F.col("size") * percent + 99) / 100), percent)
+    ranked = shared.join(runs, "h").select(
+        "h", "gid", "size", F.row_number().over(own.orderBy("k", "h")).alias("place"), F.count(F.lit(1)).over(own).alias("n")
+    )
+    return ranked.where(F.col("place") <= F.col("n") - least + _kept_least(F.col("size"), percent)).select("h", "gid")
+
+
+def _cluster_pairs(kept: DataFrame, placed: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """(c1, c2) of clusters that share enough shingles, meet in size and are not all one component.
+
+    Shingles that the same clusters hold are one row with their number: a passage is joined once, not once a shingle.
+    """
+    at = kept.join(placed.select("gid", "cluster").distinct(), "gid").select("h", "cluster").distinct().join(clusters, "cluster")
+    held = at.groupBy("h").agg(
+        F.min("lo").alias("a"),
+        F.max("hi").alias("b"),
+        F.count(F.lit(1)).alias("k"),
+        F.bit_xor(F.xxhash64("cluster", F.lit(1))).alias("x"),
+        F.sum(F.xxhash64("cluster", F.lit(2)).cast("decimal(38,0)")).alias("s"),
+    )
+    alike = held.where(F.col("a") != F.col("b")).groupBy("k", "x", "s").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m"))
+    left = at.join(alike.select("h", "m"), "h").select("h", "m", F.col("cluster").alias("c1"), "lo", "hi", "least", "most")
+    right = left.select("h", F.col("c1").alias("c2"), *[F.col(c).alias(f"{c}2") for c in ("lo", "hi", "least", "most")])
+    apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
+    sizes_meet = (F.col("most") * 100 >= F.col("least2") * percent) & (F.col("most2") * 100 >= F.col("least") * percent)
+    return (
+        left.join(right, "h")
+        .where((F.col("c1") < F.col("c2")) & apart & sizes_meet)
+        .groupBy("c1", "c2", "least", "least2")
+        .agg(F.sum("m").alias("n"))
+        .where(F.col("n") >= _kept_least(F.least("least", "least2"), percent))
+        .select("c1", "c2")
+    )
+
+
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
     """Rows of groups that have enough shingles in common with others: as many as with the
     smallest set that they may be linked to. The second time only with each other."""

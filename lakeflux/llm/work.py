@@ -18,26 +18,31 @@ from lakeflux.session import work_dir
 NULL_ID = -(1 << 63)
 #: Bits of a key filter: 1 MB, whatever the number of keys.
 FILTER_BITS = 23
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write the rows as Parquet to the shared work folder and read them back.
 
     Cuts lineage, survives lost executors, and makes what depends on task order
     (partition numbers, ranks within a task) the same for every later reader.
+    batch_rows: at most so many rows go to a Python function at once, where rows are long.
     """
     path = work_dir(df.sparkSession, name)
     conf = df.sparkSession.conf
-    before = conf.get(_CLEAN_UP, None)
-    conf.set(_CLEAN_UP, "true")  # the written table stands in for the shuffles that made it
+    now = {_CLEAN_UP: "true"}  # the written table stands in for the shuffles that made it
+    if batch_rows:
+        most = int(conf.get(_BATCH, "10000"))
+        now[_BATCH] = str(min(batch_rows, most) if most > 0 else batch_rows)
+    before = {k: conf.get(k, None) for k in now}
+    for k, v in now.items():
+        conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            conf.unset(_CLEAN_UP)
-        else:
-            conf.set(_CLEAN_UP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
