@@ -12,10 +12,11 @@
    class, not all pairs.
 3. The groups of one hub are a cluster. Of its prefix shingles each group leaves out the most
    widely shared ones, as many as it can without losing a link (see ``_rarest``), and shingles
-   held by the same clusters are joined as one. Pairs of clusters that share enough of them
-   and are not one component yet pass the size filter, are expanded to members, dealt into
-   blocks, and verified by matrix products in the tasks, which emit spanning links only:
-   no link between components is lost, and no group's pairs are ever rows.
+   held by the same clusters are joined as one. Clusters meet at the rarest ones only, a pair
+   once however many it shares. Pairs of clusters that are not one component yet, meet in size
+   and share enough (see ``_pair_least``) are expanded to members, dealt into blocks, and
+   verified by matrix products in the tasks, which emit spanning links only: no link between
+   components is lost, and no group's pairs are ever rows.
 
 Defined results: null and empty texts have an empty set and stand alone; with fewer words
 than n the whole sequence is the one shingle; rows alike in id are in one component; a null
@@ -39,6 +40,9 @@ ORDER_SAMPLE_DOCS = 4000
 ORDER_SHINGLES = 100_000
 #: Classes of a cluster that one task compares with as many of another.
 BLOCK = 256
+#: Runs of this many clusters or more are long; of a cluster's, so many are looked at so that a pair is made but once.
+LONG_RUN = 8
+LONG_RUNS = 64
 #: Rows with whole shingle sets that pass between Spark and a task at once.
 BATCH_ROWS = 1024
 
@@ -339,10 +343,10 @@ def _kept_least(size: Column, percent: int) -> Column:
 
 
 def _rarest(shared: DataFrame, percent: int) -> DataFrame:
-    """Rows (h, gid) of each group without its most widely shared shingles.
+    """Rows (h, gid, first) of each group without its most widely shared shingles.
 
     Linked groups have ``l`` rows in common; in one order for all, rarest first, each may leave out the last ``l - j``
-    of its own and they still have ``j`` in common.
+    of its own and they still have ``j`` in common. first: those for which ``j`` is 1.
     """
     runs = shared.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
     own = Window.partitionBy("gid")  # a document's prefix
@@ -350,35 +354,94 @@ def _rarest(shared: DataFrame, percent: int) -> DataFrame:
     ranked = shared.join(runs, "h").select(
         "h", "gid", "size", F.row_number().over(own.orderBy("k", "h")).alias("place"), F.count(F.lit(1)).over(own).alias("n")
     )
-    return ranked.where(F.col("place") <= F.col("n") - least + _kept_least(F.col("size"), percent)).select("h", "gid")
+    first = F.col("place") <= F.col("n") - least + 1
+    return ranked.where(F.col("place") <= F.col("n") - least + _kept_least(F.col("size"), percent)).select("h", "gid", first.alias("first"))
 
 
-def _cluster_pairs(kept: DataFrame, placed: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """(c1, c2) of clusters that share enough shingles, meet in size and are not all one component.
+def _open_runs(kept: DataFrame, placed: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Rows (h, m, k, cluster, first, lo, hi, least, most) of clusters whose shingle h is not all in one component.
 
-    Shingles that the same clusters hold are one row with their number: a passage is joined once, not once a shingle.
+    Shingles that the same clusters hold are one row with their number m: a passage is joined once, not once a shingle.
+    k: clusters that have it among their first ones.
     """
-    at = kept.join(placed.select("gid", "cluster").distinct(), "gid").select("h", "cluster").distinct().join(clusters, "cluster")
+    own = kept.join(placed.select("gid", "cluster").distinct(), "gid")
+    at = own.groupBy("h", "cluster").agg(F.max("first").alias("first")).join(clusters, "cluster")
     held = at.groupBy("h").agg(
         F.min("lo").alias("a"),
         F.max("hi").alias("b"),
-        F.count(F.lit(1)).alias("k"),
-        F.bit_xor(F.xxhash64("cluster", F.lit(1))).alias("x"),
-        F.sum(F.xxhash64("cluster", F.lit(2)).cast("decimal(38,0)")).alias("s"),
+        F.sum(F.col("first").cast("int")).alias("k"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("cluster", "first", F.lit(1))).alias("x"),
+        F.sum(F.xxhash64("cluster", "first", F.lit(2)).cast("decimal(38,0)")).alias("s"),
+    )
+    alike = held.where(F.col("a") != F.col("b")).groupBy("k", "n", "x", "s").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m"))
+    return at.join(alike.select("h", "m", "k"), "h").select("h", "m", "k", "cluster", "first", "lo", "hi", "least", "most")
+
+
+def _meetings(runs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (c1, c2, least, most, least2, most2) of clusters that have one of their first shingles in common, meet in size and
+    are not all one component.
+
+    A pair is made at the longest run that both are in, and at a later one only where it is missing from ``LONG_RUNS``.
+    """
+    place = lambda k, h: F.struct((-k).alias("k"), h.alias("h"))  # noqa: E731  the longest run first
+    firsts = runs.where("first")
+    long = firsts.where(F.col("k") >= LONG_RUN).groupBy("cluster").agg(
+        F.slice(F.sort_array(F.collect_list(place(F.col("k"), F.col("h")))), 1, LONG_RUNS).alias("long")
+    )
+    earlier = F.transform(F.filter("long", lambda x: x < place(F.col("k"), F.col("h"))), lambda x: x["h"])
+    left = firsts.join(long, "cluster", "left").select(
+        "h", F.col("cluster").alias("c1"), "lo", "hi", "least", "most", F.coalesce(earlier, F.array().cast("array<long>")).alias("before")
     )
-    alike = held.where(F.col("a") != F.col("b")).groupBy("k", "x", "s").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m"))
-    left = at.join(alike.select("h", "m"), "h").select("h", "m", F.col("cluster").alias("c1"), "lo", "hi", "least", "most")
-    right = left.select("h", F.col("c1").alias("c2"), *[F.col(c).alias(f"{c}2") for c in ("lo", "hi", "least", "most")])
+    right = left.select("h", F.col("c1").alias("c2"), *[F.col(c).alias(f"{c}2") for c in ("lo", "hi", "least", "most", "before")])
     apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
     sizes_meet = (F.col("most") * 100 >= F.col("least2") * percent) & (F.col("most2") * 100 >= F.col("least") * percent)
-    return (
-        left.join(right, "h")
-        .where((F.col("c1") < F.col("c2")) & apart & sizes_meet)
-        .groupBy("c1", "c2", "least", "least2")
-        .agg(F.sum("m").alias("n"))
-        .where(F.col("n") >= _kept_least(F.least("least", "least2"), percent))
-        .select("c1", "c2")
-    )
+    once = ~F.arrays_overlap("before", "before2")
+    met = left.join(right, "h").where((F.col("c1") < F.col("c2")) & apart & sizes_meet & once)
+    return met.select("c1", "c2", "least", "most", "least2", "most2")
+
+
+def _pair_least(percent: int) -> Column:
+    """Shingles, times 200, that two linked groups share among those that ``_rarest`` keeps, where their sizes a and b are at
+    least least and least2 and at most most and most2.
+
+    They have o = percent * (a + b) / (100 + percent) shingles or more in common. A prefix leaves out need - l shingles of its
+    set and ``_rarest`` some more, both from the end of an order for all: so in either step the two miss no more than the
+    larger of the two numbers.
+    """
+    up = lambda c: F.floor((F.col(c) * percent + 99) / 100)
+    down = lambda c: F.floor(F.col(c) * 100 / percent)
+    small = F.greatest(F.col("least"), up("least2")) + F.greatest(F.col("least2"), up("least"))
+    large = F.greatest(F.least(F.col("most"), down("most2")), F.least(F.col("most2"), down("most")))
+    both = F.ceil(small * percent / (100 + percent))
+    left_out = _least_shared(F.floor((large * percent + 99) / 100), percent) - _kept_least(large, percent)
+    # l - need is at least (1.5 * (100 - percent) - percent) / 100 * size - 1.5, or 0
+    return both * 200 + large * min(0, 3 * (100 - percent) - 2 * percent) - 300 - left_out * 200
+
+
+def _cluster_pairs(kept: DataFrame, placed: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """(c1, c2) of clusters that share enough shingles, meet in size and are not all one component."""
+    runs = materialise(_open_runs(kept, placed, clusters), "runs")
+    met = materialise(_meetings(runs, percent).distinct(), "meetings")
+    least = F.greatest(_pair_least(percent), _kept_least(F.least("least", "least2"), percent) * 200)
+    lists = runs.groupBy("cluster").agg(F.collect_list(F.struct("h", "m")).alias("held"))
+    rows = met.select("c1", "c2", least.cast("long").alias("least"))
+    for k in (1, 2):
+        side = lists.select(F.col("cluster").alias(f"c{k}"), F.col("held.h").alias(f"h{k}"), F.col("held.m").alias(f"m{k}"))
+        rows = rows.join(side, f"c{k}")
+
+    def run(batches):
+        for batch in batches:
+            h1, m1, h2 = (batch.column(k) for k in (3, 4, 5))
+            n = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                held = np.isin(h1[i].values.to_numpy(), h2[i].values.to_numpy(), assume_unique=True)
+                n[i] = m1[i].values.to_numpy()[held].sum()
+            good = pa.array(n * 200 >= batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["c1", "c2"])
+
+    found = rows.select("c1", "c2", "least", "h1", "m1", "h2").mapInArrow(released(run), "c1 long, c2 long")
+    return materialise(found, "across", BATCH_ROWS)
 
 
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
